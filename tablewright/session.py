@@ -30,6 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tablewright")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
