@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tablewright.plans import changes, joining, predicates, scans  # noqa: F401
+from tablewright.plans import aggregates, changes, joining, predicates, scalars, scans  # noqa: F401
 from tablewright.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

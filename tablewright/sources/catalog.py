@@ -10,12 +10,13 @@ import hashlib
 from collections.abc import Iterator, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.types import array_depth, innermost, map_types, source_type
 from tablewright.operators.changes import current_version, open_table, publish
+from tablewright.operators.keys import last_wins
 from tablewright.session import shared_root
 from tablewright.sources.tables import TABLES, load_all
 
@@ -166,6 +167,28 @@ def columns_of(catalog: DataFrame, table: str) -> DataFrame:
     )
 
 
+def field_totals(catalog: DataFrame) -> DataFrame:
+    """Fields and values per table with the running number of fields.
+
+    Tables are counted before the window, which therefore sees one row per table.
+    """
+    counted = catalog.groupBy("schema_name", "table_name").agg(
+        F.count("*").alias("field_count"), F.sum("value_count").alias("value_count")
+    )
+    running = F.sum("field_count").over(Window.partitionBy("schema_name").orderBy("table_name"))
+    return counted.select("table_name", "field_count", running.alias("running_total"), "value_count")
+
+
+def descriptions_by_table(descriptions: DataFrame) -> DataFrame:
+    """Per table a map of field path to description; the last entry for a path counts.
+
+    A map is as long as a table has fields.
+    """
+    final = last_wins(descriptions.where(F.col("description").isNotNull()), ["table_name", "field_path"], ["position"])
+    pairs = F.sort_array(F.collect_list(F.struct("field_path", "description")))
+    return final.groupBy("table_name").agg(F.map_from_entries(pairs).alias("described"))
+
+
 def in_scope(tables: DataFrame, include: DataFrame | None = None, exclude: DataFrame | None = None) -> DataFrame:
     """Keep or drop tables by ``schema``, ``schema.table`` or ``*.table`` patterns.
 

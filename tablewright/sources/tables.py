@@ -65,6 +65,25 @@ def first_value(df: DataFrame) -> DataFrame:
     return df.select(F.col(df.columns[0]).alias("value")).limit(1)
 
 
+def optional_count(df: DataFrame, name: str, wanted: str) -> DataFrame:
+    """The row count, or -1 without reading anything when the flag says ``false``."""
+    if wanted.strip().lower() == "false":
+        skipped = df.sparkSession.range(1).select(F.lit(-1).cast("bigint").alias("row_count"))
+        return skipped.select(F.lit(name).alias("table_name"), "row_count")
+    return row_counts({name: df})
+
+
+def counts_with_total(df: DataFrame, column: str) -> DataFrame:
+    """Rows per value beside the rows of the whole table.
+
+    The second aggregate runs over one row per value, and its single row is
+    the broadcast side.
+    """
+    grouped = df.groupBy(column).agg(F.count("*").alias("n")).withColumn("__all", F.lit(1))
+    total = grouped.groupBy("__all").agg(F.sum("n").alias("total"))
+    return grouped.join(F.broadcast(total), "__all").drop("__all")
+
+
 def in_namespace(spark: SparkSession, namespace: str, text: str, **params) -> DataFrame:
     """Run SQL whose tables are written ``IDENTIFIER(:ns || '.table')``."""
     return spark.sql(text, args={"ns": namespace, **params})
