@@ -1,6 +1,8 @@
 """All registered queries."""
 
-from tablewright.plans import aggregates, changes, joining, predicates, scalars, scans  # noqa: F401
+from tablewright.plans import (  # noqa: F401
+    aggregates, changes, discovery, joining, masks, predicates, scalars, scans, streams,
+)
 from tablewright.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

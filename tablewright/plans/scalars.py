@@ -116,8 +116,8 @@ def fn_format_interval(spark, sf):
 
 @query(
     "fn_array_convert",
-    "SELECT vec_id, len(embedding)::INT AS n, round(list_sum([round(x::DOUBLE, 3) FOR x IN embedding]), 3) AS total, "
-    "round(embedding[1]::DOUBLE, 3) AS first_value FROM embeddings",
+    "SELECT vec_id, len(embedding)::INT AS n, round(list_sum([round(x::DOUBLE, 3) FOR x IN embedding]), 3) + 0.0 AS total, "
+    "round(embedding[1]::DOUBLE, 3) + 0.0 AS first_value FROM embeddings",
 )
 def fn_array_convert(spark, sf):
     vectors = load(spark, sf, "embeddings")
@@ -125,8 +125,8 @@ def fn_array_convert(spark, sf):
     fitted = casting.fit(F.col("embedding"), vectors.schema["embedding"].dataType, want, "embedding", casting.strict)
     short = vectors.select("vec_id", F.transform(fitted, lambda v: F.round(v, 3)).alias("e"))
     return short.select(
-        "vec_id", F.size("e").alias("n"), F.round(F.aggregate("e", F.lit(0.0), lambda a, v: a + v), 3).alias("total"),
-        F.element_at("e", 1).alias("first_value"),
+        "vec_id", F.size("e").alias("n"), (F.round(F.aggregate("e", F.lit(0.0), lambda a, v: a + v), 3) + 0.0).alias("total"),
+        (F.element_at("e", 1) + 0.0).alias("first_value"),
     )
 
 

@@ -46,6 +46,10 @@ class _Field:
         return values
 
 
+def _getter(name: str):
+    return lambda v: v.getField(name)
+
+
 def _walk(schema: T.StructType, parent: _Field | None = None) -> Iterator[_Field]:
     for ordinal, f in enumerate(schema.fields):
         if parent is None:
@@ -54,7 +58,7 @@ def _walk(schema: T.StructType, parent: _Field | None = None) -> Iterator[_Field
             many = parent.many or isinstance(parent.dtype, T.ArrayType)
             if many:
                 held = parent.items() if isinstance(parent.dtype, T.ArrayType) else parent.values
-                values = F.transform(held, lambda v, name=f.name: v.getField(name))
+                values = F.transform(held, _getter(f.name))
             else:
                 values = parent.values.getField(f.name)
             field = _Field(f"{parent.path}.{f.name}", ordinal, parent, f.dataType, values, many)

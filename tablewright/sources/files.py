@@ -17,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, place = _locate(spark, path)
+    return fs.exists(place) and fs.getFileStatus(place).isDirectory()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, place = _locate(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []

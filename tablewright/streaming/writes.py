@@ -13,11 +13,14 @@ from tablewright.sources import files
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
-    """New Parquet files below ``path`` as a stream."""
+    """New Parquet files of a table as a stream, whether it is a folder or a single file."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    if files.is_folder(spark, path):
+        return reader.parquet(path)
+    folder, name = path.rsplit("/", 1)
+    return reader.option("pathGlobFilter", name).parquet(folder)
 
 
 def append_stream(stream: DataFrame, target: str, checkpoint: str) -> None:
