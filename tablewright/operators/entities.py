@@ -88,11 +88,16 @@ class TableTask:
     params: list[tuple[str, str]] = field(default_factory=list)
 
 
-def run_table_task(spark: SparkSession, df: DataFrame, task: TableTask, path: str) -> dict[str, int]:
-    """Count, extract, optionally clear, and load one table; the counts come back."""
+def extract_rows(df: DataFrame, task: TableTask) -> DataFrame:
+    """The rows a task asks for."""
     if task.extract not in ("typed", "whole"):
         raise ValueError(f"unknown extract step: {task.extract}")
-    rows = typed_filter(df, task.where, task.params) if task.extract == "typed" else df
+    return typed_filter(df, task.where, task.params) if task.extract == "typed" else df
+
+
+def run_table_task(spark: SparkSession, df: DataFrame, task: TableTask, path: str) -> dict[str, int]:
+    """Count, extract, optionally clear, and load one table; the counts come back."""
+    rows = extract_rows(df, task)
     counted = rows.count()
     removed = delete_all(spark, path) if task.delete else 0
     loaded = publish(rows, path)

@@ -6,10 +6,11 @@ import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.functions.records import long_form, measure, named, quoted
 from tablewright.rules.generators import GENERATORS
 from tablewright.rules.patterns import CLASS_THRESHOLD, DATA_PATTERNS, NAME_PATTERNS, PERSONAL_CLASSES
 
@@ -20,20 +21,12 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def _long_form(wide: DataFrame, rows: Sequence[Column]) -> DataFrame:
-    """One aggregate row turned into one row per record."""
-    return wide.select(F.inline(F.array(*rows)))
-
-
 def null_percentages(df: DataFrame, table: str) -> DataFrame:
     """Share of nulls of every column."""
     names = df.columns
-    wide = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(names)]
-    )
-    share = lambda i: F.when(F.col("n") > 0, (F.col("n") - F.col(f"c{i}")) / F.col("n"))
-    return _long_form(wide, [
-        F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), share(i).alias("null_share"))
+    aggs = [measure("count(1)", "n"), *[measure(f"count({named(c)})", f"c{i}") for i, c in enumerate(names)]]
+    return long_form(df.agg(*aggs), [
+        {"table_name": quoted(table), "column_name": quoted(c), "null_share": f"CASE WHEN n > 0 THEN (n - c{i}) / n END"}
         for i, c in enumerate(names)
     ])
 
@@ -45,27 +38,23 @@ def profile(df: DataFrame, table: str, exact_distinct: bool = False) -> DataFram
     (column, value) pairs instead: values merge on the map side, and the column
     name alone is only grouped on afterwards, so no column lands in one task raw.
     """
-    fields = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
-    aggs: list[Column] = [F.count(F.lit(1)).alias("n")]
-    for i, f in enumerate(fields):
-        aggs += [F.count(F.col(f.name)).alias(f"c{i}"), F.min(F.col(f.name)).cast("string").alias(f"lo{i}"),
-                 F.max(F.col(f.name)).cast("string").alias(f"hi{i}")]
+    names = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
+    aggs = [measure("count(1)", "n")]
+    for i, c in enumerate(names):
+        aggs += [measure(f"count({named(c)})", f"c{i}"), measure(f"cast(min({named(c)}) AS STRING)", f"lo{i}"),
+                 measure(f"cast(max({named(c)}) AS STRING)", f"hi{i}")]
         if not exact_distinct:
-            aggs.append(F.approx_count_distinct(F.col(f.name)).alias(f"d{i}"))
-    measured = _long_form(df.agg(*aggs), [
-        F.struct(
-            F.lit(table).alias("table_name"), F.lit(f.name).alias("column_name"), F.col("n").alias("row_count"),
-            (F.col("n") - F.col(f"c{i}")).alias("null_count"), F.col(f"lo{i}").alias("min_value"),
-            F.col(f"hi{i}").alias("max_value"),
-            *([] if exact_distinct else [F.col(f"d{i}").alias("distinct_count")]),
-        )
-        for i, f in enumerate(fields)
+            aggs.append(measure(f"approx_count_distinct({named(c)})", f"d{i}"))
+    measured = long_form(df.agg(*aggs), [
+        {
+            "table_name": quoted(table), "column_name": quoted(c), "row_count": "n", "null_count": f"n - c{i}",
+            "min_value": f"lo{i}", "max_value": f"hi{i}", **({} if exact_distinct else {"distinct_count": f"d{i}"}),
+        }
+        for i, c in enumerate(names)
     ])
     if not exact_distinct:
         return measured
-    pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).cast("string").alias("v")) for f in fields
-    ])))
+    pairs = long_form(df, [{"column_name": quoted(c), "v": f"cast({named(c)} AS STRING)"} for c in names])
     distinct = (
         pairs.where(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.lit(1).alias("one"))
         .groupBy("column_name").agg(F.count("*").alias("distinct_count"))
@@ -84,19 +73,18 @@ def pattern_matches(
     scan of the text columns.
     """
     names = list(columns) or text_columns(df)
-    aggs = [F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(names)]
+    aggs = [measure(f"count({named(c)})", f"n{i}") for i, c in enumerate(names)]
     for i, c in enumerate(names):
-        aggs += [F.count_if(F.col(c).rlike(p)).alias(f"m{i}_{j}") for j, (_, p, _) in enumerate(patterns)]
-    rows = [
-        F.struct(
-            F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(j).alias("rule_no"),
-            F.lit(name).alias("class_name"), F.col(f"n{i}").alias("value_count"), F.col(f"m{i}_{j}").alias("match_count"),
-            F.when(F.col(f"n{i}") > 0, F.lit(score) * F.col(f"m{i}_{j}") / F.col(f"n{i}")).otherwise(F.lit(0.0)).alias("score"),
-        )
+        aggs += [measure(f"count_if({named(c)} RLIKE {quoted(p)})", f"m{i}_{j}") for j, (_, p, _) in enumerate(patterns)]
+    return long_form(df.agg(*aggs), [
+        {
+            "table_name": quoted(table), "column_name": quoted(c), "rule_no": str(j), "class_name": quoted(name),
+            "value_count": f"n{i}", "match_count": f"m{i}_{j}",
+            "score": f"CASE WHEN n{i} > 0 THEN {score}D * m{i}_{j} / n{i} ELSE 0.0D END",
+        }
         for i, c in enumerate(names)
         for j, (name, _, score) in enumerate(patterns)
-    ]
-    return _long_form(df.agg(*aggs), rows)
+    ])
 
 
 def name_matches(fields: DataFrame, patterns: Sequence[Pattern] = NAME_PATTERNS, column: str = "column_name") -> DataFrame:
@@ -105,14 +93,12 @@ def name_matches(fields: DataFrame, patterns: Sequence[Pattern] = NAME_PATTERNS,
     The rules are literal expressions in one projection: each pattern compiles
     once per task and the fields are never joined with anything.
     """
-    hits = F.array(*[
-        F.when(
-            F.col(column).rlike(f"^(?:{p})$"),
-            F.struct(F.lit(i).alias("rule_no"), F.lit(name).alias("class_name"), F.lit(score).alias("score")),
-        )
+    hits = ", ".join(
+        f"CASE WHEN {named(column)} RLIKE {quoted(f'^(?:{p})$')} "
+        f"THEN named_struct('rule_no', {i}, 'class_name', {quoted(name)}, 'score', {score}D) END"
         for i, (name, p, score) in enumerate(patterns)
-    ])
-    return fields.select(*fields.columns, F.inline(F.filter(hits, lambda h: h.isNotNull())))
+    )
+    return fields.select(*fields.columns, F.expr(f"inline(filter(array({hits}), h -> h IS NOT NULL))"))
 
 
 def best_class(
@@ -183,26 +169,21 @@ TEXT_TYPES = (
     ("DATE", "date"),
     ("DATETIME", "timestamp_ntz"),
 )
+DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def infer_text_types(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """The narrowest type that every non-null text of a column can be read as."""
     names = list(columns) or text_columns(df)
-    aggs = [F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(names)]
+    aggs, records = [], []
     for i, c in enumerate(names):
+        aggs.append(measure(f"count({named(c)})", f"n{i}"))
+        choice = f"WHEN n{i} = 0 THEN 'STRING' "
         for j, (name, target) in enumerate(TEXT_TYPES):
-            value = F.col(c).try_cast(target)
+            value = f"try_cast({named(c)} AS {target})"
             if name == "DATE":  # a time of day makes it more than a date
-                value = F.when(F.col(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), value)
-            aggs.append(F.count(value).alias(f"t{i}_{j}"))
-    rows = []
-    for i, c in enumerate(names):
-        inferred = reduce(
-            lambda chosen, item: chosen.when(F.col(f"t{i}_{item[0]}") == F.col(f"n{i}"), F.lit(item[1][0])),
-            enumerate(TEXT_TYPES),
-            F.when(F.col(f"n{i}") == 0, F.lit("STRING")),
-        ).otherwise(F.lit("STRING"))
-        rows.append(F.struct(
-            F.lit(c).alias("column_name"), F.col(f"n{i}").alias("value_count"), inferred.alias("inferred_type")
-        ))
-    return _long_form(df.agg(*aggs), rows)
+                value = f"CASE WHEN {named(c)} RLIKE {quoted(DATE_TEXT)} THEN {value} END"
+            aggs.append(measure(f"count({value})", f"t{i}_{j}"))
+            choice += f"WHEN t{i}_{j} = n{i} THEN {quoted(name)} "
+        records.append({"column_name": quoted(c), "value_count": f"n{i}", "inferred_type": f"CASE {choice}ELSE 'STRING' END"})
+    return long_form(df.agg(*aggs), records)

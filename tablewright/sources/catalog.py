@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.functions.records import long_form, measure, named, quoted
 from tablewright.functions.types import array_depth, innermost, map_types, source_type
 from tablewright.operators.changes import current_version, open_table, publish
 from tablewright.operators.keys import last_wins
@@ -90,10 +91,12 @@ def crawl_table(df: DataFrame, schema_name: str, table: str, table_type: str = "
     never exploded.
     """
     fields = list(_walk(df.schema))
-    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs = [measure("count(1)", "n")]
     for i, f in enumerate(fields):
-        counted = F.coalesce(F.sum(f.present), F.lit(0)) if f.many else F.count(f.values)
-        aggs.append(counted.alias(f"v{i}"))
+        if f.many:
+            aggs.append(F.coalesce(F.sum(f.present), F.lit(0)).alias(f"v{i}"))
+        else:
+            aggs.append(measure(f"count({'.'.join(named(p) for p in f.path.split('.'))})", f"v{i}"))
         if isinstance(f.dtype, T.ArrayType):
             held = f.items()
             known = F.size(F.filter(held, lambda v: v.isNotNull()))
@@ -104,26 +107,25 @@ def crawl_table(df: DataFrame, schema_name: str, table: str, table_type: str = "
             ]
     index = {id(f): i for i, f in enumerate(fields)}
 
-    def places(f: _Field) -> Column:
+    def places(f: _Field) -> str:
         if f.parent is None:
-            return F.col("n")
-        return F.col(f"{'k' if isinstance(f.parent.dtype, T.ArrayType) else 'v'}{index[id(f.parent)]}")
+            return "n"
+        return f"{'k' if isinstance(f.parent.dtype, T.ArrayType) else 'v'}{index[id(f.parent)]}"
 
-    rows = []
+    records = []
     for i, f in enumerate(fields):
         is_array = isinstance(f.dtype, T.ArrayType)
-        rows.append(F.struct(
-            F.lit(schema_name).alias("schema_name"), F.lit(table).alias("table_name"), F.lit(table_type).alias("table_type"),
-            F.lit(f.path).alias("field_path"), F.lit(f.parent.path if f.parent else "").alias("parent_path"),
-            F.lit(f.path.split(".")[-1]).alias("column_name"), F.lit(f.ordinal).alias("ordinal"),
-            F.lit(f.parent is None).alias("top_level"), F.lit(source_type(f.dtype)).alias("source_type"),
-            F.lit(array_depth(f.dtype)).alias("array_depth"), F.lit(_class_id(f)).cast("string").alias("class_id"),
-            F.col("n").alias("row_count"), F.col(f"v{i}").alias("value_count"),
-            (places(f) - F.col(f"v{i}")).alias("null_count"),
-            (F.col(f"i{i}") if is_array else F.lit(0).cast("bigint")).alias("item_count"),
-            (F.col(f"x{i}") if is_array else F.lit(0).cast("bigint")).alias("max_items"),
-        ))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+        class_id = _class_id(f)
+        records.append({
+            "schema_name": quoted(schema_name), "table_name": quoted(table), "table_type": quoted(table_type),
+            "field_path": quoted(f.path), "parent_path": quoted(f.parent.path if f.parent else ""),
+            "column_name": quoted(f.path.split(".")[-1]), "ordinal": str(f.ordinal),
+            "top_level": str(f.parent is None), "source_type": quoted(source_type(f.dtype)),
+            "array_depth": str(array_depth(f.dtype)), "class_id": quoted(class_id) if class_id else "cast(NULL AS STRING)",
+            "row_count": "n", "value_count": f"v{i}", "null_count": f"{places(f)} - v{i}",
+            "item_count": f"i{i}" if is_array else "0L", "max_items": f"x{i}" if is_array else "0L",
+        })
+    return long_form(df.agg(*aggs), records)
 
 
 def crawl(frames: Mapping[str, DataFrame], schema_name: str, views: Mapping[str, DataFrame] | None = None) -> DataFrame:
