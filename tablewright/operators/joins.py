@@ -98,13 +98,26 @@ def replace_keys(df: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
     )
 
 
-def children_of(parents: DataFrame, parent_fields: Mapping[str, str], count, number: str = "child_no") -> DataFrame:
-    """``count`` rows (a number or a column) per parent, carrying the named parent fields."""
-    amount = F.lit(count) if isinstance(count, int) else count
-    numbers = F.when(amount > 0, F.sequence(F.lit(1), amount.cast("int"))).otherwise(F.array().cast("array<int>"))
-    return parents.select(
-        *[F.col(source).alias(target) for source, target in parent_fields.items()], F.explode(numbers).alias(number)
-    )
+def children_of(
+    parents: DataFrame, parent_fields: Mapping[str, str], count, number: str = "child_no", block: int = 10_000
+) -> DataFrame:
+    """``count`` rows (a number or a column) per parent, carrying the named parent fields.
+
+    Parents with more than ``block`` children are first cut into blocks that
+    are spread over the tasks, so one huge parent neither builds a huge array
+    nor keeps one task busy.
+    """
+    fields = [F.col(source).alias(target) for source, target in parent_fields.items()]
+    amount = (F.lit(count) if isinstance(count, int) else count).cast("bigint")
+    rows = parents.select(*fields, amount.alias("__n")).where(F.col("__n") > 0)
+    most = count if isinstance(count, int) else rows.agg(F.max("__n").alias("m")).first()["m"] or 0
+    if most <= block:
+        return rows.select(*parent_fields.values(), F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias(number))
+    blocks = rows.withColumn("__b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__n") - 1) / block).cast("bigint"))))
+    spread = blocks.repartition(*parent_fields.values(), "__b")
+    first = F.col("__b") * block + 1
+    numbers = F.sequence(first, F.least(F.col("__n"), (F.col("__b") + 1) * block))
+    return spread.select(*parent_fields.values(), F.explode(numbers.cast("array<int>")).alias(number))
 
 
 # Scores of the relation rules, and what they leave out.

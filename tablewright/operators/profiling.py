@@ -64,6 +64,30 @@ def profile(df: DataFrame, table: str, exact_distinct: bool = False) -> DataFram
     )
 
 
+def _words(*words: str):
+    return lambda c: "(" + " OR ".join(f"contains(lower({c}), {quoted(w.lower())})" for w in words) + ")"
+
+
+# What a value must have before its pattern can match at all. These tests are
+# plain scans, many times cheaper than the patterns they spare.
+NEEDED = {
+    "GENDER": _words("male"),
+    "RACE_ETHNICITY": _words("white", "black", "african american", "american indian", "alaska native", "asian", "hawaiian"),
+    "RELIGION": _words(
+        "christian", "catholic", "jehovah's witness", "jewish", "muslim", "buddhist", "hindu", "atheist", "agnostic"
+    ),
+    "EMAIL": lambda c: f"contains({c}, '@')",
+    "IP_ADDRESS": lambda c: f"right({c}, 3) RLIKE '[0-9]'",
+    "MAC_ADDRESS": lambda c: f"length({c}) BETWEEN 17 AND 19",
+}
+
+
+def _found(column: str, class_name: str, pattern: str) -> str:
+    test = f"{column} RLIKE {quoted(pattern)}"
+    usual = any(name == class_name and p == pattern for name, p, _ in DATA_PATTERNS)
+    return f"{NEEDED[class_name](column)} AND {test}" if usual and class_name in NEEDED else test
+
+
 def pattern_matches(
     df: DataFrame, table: str, columns: Sequence[str] = (), patterns: Sequence[Pattern] = DATA_PATTERNS
 ) -> DataFrame:
@@ -75,7 +99,7 @@ def pattern_matches(
     names = list(columns) or text_columns(df)
     aggs = [measure(f"count({named(c)})", f"n{i}") for i, c in enumerate(names)]
     for i, c in enumerate(names):
-        aggs += [measure(f"count_if({named(c)} RLIKE {quoted(p)})", f"m{i}_{j}") for j, (_, p, _) in enumerate(patterns)]
+        aggs += [measure(f"count_if({_found(named(c), name, p)})", f"m{i}_{j}") for j, (name, p, _) in enumerate(patterns)]
     return long_form(df.agg(*aggs), [
         {
             "table_name": quoted(table), "column_name": quoted(c), "rule_no": str(j), "class_name": quoted(name),
@@ -160,16 +184,16 @@ def classify(fields: DataFrame, frames: Mapping[str, DataFrame], threshold: floa
     return mark_pii(best_class(by_name.unionByName(by_data), threshold=threshold))
 
 
-# Candidate types for text, narrowest first.
+# Candidate types for text, narrowest first, each with the shape its text must
+# have. A failed cast is far dearer than a failed shape, so shapes go first.
 TEXT_TYPES = (
-    ("INT64", "bigint"),
-    ("NUMERIC", "decimal(38,9)"),
-    ("FLOAT64", "double"),
-    ("BOOL", "boolean"),
-    ("DATE", "date"),
-    ("DATETIME", "timestamp_ntz"),
+    ("INT64", "bigint", r"^\s*[+-]?[0-9]+\s*$"),
+    ("NUMERIC", "decimal(38,9)", r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"),
+    ("FLOAT64", "double", r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?[fd]?|nan|inf|infinity)\s*$"),
+    ("BOOL", "boolean", r"(?i)^\s*(t|true|y|yes|1|f|false|n|no|0)\s*$"),
+    ("DATE", "date", r"^\d{4}-\d{2}-\d{2}$"),
+    ("DATETIME", "timestamp_ntz", r"^\s*[+-]?\d{4,6}(-|\s*$)"),
 )
-DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def infer_text_types(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
@@ -179,10 +203,8 @@ def infer_text_types(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     for i, c in enumerate(names):
         aggs.append(measure(f"count({named(c)})", f"n{i}"))
         choice = f"WHEN n{i} = 0 THEN 'STRING' "
-        for j, (name, target) in enumerate(TEXT_TYPES):
-            value = f"try_cast({named(c)} AS {target})"
-            if name == "DATE":  # a time of day makes it more than a date
-                value = f"CASE WHEN {named(c)} RLIKE {quoted(DATE_TEXT)} THEN {value} END"
+        for j, (name, target, shape) in enumerate(TEXT_TYPES):
+            value = f"CASE WHEN {named(c)} RLIKE {quoted(shape)} THEN try_cast({named(c)} AS {target}) END"
             aggs.append(measure(f"count({value})", f"t{i}_{j}"))
             choice += f"WHEN t{i}_{j} = n{i} THEN {quoted(name)} "
         records.append({"column_name": quoted(c), "value_count": f"n{i}", "inferred_type": f"CASE {choice}ELSE 'STRING' END"})

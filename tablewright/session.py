@@ -49,7 +49,7 @@ def shared_root(spark: SparkSession) -> str:
     machine-local folder would be lost with its executor.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")

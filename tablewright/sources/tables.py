@@ -76,12 +76,10 @@ def optional_count(df: DataFrame, name: str, wanted: str) -> DataFrame:
 def counts_with_total(df: DataFrame, column: str) -> DataFrame:
     """Rows per value beside the rows of the whole table.
 
-    The second aggregate runs over one row per value, and its single row is
-    the broadcast side.
+    The total sums the same per-value counts in a scalar subquery, so no rows are joined.
     """
-    grouped = df.groupBy(column).agg(F.count("*").alias("n")).withColumn("__all", F.lit(1))
-    total = grouped.groupBy("__all").agg(F.sum("n").alias("total"))
-    return grouped.join(F.broadcast(total), "__all").drop("__all")
+    grouped = df.groupBy(column).agg(F.count("*").alias("n"))
+    return grouped.select(column, "n", grouped.agg(F.sum("n")).scalar().alias("total"))
 
 
 def in_namespace(spark: SparkSession, namespace: str, text: str, **params) -> DataFrame:
@@ -134,18 +132,13 @@ def explode_field(parents: DataFrame, keys: Sequence[str], field: str) -> DataFr
 def pick_settings(items: DataFrame, settings: DataFrame, key: str) -> DataFrame:
     """Join each item to its settings row; the row with an empty key is the default.
 
-    ``settings`` is a hand-kept table of a few rows, so it is the broadcast side.
+    Only the default row is read up front. No broadcast is forced: Spark sees
+    how small the settings are.
     """
     columns = [c for c in settings.columns if c != key]
+    default = settings.where(F.col(key) == "").select(*columns).first()
+    fallback = {c: F.lit(default[c] if default else None) for c in columns}
     named = settings.where(F.col(key) != "")
-    default = settings.where(F.col(key) == "").select(
-        F.lit(True).alias("__any"), *[F.col(c).alias(f"__default_{c}") for c in columns]
-    )
-    joined = (
-        items.withColumn("__any", F.lit(True))
-        .join(F.broadcast(default), "__any", "left")
-        .join(F.broadcast(named), key, "left")
-    )
-    return joined.select(
-        *items.columns, *[F.coalesce(F.col(c), F.col(f"__default_{c}")).alias(c) for c in columns]
+    return items.join(named, key, "left").select(
+        *items.columns, *[F.coalesce(F.col(c), fallback[c]).alias(c) for c in columns]
     )
