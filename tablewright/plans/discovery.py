@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import profiling
+from tablewright.operators.changes import open_table, publish
 from tablewright.operators.keys import collect_in_parts
 from tablewright.plans.aggregates import best_sql, data_hits_sql, text_sources
 from tablewright.plans.joining import name_hits_sql
@@ -12,21 +13,23 @@ from tablewright.plans.reference_sql import catalog_sql, columns, text, values
 from tablewright.plans.registry import query
 from tablewright.plans.scans import names
 from tablewright.rules.patterns import NAME_PATTERNS, PERSONAL_CLASSES
+from tablewright.session import scratch_path
 from tablewright.sources import catalog
 from tablewright.sources.tables import load, load_all
 
 
 def nested_orders(spark, sf):
-    """Orders with their lines as records, each line with a price record and the ship dates as a plain array."""
+    """A stored table of orders with their lines as records, each with a price record and an array of dates."""
     lines = load(spark, sf, "lineitem").select(
         "l_orderkey", F.col("l_linenumber").alias("line_no"),
         F.struct(F.col("l_extendedprice").alias("amount"), F.when(F.col("l_discount") > 0, F.col("l_discount")).alias("discount")).alias("price"),
         F.array("l_shipdate").alias("dates"),
     )
     docs = collect_in_parts(lines, ["l_orderkey"], ["line_no"], ["line_no", "price", "dates"], "lines")
-    return load(spark, sf, "orders").select("o_orderkey", F.struct("o_orderstatus", "o_totalprice").alias("head")).join(
-        docs.select(F.col("l_orderkey").alias("o_orderkey"), "lines"), "o_orderkey", "left"
-    )
+    heads = load(spark, sf, "orders").select("o_orderkey", F.struct("o_orderstatus", "o_totalprice").alias("head"))
+    path = scratch_path(spark, "nested")
+    publish(heads.join(docs.select(F.col("l_orderkey").alias("o_orderkey"), "lines"), "o_orderkey", "left"), path)
+    return open_table(spark, path)
 
 
 _ROWS = "(SELECT count(*) FROM orders)"

@@ -1,6 +1,6 @@
 """The catalog: one row per field of every table, measured from the data.
 
-Crawling is one aggregate per table. The result is stored once and every
+Crawling is one aggregate per table, plus one per array of records. The result is stored once and every
 catalog question is then a query on that small table.
 """
 
@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,64 +23,43 @@ from tablewright.session import shared_root
 from tablewright.sources.tables import TABLES, load_all
 
 
+@dataclass(frozen=True)
 class _Field:
-    """A place in a schema and the expressions that measure it.
+    """A place in a schema: where it is and how SQL text reaches it from the row at hand."""
 
-    ``values`` is the field's value in a row, or, below an array, the array of
-    all its values in that row (``many``).
-    """
-
-    def __init__(self, path, ordinal, parent, dtype, values: Column, many: bool):
-        self.path, self.ordinal, self.parent, self.dtype = path, ordinal, parent, dtype
-        self.values, self.many = values, many
+    path: str
+    ordinal: int
+    dtype: T.DataType
+    text: str
+    parent: _Field | None = None
 
     @property
-    def present(self) -> Column:
-        """How many non-null values a row holds below an array."""
-        known = F.size(F.filter(self.values, lambda v: v.isNotNull()))
-        return F.when(self.values.isNotNull(), known).otherwise(0).cast("bigint")
-
-    def items(self) -> Column:
-        """All elements of an array field in a row, nested arrays laid flat."""
-        values = self.values
-        for _ in range(array_depth(self.dtype) - (0 if self.many else 1)):
-            values = F.flatten(F.filter(values, lambda v: v.isNotNull()))
-        return values
-
-
-def _getter(name: str):
-    return lambda v: v.getField(name)
-
-
-def _walk(schema: T.StructType, parent: _Field | None = None) -> Iterator[_Field]:
+    def class_id(self) -> str | None:
+        """Id of the record class the field holds: its own name at the top, ``parent;own`` below."""
+        if not isinstance(innermost(self.dtype), T.StructType):
+            return None
+        name = self.path.split(".")[-1]
+        own = name[:1].upper() + name[1:] + "Class"
+        above = self.parent.class_id if self.parent else None
+        return f"{above};{own}" if above else own
+
+
+def _walk(schema: T.StructType, parent: _Field | None, row: str) -> Iterator[_Field]:
+    """Fields reachable without entering an array."""
     for ordinal, f in enumerate(schema.fields):
-        if parent is None:
-            field = _Field(f.name, ordinal, None, f.dataType, F.col(f"`{f.name}`"), False)
-        else:
-            many = parent.many or isinstance(parent.dtype, T.ArrayType)
-            if many:
-                held = parent.items() if isinstance(parent.dtype, T.ArrayType) else parent.values
-                values = F.transform(held, _getter(f.name))
-            else:
-                values = parent.values.getField(f.name)
-            field = _Field(f"{parent.path}.{f.name}", ordinal, parent, f.dataType, values, many)
+        path = f"{parent.path}.{f.name}" if parent else f.name
+        field = _Field(path, ordinal, f.dataType, row + named(f.name), parent)
         yield field
-        inner = innermost(f.dataType)
-        if isinstance(inner, T.StructType):
-            yield from _walk(inner, field)
-
-
-def _class_name(field: str) -> str:
-    return field[:1].upper() + field[1:] + "Class"
+        if isinstance(f.dataType, T.StructType):
+            yield from _walk(f.dataType, field, field.text + ".")
 
 
-def _class_id(field: _Field) -> str | None:
-    """Id of the record class a field holds: its own name at the top, ``parent;own`` below."""
-    if not isinstance(innermost(field.dtype), T.StructType):
-        return None
-    own = _class_name(field.path.split(".")[-1])
-    above = _class_id(field.parent) if field.parent else None
-    return f"{above};{own}" if above else own
+def _leaves(text: str, depth: int) -> str:
+    """Number of innermost items in an array of ``depth`` levels."""
+    if depth == 1:
+        return f"size({text})"
+    inner = _leaves(f"x{depth}", depth - 1)
+    return f"aggregate({text}, 0L, (a, x{depth}) -> a + coalesce({inner}, 0))"
 
 
 def crawl_table(df: DataFrame, schema_name: str, table: str, table_type: str = "BASE TABLE") -> DataFrame:
@@ -87,45 +67,43 @@ def crawl_table(df: DataFrame, schema_name: str, table: str, table_type: str = "
 
     ``value_count`` is the number of non-null values, ``null_count`` the places
     where the holding record exists but the value does not, ``item_count`` and
-    ``max_items`` the elements of an array field. Arrays are measured in place,
-    never exploded.
+    ``max_items`` the elements of an array field. One aggregate measures all
+    fields up to the arrays; each array of records adds one over its own items,
+    which reads no other column. ``row_count`` is null for fields inside arrays.
     """
-    fields = list(_walk(df.schema))
-    aggs = [measure("count(1)", "n")]
-    for i, f in enumerate(fields):
-        if f.many:
-            aggs.append(F.coalesce(F.sum(f.present), F.lit(0)).alias(f"v{i}"))
-        else:
-            aggs.append(measure(f"count({'.'.join(named(p) for p in f.path.split('.'))})", f"v{i}"))
-        if isinstance(f.dtype, T.ArrayType):
-            held = f.items()
-            known = F.size(F.filter(held, lambda v: v.isNotNull()))
-            aggs += [
-                F.coalesce(F.sum(F.when(held.isNotNull(), F.size(held))), F.lit(0)).cast("bigint").alias(f"i{i}"),
-                F.coalesce(F.sum(F.when(held.isNotNull(), known)), F.lit(0)).cast("bigint").alias(f"k{i}"),
-                F.coalesce(F.max(F.when(held.isNotNull(), F.size(held))), F.lit(0)).cast("bigint").alias(f"x{i}"),
-            ]
-    index = {id(f): i for i, f in enumerate(fields)}
-
-    def places(f: _Field) -> str:
-        if f.parent is None:
-            return "n"
-        return f"{'k' if isinstance(f.parent.dtype, T.ArrayType) else 'v'}{index[id(f.parent)]}"
+    common = {"schema_name": quoted(schema_name), "table_name": quoted(table), "table_type": quoted(table_type)}
+    return reduce(DataFrame.unionByName, _measure(df, df.schema, None, "", common))
+
 
+def _measure(df: DataFrame, schema: T.StructType, holder: _Field | None, row: str, common: Mapping[str, str]) -> Iterator[DataFrame]:
+    fields = list(_walk(schema, holder, row))
+    places = {None: "n", holder: "n"}
+    aggs = [measure(f"count({row.rstrip('.') or 1})", "n")]
     records = []
     for i, f in enumerate(fields):
-        is_array = isinstance(f.dtype, T.ArrayType)
-        class_id = _class_id(f)
+        depth = array_depth(f.dtype)
+        aggs.append(measure(f"count({f.text})", f"v{i}"))
+        if depth:
+            aggs += [measure(f"coalesce(sum({_leaves(f.text, depth)}), 0L)", f"i{i}"),
+                     measure(f"coalesce(max(size({f.text})), 0)", f"x{i}")]
+        places[f] = f"v{i}"
         records.append({
-            "schema_name": quoted(schema_name), "table_name": quoted(table), "table_type": quoted(table_type),
-            "field_path": quoted(f.path), "parent_path": quoted(f.parent.path if f.parent else ""),
-            "column_name": quoted(f.path.split(".")[-1]), "ordinal": str(f.ordinal),
-            "top_level": str(f.parent is None), "source_type": quoted(source_type(f.dtype)),
-            "array_depth": str(array_depth(f.dtype)), "class_id": quoted(class_id) if class_id else "cast(NULL AS STRING)",
-            "row_count": "n", "value_count": f"v{i}", "null_count": f"{places(f)} - v{i}",
-            "item_count": f"i{i}" if is_array else "0L", "max_items": f"x{i}" if is_array else "0L",
+            **common, "field_path": quoted(f.path), "parent_path": quoted(f.parent.path if f.parent else ""),
+            "column_name": quoted(f.path.split(".")[-1]), "ordinal": str(f.ordinal), "top_level": str(f.parent is None),
+            "source_type": quoted(source_type(f.dtype)), "array_depth": str(depth),
+            "class_id": quoted(f.class_id) if f.class_id else "cast(NULL AS STRING)",
+            "row_count": "cast(NULL AS BIGINT)" if holder else "n", "value_count": f"v{i}",
+            "null_count": f"{places[f.parent]} - v{i}", "item_count": f"i{i}" if depth else "0L",
+            "max_items": f"cast(x{i} AS BIGINT)" if depth else "0L",
         })
-    return long_form(df.agg(*aggs), records)
+    yield long_form(df.agg(*aggs), records)
+    for f in fields:
+        inner = innermost(f.dtype)
+        if isinstance(f.dtype, T.ArrayType) and isinstance(inner, T.StructType):
+            items = df.selectExpr(f"explode({f.text}) AS item")
+            for _ in range(array_depth(f.dtype) - 1):
+                items = items.selectExpr("explode(item) AS item")
+            yield from _measure(items, inner, f, "item.", common)
 
 
 def crawl(frames: Mapping[str, DataFrame], schema_name: str, views: Mapping[str, DataFrame] | None = None) -> DataFrame:
