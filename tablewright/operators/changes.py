@@ -36,13 +36,8 @@ def open_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(f"{path}/{version}")
 
 
-def publish(df: DataFrame, path: str, expect=...) -> int:
-    """Write a new version, check its row count and swap it in with one rename.
-
-    A failure at any point leaves the published version as it was. ``expect``
-    names the version the rows were made from; if another writer has published
-    since, nothing is swapped.
-    """
+def stage(df: DataFrame, path: str) -> tuple[str, int]:
+    """Write rows as a version that nobody sees yet; its name and checked row count come back."""
     spark = df.sparkSession
     version = f"v-{uuid.uuid4().hex}"
     sent = Observation(version)
@@ -51,10 +46,37 @@ def publish(df: DataFrame, path: str, expect=...) -> int:
     stored = spark.read.schema(df.schema).parquet(f"{path}/{version}").count()
     if stored != rows:
         raise PublishError(f"{rows} rows were sent to {path} but {stored} were stored")
-    if expect is not ... and current_version(spark, path) != expect:
-        raise PublishError(f"{path} was changed by another writer")
+    return version, stored
+
+
+def show(spark: SparkSession, path: str, version: str) -> None:
+    """Make a staged version the published one, by one rename."""
     files.replace_text(spark, f"{path}/{POINTER}", version)
-    return stored
+
+
+def publish(df: DataFrame, path: str, expect=...) -> int:
+    """Write a new version, check its row count and swap it in.
+
+    A failure at any point leaves the published version as it was. ``expect``
+    names the version the rows were made from; if another writer has published
+    since, nothing is swapped.
+    """
+    version, rows = stage(df, path)
+    if expect is not ... and current_version(df.sparkSession, path) != expect:
+        raise PublishError(f"{path} was changed by another writer")
+    show(df.sparkSession, path, version)
+    return rows
+
+
+def publish_together(frames: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Publish several tables only when all of them could be staged.
+
+    The swaps then follow one by one, so each table on its own is all or nothing.
+    """
+    staged = {path: stage(df, path) for path, df in frames.items()}
+    for path, (version, _) in staged.items():
+        show(frames[path].sparkSession, path, version)
+    return {path: rows for path, (_, rows) in staged.items()}
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
@@ -70,14 +92,17 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> list[str
 def append(df: DataFrame, path: str, batch_rows: int = 1_000_000) -> None:
     """Append rows so that every finished batch stays, whatever happens to later ones.
 
-    A batch is one written file of at most ``batch_rows`` rows. The committer's
-    direct mode makes each task's files visible when that task ends; there is
-    no job-wide undo, so a failed run keeps what it had written.
+    Rows are fitted to the columns already stored; a column the table lacks is
+    an error. A batch is one written file of at most ``batch_rows`` rows. The
+    committer's direct mode makes each task's files visible when that task
+    ends; there is no job-wide undo, so a failed run keeps what it had written.
     """
-    rows = 1000 if batch_rows <= 0 else batch_rows
+    spark = df.sparkSession
+    if any(name.startswith("part-") for name in files.child_names(spark, path)):
+        df = fit_to_schema(df, spark.read.parquet(path).schema)
     (
         df.write.mode("append")
-        .option("maxRecordsPerFile", rows)
+        .option("maxRecordsPerFile", 1000 if batch_rows <= 0 else batch_rows)
         .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         .parquet(path)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.hashing import hash_number, hash_pick
+from tablewright.functions.hashing import hash_hex, hash_number, hash_pick
 from tablewright.operators.changes import current_version, open_table, publish
 from tablewright.operators.generating import generate, numbered_value
 from tablewright.operators.joins import replace_keys
@@ -44,10 +44,15 @@ def mask_email(first: Column, last: Column) -> Column:
 
 
 def unique_mapping(df: DataFrame, column: str, class_name: str) -> DataFrame:
-    """A different masked value for each distinct non-null value of a column."""
+    """A different masked value for each distinct non-null value of a column.
+
+    Values are numbered in the order of their hash, so masks do not give away
+    how the originals sort.
+    """
     generator, settings, _, _ = BY_CLASS[class_name]
     values = df.select(F.col(column).alias("source_value")).where("source_value IS NOT NULL").distinct()
-    numbered = dense_ids(values, ["source_value"], "__n")
+    mixed = values.withColumn("__h", hash_hex(class_name, F.col("source_value"), 0))
+    numbered = dense_ids(mixed, ["__h", "source_value"], "__n")
     value, room = numbered_value(generator, settings, F.col("__n"))
     if numbered.count() > room:
         raise DomainTooSmall(f"{class_name} has room for {room} values")

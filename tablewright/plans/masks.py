@@ -52,7 +52,9 @@ _LETTERS = "translate(lpad(lower(printf('%x', rn)), 12, '0'), '0123456789abcdef'
     f"{_LETTERS} || '@example.com' AS email, "
     f"{ref.hash_pick('gender', 'c_custkey', ['Male', 'Female'])} AS gender, "
     f"{ref.hash_range('age', 'c_custkey', 0, 18, 99)}::INT AS age, c_acctbal FROM customer "
-    f"JOIN (SELECT c_name AS n, row_number() OVER (ORDER BY c_name || '@mail.example') - 1 AS rn FROM (SELECT DISTINCT c_name FROM customer)) ON n = c_name",
+    f"JOIN (SELECT c_name AS n, row_number() OVER (ORDER BY "
+    + ref.hash_hex("EMAIL", "c_name || '@mail.example'", 0)
+    + ", c_name || '@mail.example') - 1 AS rn FROM (SELECT DISTINCT c_name FROM customer)) ON n = c_name",
 )
 def mask_by_catalog(spark, sf):
     people = _people(spark, sf)

@@ -20,6 +20,7 @@ from tablewright.functions.types import array_depth, innermost, map_types, sourc
 from tablewright.operators.changes import current_version, open_table, publish
 from tablewright.operators.keys import last_wins
 from tablewright.session import shared_root
+from tablewright.sources import files
 from tablewright.sources.tables import TABLES, load_all
 
 
@@ -208,8 +209,8 @@ def parse_complex(df: DataFrame, column: str) -> DataFrame:
 
 
 def stored_catalog(spark: SparkSession, root: str, schema_name: str = "main") -> DataFrame:
-    """The catalog of a table folder, crawled on first use and read back after that."""
-    mark = hashlib.md5(f"{root}|{schema_name}".encode()).hexdigest()
+    """The catalog of a table folder, crawled on first use and again when its tables change."""
+    mark = hashlib.md5(f"{root}|{schema_name}|{files.state(spark, root)}".encode()).hexdigest()
     path = f"{shared_root(spark)}/tablewright/{spark.sparkContext.applicationId}/catalog-{mark}"
     if current_version(spark, path) is None:
         frames = load_all(spark, root, TABLES)

@@ -27,6 +27,13 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
 
 
+def state(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of what lies directly in a folder."""
+    fs, place = _locate(spark, path)
+    found = fs.listStatus(place) if fs.exists(place) else []
+    return ",".join(sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in found))
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     fs, place = _locate(spark, path)
     fs.delete(place, True)

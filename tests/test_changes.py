@@ -38,6 +38,24 @@ def test_publish_refuses_a_version_it_was_not_made_from(spark, path):
     assert rows(changes.open_table(spark, path)) == [(2, "b")]
 
 
+def test_tables_are_published_together_or_not_at_all(spark, path):
+    changes.publish(pairs(spark, (0, "old")), f"{path}/a")
+    bad = spark.range(3).select(F.expr("cast('x' as int)").alias("k"), F.lit("c").alias("v"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        changes.publish_together({f"{path}/a": pairs(spark, (1, "a")), f"{path}/b": bad})
+    assert rows(changes.open_table(spark, f"{path}/a")) == [(0, "old")]
+    assert changes.publish_together({f"{path}/a": pairs(spark, (1, "a")), f"{path}/b": pairs(spark, (2, "b"))}) == {f"{path}/a": 1, f"{path}/b": 1}
+    assert rows(changes.open_table(spark, f"{path}/a")) == [(1, "a")] and rows(changes.open_table(spark, f"{path}/b")) == [(2, "b")]
+
+
+def test_append_fits_the_stored_columns(spark, path):
+    changes.append(pairs(spark, (1, "a")), path)
+    changes.append(spark.createDataFrame([("7",)], "k string"), path)
+    with pytest.raises(ValueError, match="extra"):
+        changes.append(spark.createDataFrame([(1, 2)], "k int, extra int"), path)
+    assert rows(spark.read.parquet(path)) == sorted([(1, "a"), (7, None)], key=repr)
+
+
 def test_old_versions_can_be_dropped(spark, path):
     for n in range(3):
         changes.publish(pairs(spark, (n, "x")), path)
