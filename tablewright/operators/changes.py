@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,12 +167,13 @@ def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
 
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> dict[str, int]:
     """Replace on key match, else insert; two source rows with one key are an error."""
-    twice = source.groupBy(*keys).count().where(F.col("count") > 1)
-    if not twice.isEmpty():
+    per_key = source.groupBy(*keys).agg(F.count("*").alias("n"))
+    most, offered = per_key.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if most > 1:
         raise ValueError(f"source rows are not unique on {', '.join(keys)}")
     version = current_version(spark, path)
     target = open_table(spark, path)
-    before, offered = target.count(), source.count()
+    before = target.count()
     after = publish(upserted(target, source, keys), path, expect=version)
     inserted = after - before
     return {"matched": offered - inserted, "inserted": inserted}
@@ -193,24 +195,37 @@ def split_errors(df: DataFrame, target: T.StructType) -> tuple[DataFrame, DataFr
     The error rows hold the whole offending row as JSON beside column and raw
     value, so nothing is lost.
     """
+    paired, failed = _judged(df, target)
+    return _good(paired, failed, target), _bad(paired, failed, df.columns)
+
+
+def _judged(df: DataFrame, target: T.StructType) -> tuple[DataFrame, dict[str, Column]]:
+    """Raw and fitted columns side by side, and per column whether its value did not fit."""
     paired = df.select(*[F.col(c).alias(f"raw_{c}") for c in df.columns],
                        *[c.alias(f"fit_{n}") for n, c in _fitted(df, target)])
     names = [f.name for f in target.fields if f.name in df.columns]
-    failed = {n: F.col(f"raw_{n}").isNotNull() & F.col(f"fit_{n}").isNull() for n in names}
-    any_failed = None
-    for c in failed.values():
-        any_failed = c if any_failed is None else any_failed | c
-    good = paired.where(~any_failed).select(*[F.col(f"fit_{f.name}").alias(f.name) for f in target.fields])
-    whole = F.to_json(F.struct(*[F.col(f"raw_{c}").alias(c) for c in df.columns]))
+    return paired, {n: F.col(f"raw_{n}").isNotNull() & F.col(f"fit_{n}").isNull() for n in names}
+
+
+def _any(failed: Mapping[str, Column]) -> Column:
+    return reduce(lambda a, b: a | b, failed.values(), F.lit(False))
+
+
+def _good(paired: DataFrame, failed: Mapping[str, Column], target: T.StructType) -> DataFrame:
+    return paired.where(~_any(failed)).select(*[F.col(f"fit_{f.name}").alias(f.name) for f in target.fields])
+
+
+def _bad(paired: DataFrame, failed: Mapping[str, Column], columns: Sequence[str]) -> DataFrame:
+    whole = F.to_json(F.struct(*[F.col(f"raw_{c}").alias(c) for c in columns]))
     problems = F.filter(
         F.array(*[
-            F.when(failed[n], F.struct(F.lit(n).alias("column_name"), F.col(f"raw_{n}").cast("string").alias("raw_value")))
-            for n in names
+            F.when(c, F.struct(F.lit(n).alias("column_name"), F.col(f"raw_{n}").cast("string").alias("raw_value")))
+            for n, c in failed.items()
         ]),
         lambda p: p.isNotNull(),
     )
-    bad = paired.where(any_failed).select(F.explode(problems).alias("p"), whole.alias("row_json"))
-    return good, bad.select("p.column_name", "p.raw_value", "row_json")
+    bad = paired.where(_any(failed)).select(F.explode(problems).alias("p"), whole.alias("row_json"))
+    return bad.select("p.column_name", "p.raw_value", "row_json")
 
 
 def _fitted(df: DataFrame, target: T.StructType):
@@ -225,8 +240,17 @@ def _fitted(df: DataFrame, target: T.StructType):
 
 
 def load_with_errors(df: DataFrame, target: T.StructType, good_path: str, error_path: str) -> tuple[int, int]:
-    good, bad = split_errors(df, target)
-    return publish(good, good_path), publish(bad, error_path)
+    """Publish the rows that fit and, apart, the values that do not.
+
+    The first pass also counts the failing rows; the source is read again only
+    if there are any.
+    """
+    paired, failed = _judged(df, target)
+    seen = Observation(f"failing-{uuid.uuid4().hex}")
+    watched = paired.observe(seen, F.count_if(_any(failed)).alias("rows"))
+    loaded = publish(_good(watched, failed, target), good_path)
+    bad = _bad(paired, failed, df.columns)
+    return loaded, publish(bad if seen.get["rows"] else df.sparkSession.createDataFrame([], bad.schema), error_path)
 
 
 def run_by_level(

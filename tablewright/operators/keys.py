@@ -1,10 +1,10 @@
-"""Sequence ids, batches, positions and last-wins without a single-task window."""
+"""Sequence ids, batches, positions and last-wins; no task ever gets a whole table or a hot key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.session import scratch_path
@@ -59,12 +59,14 @@ def batch_numbers(df: DataFrame, order: Sequence[str], size: int = 1000, name: s
     return numbered.withColumn(name, F.floor((F.col("__id") - 1) / F.lit(rows)).cast("bigint")).drop("__id")
 
 
-def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position") -> DataFrame:
-    """Zero-based place of each row within its key, however many rows a key has.
+def large_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame | None:
+    """Keys with more than ``rows`` rows, or None if there are none; counts merge before the shuffle."""
+    found = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > rows).select(*keys)
+    return None if found.isEmpty() else found
 
-    Places come from the global numbering minus the key's first number, so no
-    key is ever sorted by one task.
-    """
+
+def _numbered_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Places as the global number minus the key's first number: no key is sorted by one task."""
     numbered = dense_ids(df, [*keys, *order], "__id")
     firsts = numbered.groupBy(*keys).agg(F.min("__id").alias("__first"))
     return (
@@ -74,6 +76,22 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
     )
 
 
+def positions(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position", window_rows: int = 1_000_000
+) -> DataFrame:
+    """Zero-based place of each row within its key, in ``order``, which must be unique in the key.
+
+    Keys of up to ``window_rows`` rows are numbered by an ordinary window, one
+    shuffle. Larger keys go through the global numbering instead.
+    """
+    place = (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint")
+    large = large_keys(df, keys, window_rows)
+    if large is None:
+        return df.withColumn(name, place)
+    small = match(df, large, keys, "left_anti").withColumn(name, place)
+    return small.unionByName(_numbered_positions(match(df, large, keys, "left_semi"), keys, order, name))
+
+
 def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key; an aggregate, so duplicates merge before the shuffle."""
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -93,15 +111,14 @@ def collect_in_parts(
     consecutive parts by position, so that no task ever holds a whole hot key
     and nothing is left out.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
-    large = sizes.where(F.col("__n") > part_rows).select(*keys)
+    large = large_keys(df, keys, part_rows)
     ordered = F.sort_array(F.collect_list(F.struct(*[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)],
                                                    F.struct(*values).alias("v"))))
     gathered = F.transform(ordered, lambda r: r["v"]).alias(name)
-    if large.isEmpty():
+    if large is None:
         return df.groupBy(*keys).agg(gathered).select(*keys, F.lit(0).cast("bigint").alias("part"), name)
     small = match(df, large, keys, "left_anti").groupBy(*keys).agg(gathered)
-    placed = positions(match(df, large, keys, "left_semi"), keys, order, "__position")
+    placed = _numbered_positions(match(df, large, keys, "left_semi"), keys, order, "__position")
     cut = (
         placed.withColumn("part", F.floor(F.col("__position") / F.lit(part_rows)).cast("bigint"))
         .groupBy(*keys, "part").agg(gathered)

@@ -75,7 +75,7 @@ def agg_null_percentage(spark, sf):
     gaps = events.select(*[
         F.col(c) if c == "event_type" else F.when(F.col("event_type") != "view", F.col(c)).alias(c) for c in events.columns
     ])
-    shares = profiling.null_percentages(gaps, "events").unionByName(profiling.null_percentages(load(spark, sf, "orders"), "orders"))
+    shares = profiling.null_percentages(gaps, "events").unionByName(profiling.null_percentages(tables.load_counted(spark, sf, "orders"), "orders"))
     return shares.withColumn("null_share", F.round("null_share", 6))
 
 

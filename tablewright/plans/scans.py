@@ -114,7 +114,7 @@ def catalog_field_descriptions(spark, sf):
     " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in tables.TABLES),
 )
 def table_row_counts(spark, sf):
-    return tables.row_counts(tables.load_all(spark, sf))
+    return tables.row_counts({name: tables.load_counted(spark, sf, name) for name in tables.TABLES})
 
 
 SAMPLED = (("region", "r_regionkey"), ("supplier", "s_suppkey"), ("lineitem", "l_orderkey, l_linenumber"))
@@ -201,7 +201,7 @@ def limit_capped_query(spark, sf):
     + ")",
 )
 def limit_sample_clamp(spark, sf):
-    counts = tables.row_counts(tables.load_all(spark, sf))
+    counts = tables.row_counts({name: tables.load_counted(spark, sf, name) for name in tables.TABLES})
     return counts.withColumn("sample_rows", tables.sample_size(F.col("row_count")))
 
 

@@ -21,7 +21,7 @@ from tablewright.operators.changes import current_version, open_table, publish
 from tablewright.operators.keys import last_wins
 from tablewright.session import shared_root
 from tablewright.sources import files
-from tablewright.sources.tables import TABLES, load_all
+from tablewright.sources.tables import TABLES, load, load_counted
 
 
 @dataclass(frozen=True)
@@ -70,7 +70,8 @@ def crawl_table(df: DataFrame, schema_name: str, table: str, table_type: str = "
     where the holding record exists but the value does not, ``item_count`` and
     ``max_items`` the elements of an array field. One aggregate measures all
     fields up to the arrays; each array of records adds one over its own items,
-    which reads no other column. ``row_count`` is null for fields inside arrays.
+    which reads no other column. On frames from ``load_counted`` the counts come
+    from file footers and no column is read. ``row_count`` is null for fields inside arrays.
     """
     common = {"schema_name": quoted(schema_name), "table_name": quoted(table), "table_type": quoted(table_type)}
     return reduce(DataFrame.unionByName, _measure(df, df.schema, None, "", common))
@@ -213,7 +214,7 @@ def stored_catalog(spark: SparkSession, root: str, schema_name: str = "main") ->
     mark = hashlib.md5(f"{root}|{schema_name}|{files.state(spark, root)}".encode()).hexdigest()
     path = f"{shared_root(spark)}/tablewright/{spark.sparkContext.applicationId}/catalog-{mark}"
     if current_version(spark, path) is None:
-        frames = load_all(spark, root, TABLES)
-        views = {"open_orders": frames["orders"].where("o_orderstatus = 'O'")}
+        frames = {name: load_counted(spark, root, name) for name in TABLES}
+        views = {"open_orders": load(spark, root, "orders").where("o_orderstatus = 'O'")}
         publish(crawl(frames, schema_name, views).coalesce(1), path)
     return open_table(spark, path)

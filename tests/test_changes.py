@@ -116,6 +116,14 @@ def test_errors_are_set_aside_whole(spark, path):
     assert rows(bad) == [("a", "x", '{"a":"x","b":"y"}'), ("b", "y", '{"a":"x","b":"y"}')]
 
 
+def test_load_with_and_without_errors(spark, path):
+    target = T.StructType([T.StructField("a", T.IntegerType())])
+    for texts, wanted in ((("1", "x", None), (2, 1)), (("1", "2"), (2, 0))):
+        df = spark.createDataFrame([(t,) for t in texts], "a string")
+        assert changes.load_with_errors(df, target, f"{path}/good", f"{path}/bad") == wanted
+        assert changes.open_table(spark, f"{path}/bad").columns == ["column_name", "raw_value", "row_json"]
+
+
 def test_levels_stop_after_a_failure(spark, path):
     bad = spark.range(3).select(F.expr("cast('x' as int)").alias("k"))
     levels = [{"a": pairs(spark, (1, "a"))}, {"b": bad, "c": pairs(spark, (1, "c"))}, {"d": pairs(spark, (1, "d"))}]

@@ -57,6 +57,19 @@ def test_empty_table(spark):
     assert {p: r.row_count for p, r in found.items()} == {"a": 0, "b": 0, "b.c": None}
 
 
+def test_counts_come_from_footers(spark, data):
+    from tablewright.sources.tables import load, load_counted
+
+    setting = spark.conf.get("spark.sql.sources.useV1SourceList")
+    for name in ("orders", "embeddings"):
+        usual, counted = load(spark, data, name), load_counted(spark, data, name)
+        assert counted.schema == usual.schema
+        assert by_path(catalog.crawl_table(counted, "s", name)) == by_path(catalog.crawl_table(usual, "s", name))
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == setting
+    plan = catalog.crawl_table(load_counted(spark, data, "orders"), "s", "orders")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)" in plan
+
+
 def test_views_are_left_out(spark):
     frames = {"t": spark.range(3)}
     fields = catalog.crawl(frames, "main", views={"v": spark.range(2)})

@@ -39,11 +39,13 @@ def test_batches(spark):
 
 def test_positions_of_a_hot_key(spark):
     df = hot(spark)
-    got = {(r.k, r.o): r.position for r in keys.positions(df, ["k"], ["o"]).collect()}
     by_key = {}
     for r in df.collect():
         by_key.setdefault(r.k, []).append(r.o)
-    assert got == {(k, o): i for k, os in by_key.items() for i, o in enumerate(sorted(os))}
+    wanted = {(k, o): i for k, os in by_key.items() for i, o in enumerate(sorted(os))}
+    for window_rows in (1_000_000, 500, 1):
+        placed = keys.positions(df, ["k"], ["o"], window_rows=window_rows)
+        assert {(r.k, r.o): r.position for r in placed.collect()} == wanted
 
 
 def test_large_keys_come_in_parts_and_whole(spark):
