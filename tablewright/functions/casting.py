@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from tablewright.functions.types import spark_type, standard_name
 
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-TIME_FORMAT = "HH:mm:ss.SSSSSS"
 
 
 def null_token(column: Column, token: str = "null") -> Column:
@@ -89,13 +88,13 @@ def write_value(column: Column, dtype: T.DataType, type_name: str) -> Column:
         return F.base64(column.cast("binary"))
     if name == "DATE":
         _require(text or isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)), name, dtype)
-        return column if text else F.date_format(column, "yyyy-MM-dd")
+        return column if text else date_text(column)
     if name == "TIME":
         _require(text or isinstance(dtype, (T.TimestampType, T.TimestampNTZType)), name, dtype)
-        return column if text else F.date_format(column, TIME_FORMAT)
+        return column if text else time_text(column, dtype)
     if name in ("DATETIME", "TIMESTAMP"):
         _require(text or isinstance(dtype, (T.TimestampType, T.TimestampNTZType)), name, dtype)
-        return column if text else F.date_format(column, DATETIME_FORMAT)
+        return column if text else datetime_text(column, dtype)
     if name == "JSON":
         return json_text(column, dtype)
     if name in ("INTERVAL", "RANGE"):
@@ -103,10 +102,29 @@ def write_value(column: Column, dtype: T.DataType, type_name: str) -> Column:
     raise ValueError(f"unsupported type: {type_name}")
 
 
+def datetime_text(column: Column, dtype: T.DataType) -> Column:
+    """``yyyy-MM-dd HH:mm:ss.SSSSSS``; a zoneless value never passes through the session's zone."""
+    if not isinstance(dtype, T.TimestampNTZType):
+        return F.date_format(column, DATETIME_FORMAT)
+    text = column.cast("string")
+    return F.rpad(F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text), 26, "0")
+
+
+def time_text(column: Column, dtype: T.DataType) -> Column:
+    """``HH:mm:ss.SSSSSS`` of a date-time."""
+    return F.substring(datetime_text(column, dtype), 12, 15)
+
+
+def date_text(column: Column) -> Column:
+    return column.cast("date").cast("string")
+
+
 def micros(column: Column) -> Column:
     """Microseconds since 1970 of a zoneless date-time."""
-    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.date_trunc("second", column))
-    return seconds * F.lit(1_000_000) + F.date_format(column, "SSSSSS").cast("bigint")
+    span = column - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    part = lambda unit: F.extract(F.lit(unit), span)
+    minutes = (part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes.cast("bigint") * F.lit(60_000_000) + (part("SECOND") * F.lit(1_000_000)).cast("bigint")
 
 
 def from_epoch_days(column: Column) -> Column:
@@ -123,7 +141,7 @@ def from_epoch_micros(column: Column) -> Column:
 
 def time_of_micros(column: Column) -> Column:
     """``HH:mm:ss.SSSSSS`` from microseconds since midnight."""
-    return F.date_format(from_epoch_micros(column), TIME_FORMAT)
+    return time_text(from_epoch_micros(column), T.TimestampNTZType())
 
 
 def interval_text(months: Column, days: Column, hours: Column, minutes: Column, seconds: Column) -> Column:

@@ -23,18 +23,19 @@ class PublishError(RuntimeError):
 
 
 def current_version(spark: SparkSession, path: str) -> str | None:
+    """Names of the folders that make up the published table, one per line."""
     pointer = f"{path}/{POINTER}"
     return files.read_text(spark, pointer).strip() if files.exists(spark, pointer) else None
 
 
 def open_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The published version of a table; readers never see a staged one."""
+    """The published rows of a table; readers never see staged ones."""
     version = current_version(spark, path)
     if version is None:
         raise FileNotFoundError(f"nothing published at {path}")
     reader = spark.read.option("recursiveFileLookup", "true")
     reader = reader.schema(schema) if schema else reader
-    return reader.parquet(f"{path}/{version}")
+    return reader.parquet(*[f"{path}/{folder}" for folder in version.split("\n")])
 
 
 def stage(df: DataFrame, path: str) -> tuple[str, int]:
@@ -50,44 +51,56 @@ def stage(df: DataFrame, path: str) -> tuple[str, int]:
     return version, stored
 
 
-def show(spark: SparkSession, path: str, version: str) -> None:
-    """Make a staged version the published one, by one rename."""
-    files.replace_text(spark, f"{path}/{POINTER}", version)
+def show(spark: SparkSession, path: str, folders: Sequence[str], expect=...) -> None:
+    """Make staged folders the published table, by one rename.
+
+    ``expect`` names the version the rows were made from; if another writer
+    has published since, nothing is swapped.
+    """
+    if expect is not ... and current_version(spark, path) != expect:
+        raise PublishError(f"{path} was changed by another writer")
+    files.replace_text(spark, f"{path}/{POINTER}", "\n".join(folders))
 
 
 def publish(df: DataFrame, path: str, expect=...) -> int:
-    """Write a new version, check its row count and swap it in.
+    """Replace a table: write a new version, check its row count and swap it in.
 
-    A failure at any point leaves the published version as it was. ``expect``
-    names the version the rows were made from; if another writer has published
-    since, nothing is swapped.
+    A failure at any point leaves the published version as it was.
     """
-    version, rows = stage(df, path)
-    if expect is not ... and current_version(df.sparkSession, path) != expect:
-        raise PublishError(f"{path} was changed by another writer")
-    show(df.sparkSession, path, version)
+    folder, rows = stage(df, path)
+    show(df.sparkSession, path, [folder], expect)
     return rows
 
 
-def publish_together(frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Publish several tables only when all of them could be staged.
+def publish_more(df: DataFrame, path: str) -> int:
+    """Add rows to a table, all or none of them, without rewriting what is there."""
+    return publish_more_together({path: df})[path]
+
+
+def publish_more_together(frames: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Add rows to several tables, and only when all of them could be staged.
 
-    The swaps then follow one by one, so each table on its own is all or nothing.
+    Rows are fitted to the published columns; a column a table lacks is an
+    error. The swaps follow one by one, so each table on its own is all or nothing.
     """
-    staged = {path: stage(df, path) for path, df in frames.items()}
-    for path, (version, _) in staged.items():
-        show(frames[path].sparkSession, path, version)
-    return {path: rows for path, (_, rows) in staged.items()}
-
-
-def drop_old_versions(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
-    """Delete versions that are not current, sparing the ``keep`` - 1 newest of them by name order."""
-    current = current_version(spark, path)
-    old = [n for n in files.child_names(spark, path) if n.startswith("v-") and n != current]
-    gone = old[: max(0, len(old) - (keep - 1))]
-    for name in gone:
+    staged = {}
+    for path, df in frames.items():
+        spark = df.sparkSession
+        version = current_version(spark, path)
+        fitted = df if version is None else fit_to_schema(df, open_table(spark, path).schema)
+        staged[path] = (version, *stage(fitted, path))
+    for path, (version, folder, _) in staged.items():
+        show(frames[path].sparkSession, path, [*(version.split("\n") if version else []), folder], version)
+    return {path: rows for path, (_, _, rows) in staged.items()}
+
+
+def drop_old_versions(spark: SparkSession, path: str) -> list[str]:
+    """Delete the folders that are not part of the published table; run it when nobody is writing."""
+    current = (current_version(spark, path) or "").split("\n")
+    old = [n for n in files.child_names(spark, path) if n.startswith("v-") and n not in current]
+    for name in old:
         files.delete_tree(spark, f"{path}/{name}")
-    return gone
+    return old
 
 
 def append(df: DataFrame, path: str, batch_rows: int = 1_000_000) -> None:
@@ -283,8 +296,8 @@ def run_by_level(
 def load_by_level(
     spark: SparkSession, levels: Sequence[Mapping[str, DataFrame]], root: str, parallel: int = 4
 ) -> DataFrame:
-    """Publish tables level by level, parents first."""
-    jobs = [{n: (lambda df=df, n=n: publish(df, f"{root}/{n}")) for n, df in level.items()} for level in levels]
+    """Add rows to tables level by level, parents first."""
+    jobs = [{n: (lambda df=df, n=n: publish_more(df, f"{root}/{n}")) for n, df in level.items()} for level in levels]
     return run_by_level(spark, jobs, parallel)
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.operators.changes import delete_all, open_table, publish
+from tablewright.operators.changes import delete_all, open_table, publish, publish_more
 from tablewright.operators.filters import typed_filter
 from tablewright.operators.keys import collect_in_parts
 from tablewright.operators.masking import mask_from
@@ -100,5 +100,5 @@ def run_table_task(spark: SparkSession, df: DataFrame, task: TableTask, path: st
     rows = extract_rows(df, task)
     counted = rows.count()
     removed = delete_all(spark, path) if task.delete else 0
-    loaded = publish(rows, path)
+    loaded = publish_more(rows, path)
     return {"counted": counted, "removed": removed, "loaded": loaded, "stored": open_table(spark, path).count()}

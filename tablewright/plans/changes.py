@@ -33,7 +33,9 @@ def append_batched_default(spark, sf):
 @query("publish_atomic_pending", ORDER_TOTALS)
 def publish_atomic_pending(spark, sf):
     path = scratch_path(spark, "publish")
-    changes.publish(load(spark, sf, "orders"), path)
+    orders = load(spark, sf, "orders")
+    changes.publish(orders.where("o_orderstatus = 'F'"), path)
+    changes.publish_more(orders.where("o_orderstatus <> 'F'"), path)
     return order_totals(changes.open_table(spark, path))
 
 

@@ -21,7 +21,7 @@ from tablewright.sources.tables import load
 def fn_cast_by_type_name(spark, sf):
     text = load(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string"), F.col("o_orderdate").cast("string"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_day"), (F.col("o_totalprice") > 1000).cast("string").alias("large"),
+        casting.date_text(F.col("o_orderdate")).alias("o_day"), (F.col("o_totalprice") > 1000).cast("string").alias("large"),
     )
     kinds = {"o_orderkey": "integer", "o_totalprice": "FLOAT", "o_orderdate": "DateTime(6)", "o_day": "date", "large": "boolean"}
     return text.select(*[casting.from_text(F.col(c), kind).alias(c) for c, kind in kinds.items()])
@@ -73,9 +73,11 @@ def fn_decimal_scale_class(spark, sf):
     "epoch_us(ts) AS micros FROM events",
 )
 def fn_format_timestamps(spark, sf):
-    return load(spark, sf, "events").select(
-        "event_id", F.date_format("ts", casting.DATETIME_FORMAT).alias("full_text"),
-        F.date_format("ts", casting.TIME_FORMAT).alias("time_text"), casting.micros(F.col("ts")).alias("micros"),
+    events = load(spark, sf, "events")
+    ts, kind = F.col("ts"), events.schema["ts"].dataType
+    return events.select(
+        "event_id", casting.datetime_text(ts, kind).alias("full_text"),
+        casting.time_text(ts, kind).alias("time_text"), casting.micros(ts).alias("micros"),
     )
 
 
@@ -186,7 +188,7 @@ def fn_range_bounds(spark, sf):
 def infer_text_column_types(spark, sf):
     orders = load(spark, sf, "orders")
     text = orders.select(
-        *[F.col(c).cast("string") for c in orders.columns], F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_day"),
+        *[F.col(c).cast("string") for c in orders.columns], casting.date_text(F.col("o_orderdate")).alias("o_day"),
         (F.col("o_totalprice") > 1000).cast("string").alias("large"),
     )
     return infer_text_types(text)

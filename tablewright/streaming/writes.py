@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators.changes import POINTER
+from tablewright.operators.changes import current_version, open_table, show
 from tablewright.sources import files
 
 
@@ -35,36 +35,39 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def publish_stream(stream: DataFrame, path: str, checkpoint: str) -> str:
-    """Stage every batch and show the whole run at the end, or nothing if any batch fails.
+def publish_stream(stream: DataFrame, path: str, checkpoint: str) -> int:
+    """Stage every batch and add the whole run to the table at the end, or nothing if a batch fails.
 
     A batch is staged under its id and replaced when Spark replays it, so a
-    rerun cannot double rows. The staging folder belongs to the checkpoint: a
-    rerun after a failure goes on with the batches already staged.
+    rerun cannot double rows. A rerun after a failure goes on in the same
+    staging folder, which the checkpoint remembers until it is published. The
+    number of added rows comes back.
     """
     spark = stream.sparkSession
     marker = f"{checkpoint}/staging"
-    if files.exists(spark, marker):
-        version = files.read_text(spark, marker).strip()
-    else:
-        version = f"v-{uuid.uuid4().hex}"
-        files.replace_text(spark, marker, version)
+    folder = files.read_text(spark, marker).strip() if files.exists(spark, marker) else None
+    if folder is None or folder in (current_version(spark, path) or "").split("\n"):
+        folder = f"v-{uuid.uuid4().hex}"
+        files.replace_text(spark, marker, folder)
 
-    def stage(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{version}/b-{batch_id:09d}")
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{folder}/b-{batch_id:09d}")
 
     query = (
-        stream.writeStream.foreachBatch(stage).option("checkpointLocation", f"{checkpoint}/query")
+        stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{checkpoint}/query")
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    files.replace_text(spark, f"{path}/{POINTER}", version)
-    return version
+    if not files.exists(spark, f"{path}/{folder}"):
+        return 0
+    version = current_version(spark, path)
+    show(spark, path, [*(version.split("\n") if version else []), folder], version)
+    files.delete_tree(spark, marker)
+    return spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/{folder}").count()
 
 
 def batch_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows per staged batch of the published run."""
-    version = files.read_text(spark, f"{path}/{POINTER}").strip()
-    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/{version}")
-    number = F.regexp_extract(F.col("_metadata.file_path"), r"/b-(\d+)/", 1).cast("bigint")
-    return rows.select(number.alias("batch_id")).groupBy("batch_id").agg(F.count("*").alias("rows_written"))
+    """Rows per published batch of every streamed run."""
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/(v-[0-9a-f]+)/b-(\d+)/", 2)
+    rows = open_table(spark, path).select(number.alias("batch")).where("batch <> ''")
+    return rows.groupBy(F.col("batch").cast("bigint").alias("batch_id")).agg(F.count("*").alias("rows_written"))

@@ -121,3 +121,16 @@ def test_type_table(spark):
     assert len(TYPE_TABLE) == 17 and type_rows(spark).count() == 17
     assert source_type(T.ArrayType(T.ArrayType(T.LongType()))) == "REPEATED INT64"
     assert source_type(T.StructType([T.StructField("start", T.DateType()), T.StructField("end", T.DateType())])) == "RANGE"
+
+
+def test_zoneless_times_ignore_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        gap = F.lit("2024-03-10 02:30:00.25").cast("timestamp_ntz")  # an hour this zone skips
+        assert one(spark, casting.datetime_text(gap, T.TimestampNTZType())) == "2024-03-10 02:30:00.250000"
+        assert one(spark, casting.time_text(gap, T.TimestampNTZType())) == "02:30:00.250000"
+        assert one(spark, casting.micros(gap)) == 1710037800250000
+        assert one(spark, casting.micros(F.lit("1969-12-31 23:59:59.999999").cast("timestamp_ntz"))) == -1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -38,14 +38,20 @@ def test_publish_refuses_a_version_it_was_not_made_from(spark, path):
     assert rows(changes.open_table(spark, path)) == [(2, "b")]
 
 
-def test_tables_are_published_together_or_not_at_all(spark, path):
-    changes.publish(pairs(spark, (0, "old")), f"{path}/a")
+def test_tables_grow_together_or_not_at_all(spark, path):
+    a, b = f"{path}/a", f"{path}/b"
+    changes.publish(pairs(spark, (0, "old")), a)
     bad = spark.range(3).select(F.expr("cast('x' as int)").alias("k"), F.lit("c").alias("v"))
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        changes.publish_together({f"{path}/a": pairs(spark, (1, "a")), f"{path}/b": bad})
-    assert rows(changes.open_table(spark, f"{path}/a")) == [(0, "old")]
-    assert changes.publish_together({f"{path}/a": pairs(spark, (1, "a")), f"{path}/b": pairs(spark, (2, "b"))}) == {f"{path}/a": 1, f"{path}/b": 1}
-    assert rows(changes.open_table(spark, f"{path}/a")) == [(1, "a")] and rows(changes.open_table(spark, f"{path}/b")) == [(2, "b")]
+        changes.publish_more_together({a: pairs(spark, (1, "a")), b: bad})
+    assert rows(changes.open_table(spark, a)) == [(0, "old")]
+    assert changes.publish_more_together({a: pairs(spark, (1, "a")), b: pairs(spark, (2, "b"))}) == {a: 1, b: 1}
+    assert rows(changes.open_table(spark, a)) == [(0, "old"), (1, "a")] and rows(changes.open_table(spark, b)) == [(2, "b")]
+    with pytest.raises(ValueError, match="extra"):
+        changes.publish_more(spark.createDataFrame([(1, 2)], "k int, extra int"), a)
+    assert changes.delete_by_entity(spark, a, "k", 0) == 1
+    assert rows(changes.open_table(spark, a)) == [(1, "a")]
+    assert len(changes.drop_old_versions(spark, a)) == 3 and rows(changes.open_table(spark, a)) == [(1, "a")]
 
 
 def test_append_fits_the_stored_columns(spark, path):

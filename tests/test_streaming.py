@@ -24,18 +24,22 @@ def test_append_again_adds_only_new_rows(spark, path):
 def test_whole_run_is_published(spark, path):
     write_files(spark, f"{path}/in", 0, 3)
     schema = spark.read.parquet(f"{path}/in").schema
-    publish_stream(read_files(spark, f"{path}/in", schema, 1), f"{path}/out", f"{path}/check")
-    assert open_table(spark, f"{path}/out").count() == 30
+    run = lambda: publish_stream(read_files(spark, f"{path}/in", schema, 1), f"{path}/out", f"{path}/check")
+    assert run() == 30 and open_table(spark, f"{path}/out").count() == 30
     assert sorted(tuple(r) for r in batch_counts(spark, f"{path}/out").collect()) == [(0, 10), (1, 10), (2, 10)]
-    publish_stream(read_files(spark, f"{path}/in", schema, 1), f"{path}/out", f"{path}/check")
-    assert open_table(spark, f"{path}/out").count() == 30
+    assert run() == 0 and open_table(spark, f"{path}/out").count() == 30
+    write_files(spark, f"{path}/in", 3, 5)
+    assert run() == 20 and open_table(spark, f"{path}/out").distinct().count() == 50
 
 
 def test_failing_batch_publishes_nothing(spark, path):
     write_files(spark, f"{path}/in", 0, 2)
-    publish(spark.createDataFrame([(1, 1)], "id long, n int"), f"{path}/out")
+    publish(spark.createDataFrame([(100, 1)], "id long, n int"), f"{path}/out")
     stream = read_files(spark, f"{path}/in", spark.read.parquet(f"{path}/in").schema, 1)
     bad = stream.select("id", F.when(F.col("id") < 10, 1).otherwise(F.concat(F.lit("x"), "t").cast("int")).alias("n"))
     with pytest.raises(Exception):
         publish_stream(bad, f"{path}/out", f"{path}/check")
-    assert [tuple(r) for r in open_table(spark, f"{path}/out").collect()] == [(1, 1)]
+    assert [tuple(r) for r in open_table(spark, f"{path}/out").collect()] == [(100, 1)]
+    good = stream.select("id", F.lit(1).alias("n"))
+    assert publish_stream(good, f"{path}/out", f"{path}/check") == 20
+    assert open_table(spark, f"{path}/out").distinct().count() == 21
