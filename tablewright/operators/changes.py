@@ -266,6 +266,27 @@ def load_with_errors(df: DataFrame, target: T.StructType, good_path: str, error_
     return loaded, publish(bad if seen.get["rows"] else df.sparkSession.createDataFrame([], bad.schema), error_path)
 
 
+def split_entities(df: DataFrame, target: T.StructType, entity: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Split by whole entities: rows to load, error rows, and one outcome per entity.
+
+    An entity with any value that does not fit has failed, and none of its rows
+    are loaded. Failing entities are made distinct before they meet the rows.
+    """
+    paired, failed = _judged(df, target)
+    raw = f"raw_{entity}"
+    wrong = paired.where(_any(failed)).select(F.col(raw).alias("entity")).distinct()
+    sound = paired.where(F.col(raw).isNotNull()).join(wrong, paired[raw] == wrong["entity"], "left_anti")
+    loose = paired.where(F.col(raw).isNull() & ~_any(failed))
+    good = _good(sound.unionByName(loose), failed, target)
+    errors = _bad(paired, failed, df.columns).withColumn("entity", F.get_json_object("row_json", f"$.{entity}"))
+    outcomes = (
+        paired.where(F.col(raw).isNotNull()).groupBy(F.col(raw).alias("entity"))
+        .agg(F.count("*").alias("row_count"), F.count_if(_any(failed)).alias("failed_rows"))
+        .withColumn("outcome", F.when(F.col("failed_rows") > 0, "failed").otherwise("loaded"))
+    )
+    return good, errors, outcomes
+
+
 def run_by_level(
     spark: SparkSession, levels: Sequence[Mapping[str, Callable[[], int]]], parallel: int = 4
 ) -> DataFrame:

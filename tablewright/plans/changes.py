@@ -188,6 +188,33 @@ def load_with_error_rows(spark, sf):
     return good.unionByName(bad)
 
 
+_MIXED = (
+    "(SELECT user_id, CASE WHEN event_type = 'purchase' AND event_id % 40 = 0 THEN props ELSE value::VARCHAR END AS v FROM events)"
+)
+
+
+@query(
+    "load_failed_entities",
+    f"SELECT user_id::VARCHAR AS entity, count(*) AS row_count, count(*) FILTER (v IS NOT NULL AND try_cast(v AS DOUBLE) IS NULL) AS failed_rows, "
+    f"CASE WHEN count(*) FILTER (v IS NOT NULL AND try_cast(v AS DOUBLE) IS NULL) > 0 THEN 'failed' ELSE 'loaded' END AS outcome, "
+    f"CASE WHEN count(*) FILTER (v IS NOT NULL AND try_cast(v AS DOUBLE) IS NULL) > 0 THEN 0 ELSE count(*) END AS rows_loaded "
+    f"FROM {_MIXED} GROUP BY user_id",
+)
+def load_failed_entities(spark, sf):
+    odd = (F.col("event_type") == "purchase") & (F.col("event_id") % 40 == 0)
+    mixed = load(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("user_id"), F.when(odd, F.col("props")).otherwise(F.col("value").cast("string")).alias("v")
+    )
+    target = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("v", T.DoubleType())])
+    good, _, outcomes = changes.split_entities(mixed, target, "user_id")
+    path = scratch_path(spark, "entities")
+    changes.publish(good, path)
+    stored = changes.open_table(spark, path).groupBy(F.col("user_id").cast("string").alias("entity")).agg(F.count("*").alias("rows_loaded"))
+    return outcomes.join(stored, "entity", "left").select(
+        *outcomes.columns, F.coalesce("rows_loaded", F.lit(0)).cast("bigint").alias("rows_loaded")
+    )
+
+
 @query(
     "load_statistics",
     "SELECT 'orders' AS table_name, count(*) AS rows_read, count(*) FILTER (o_orderstatus <> 'P') AS rows_written FROM orders "

@@ -58,6 +58,13 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; frames made from it stop working."""
+    from tablewright.sources.files import delete_tree
+
+    delete_tree(spark, f"{shared_root(spark)}/tablewright/{spark.sparkContext.applicationId}")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_root(spark)}/tablewright/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

@@ -141,3 +141,12 @@ def test_change_counts(spark):
     target, source = pairs(spark, (1, "a"), (1, "b"), (2, "c")), pairs(spark, (1, "x"), (9, "y"))
     found = {r.statement: r.rows_affected for r in changes.change_counts(target, source, ["k"]).collect()}
     assert found == {"update": 1, "insert": 1, "delete": 2, "query": -1}
+
+
+def test_a_bad_value_holds_back_its_whole_entity(spark):
+    df = spark.createDataFrame([("1", "2.5"), ("1", "oops"), ("2", "3"), (None, "4"), (None, "bad")], "id string, v string")
+    target = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", T.DoubleType())])
+    good, errors, outcomes = changes.split_entities(df, target, "id")
+    assert rows(good) == sorted([(2, 3.0), (None, 4.0)], key=repr)
+    assert sorted((r.entity, r.raw_value) for r in errors.collect() if r.entity) == [("1", "oops")] and errors.count() == 2
+    assert rows(outcomes) == [("1", 2, 1, "failed"), ("2", 1, 0, "loaded")]
