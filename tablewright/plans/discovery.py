@@ -167,6 +167,22 @@ def parse_complex_fields(spark, sf):
     return catalog.crawl_table(parsed, "main", "events").select("field_path", "source_type", "value_count", "null_count")
 
 
+@query(
+    "parse_complex_unknown_keys",
+    "SELECT 'j' AS field_path, 'OBJECT' AS kind, count(*) AS value_count FROM events UNION ALL "
+    "SELECT 'j.who', 'OBJECT', count(*) FROM events UNION ALL SELECT 'j.who.id', 'BIGINT', count(*) FROM events UNION ALL "
+    "SELECT 'j.who.' || event_type, 'STRING', count(*) FROM events GROUP BY event_type UNION ALL "
+    "SELECT 'j.tags', 'ARRAY', count(*) FROM events UNION ALL SELECT 'j.tags[]', 'STRING', 2 * count(*) FROM events UNION ALL "
+    "SELECT 'j.props', 'OBJECT', count(props) FROM events UNION ALL SELECT 'j.props.k', 'BIGINT', count(props->>'$.k') FROM events",
+)
+def parse_complex_unknown_keys(spark, sf):
+    text = F.concat(
+        F.lit('{"who":{"id":'), F.col("user_id").cast("string"), F.lit(',"'), F.col("event_type"), F.lit('":"x"},"tags":["a","b"],"none":null,"props":'),
+        F.coalesce("props", F.lit("null")), F.lit("}"),
+    )
+    return catalog.json_fields(load(spark, sf, "events").select(text.alias("j")), "j")
+
+
 @query(
     "crawl_scope_filter",
     f"SELECT table_name, max(row_count) AS row_count FROM ({catalog_sql()}) WHERE table_name NOT IN ('events', 'labels') GROUP BY table_name",

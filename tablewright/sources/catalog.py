@@ -209,6 +209,41 @@ def parse_complex(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.from_json(F.col(column), ddl))
 
 
+def json_columns(df: DataFrame) -> list[str]:
+    """Text columns whose every non-null value is a JSON object or array; one pass over all of them."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not names:
+        return []
+    aggs = []
+    for i, c in enumerate(names):
+        kind = f"schema_of_variant(try_parse_json({named(c)}))"
+        aggs += [measure(f"count({named(c)})", f"n{i}"), measure(f"count_if({kind} LIKE 'OBJECT%' OR {kind} LIKE 'ARRAY%')", f"j{i}")]
+    found = df.agg(*aggs).first()
+    return [c for i, c in enumerate(names) if found[f"n{i}"] and found[f"n{i}"] == found[f"j{i}"]]
+
+
+def json_fields(df: DataFrame, column: str) -> DataFrame:
+    """Every path inside a JSON text column with the kinds of value seen there and how often.
+
+    Keys are never gathered into a schema: objects and arrays are opened level
+    by level into rows, and (path, kind) pairs are counted on the map side. So
+    a column with millions of different keys is only a longer result. The loop
+    runs once per level of nesting.
+    """
+    level = df.select(F.lit(column).alias("path"), F.try_parse_json(F.col(column)).alias("v")).where("v IS NOT NULL")
+    kind = "regexp_extract(schema_of_variant(v), '^[A-Z]+', 0)"
+    found = []
+    while True:
+        counted = level.groupBy(F.col("path").alias("field_path"), F.expr(kind).alias("kind")).agg(F.count("*").alias("value_count"))
+        found.append(counted.where("kind <> 'VOID'"))
+        objects = level.where(F.expr(f"{kind} = 'OBJECT'")).selectExpr("path", "explode(cast(v AS map<string, variant>)) AS (k, v)")
+        arrays = level.where(F.expr(f"{kind} = 'ARRAY'")).selectExpr("path", "explode(cast(v AS array<variant>)) AS v")
+        level = objects.selectExpr("concat(path, '.', k) AS path", "v").unionByName(arrays.selectExpr("concat(path, '[]') AS path", "v"))
+        level = level.where("v IS NOT NULL")
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+
+
 def stored_catalog(spark: SparkSession, root: str, schema_name: str = "main") -> DataFrame:
     """The catalog of a table folder, crawled on first use and again when its tables change."""
     mark = hashlib.md5(f"{root}|{schema_name}|{files.state(spark, root)}".encode()).hexdigest()

@@ -173,3 +173,18 @@ def test_relations(spark):
     assert found == {("customer", "orders"): ("field_name_is_id_and_pk", 0.8), ("orders", "items"): ("common_fields_in_both_pk", 0.8)}
     low = {(r.from_table, r.to_table) for r in joins.relation_candidates(fields, threshold=0.2).collect()}
     assert ("a", "b") in low
+
+
+def test_json_paths_without_a_schema(spark):
+    texts = ['{"a": 1, "b": {"c": [1, "x", {"d": true}]}}', '{"a": "s", "b": null}', "[1.5]", "not json", None]
+    df = spark.createDataFrame([(t,) for t in texts], "j string")
+    found = {(r.field_path, r.kind): r.value_count for r in catalog.json_fields(df, "j").collect()}
+    assert found == {
+        ("j", "OBJECT"): 2, ("j", "ARRAY"): 1, ("j[]", "DECIMAL"): 1, ("j.a", "BIGINT"): 1, ("j.a", "STRING"): 1, ("j.b", "OBJECT"): 1,
+        ("j.b.c", "ARRAY"): 1, ("j.b.c[]", "BIGINT"): 1, ("j.b.c[]", "STRING"): 1, ("j.b.c[]", "OBJECT"): 1, ("j.b.c[].d", "BOOLEAN"): 1,
+    }
+
+
+def test_json_columns_are_found(spark):
+    df = spark.createDataFrame([("{}", "[1]", "5", None, "{"), (None, '{"a":1}', "{}", None, "{}")], "a string, b string, c string, d string, e string")
+    assert catalog.json_columns(df) == ["a", "b"]
