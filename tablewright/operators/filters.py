@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,17 +10,18 @@ from pyspark.sql import Column, DataFrame
 from tablewright.functions.types import source_type, spark_type
 
 
+# Quoted text (with backslash escapes), quoted names, or a bare mark.
+_QUOTED_OR_MARK = re.compile(r"""'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`[^`]*`|\?""", re.S)
+
+
 def pieces(where: str) -> list[str]:
     """The filter text cut at its ``?`` marks; marks inside quotes are plain text."""
-    parts, quoted = [""], False
-    for ch in where:
-        if ch == "'":
-            quoted = not quoted
-        if ch == "?" and not quoted:
-            parts.append("")
-        else:
-            parts[-1] += ch
-    return parts
+    parts, start = [], 0
+    for found in _QUOTED_OR_MARK.finditer(where):
+        if found.group() == "?":
+            parts.append(where[start:found.start()])
+            start = found.end()
+    return [*parts, where[start:]]
 
 
 def typed_filter(df: DataFrame, where: str, params: Sequence[tuple[str, str | None]]) -> DataFrame:
@@ -35,13 +37,14 @@ def typed_filter(df: DataFrame, where: str, params: Sequence[tuple[str, str | No
         raise ValueError("not enough values for the ? marks")
     if len(parts) - 1 < len(params):
         raise ValueError("too many values for the ? marks")
-    if not where.strip():
-        return df
+    if not params:
+        return df.where(where) if where.strip() else df
     types = {f.name.lower(): spark_type(source_type(f.dataType)) for f in df.schema.fields}
     bound = "".join(
         part + (f"CAST(? AS {types[params[i][0].lower()]})" if i < len(params) else "") for i, part in enumerate(parts)
     )
     values = [None if text is None or text.lower() == "null" else text for _, text in params]
+    bound = bound.replace("{", "{{").replace("}", "}}")  # braces would name frames
     return df.sparkSession.sql(f"SELECT * FROM {{rows}} WHERE {bound}", args=values, rows=df)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import profiling
 from tablewright.operators.changes import open_table, publish
+from tablewright.operators.discovery import discover
 from tablewright.operators.keys import collect_in_parts
 from tablewright.plans.aggregates import best_sql, data_hits_sql, text_sources
 from tablewright.plans.joining import name_hits_sql
@@ -94,6 +95,32 @@ def classify_by_data(spark, sf):
     return profiling.classify_by_data(frames, threshold=0.000001).withColumn("score", F.round("score", 6))
 
 
+@query(
+    "discover_tables",
+    "SELECT c.table_name, c.field_path, c.ordinal, c.source_type, c.defined_by, c.value_count, k.class_name, round(k.score, 6) AS score, k.pii, "
+    "round(CASE WHEN c.ordinal >= 0 AND instr(c.field_path, '.') = 0 THEN c.null_count / c.row_count END, 6) AS null_share FROM ("
+    f"SELECT table_name, field_path, ordinal, CASE field_path WHEN 'props' THEN 'STRUCT' ELSE source_type END AS source_type, "
+    f"CASE field_path WHEN 'props' THEN 'PropsClass' ELSE defined_by END AS defined_by, value_count, null_count, row_count FROM "
+    f"({catalog_sql(tables=('nation', 'customer', 'events', 'conversations'))}) UNION ALL "
+    "SELECT 'events', 'props.k', 0, 'INT64', 'INTEGER', count(props->>'$.k'), 0, NULL FROM events) c LEFT JOIN ("
+    "SELECT *, class_name IN (" + ", ".join(text(c) for c in PERSONAL_CLASSES) + ") AS pii FROM ("
+    + best_sql(
+        f"SELECT * FROM ({name_hits_sql()}) WHERE table_name IN ('nation', 'customer', 'events', 'conversations') UNION ALL "
+        f"SELECT table_name, column_name, rule_no + {len(NAME_PATTERNS)}, class_name, score FROM "
+        f"({data_hits_sql([x for x in text_sources('nation', 'customer', 'events', 'conversations') if x[1] != 'props'])})",
+        0.01,
+    )
+    + ")) k ON k.table_name = c.table_name AND k.column_name = c.field_path",
+)
+def discover_tables(spark, sf):
+    frames = load_all(spark, sf, ("region", "nation", "customer", "events", "conversations"))
+    found = discover(frames, "main", exclude=names(spark, "*.region"), whole=True, threshold=0.01)
+    return found.select(
+        "table_name", "field_path", "ordinal", "source_type", "defined_by", "value_count", "class_name",
+        F.round("score", 6).alias("score"), "pii", F.round("null_share", 6).alias("null_share"),
+    )
+
+
 @query("classify_by_name", best_sql(name_hits_sql(), 0.4))
 def classify_by_name(spark, sf):
     return profiling.classify_by_name(catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "column_name"))

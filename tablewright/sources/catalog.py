@@ -201,10 +201,13 @@ def add_properties(fields: DataFrame, properties: DataFrame) -> DataFrame:
     return fields.join(properties, ["table_name", "field_path"], "left")
 
 
-def parse_complex(df: DataFrame, column: str) -> DataFrame:
-    """Replace a text column of JSON by the record it holds; the schema comes from all its values."""
+def parse_complex(df: DataFrame, column: str, seen: DataFrame | None = None) -> DataFrame:
+    """Replace a text column of JSON by the record it holds.
+
+    The schema comes from all values, or from those of ``seen``, such as a sample.
+    """
     parsed = F.try_parse_json(F.col(column))
-    found = df.agg(F.schema_of_variant_agg(parsed).alias("s")).first()["s"]
+    found = (df if seen is None else seen).agg(F.schema_of_variant_agg(parsed).alias("s")).first()["s"]
     ddl = found.replace("OBJECT<", "STRUCT<")
     return df.withColumn(column, F.from_json(F.col(column), ddl))
 

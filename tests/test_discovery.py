@@ -188,3 +188,20 @@ def test_json_paths_without_a_schema(spark):
 def test_json_columns_are_found(spark):
     df = spark.createDataFrame([("{}", "[1]", "5", None, "{"), (None, '{"a":1}', "{}", None, "{}")], "a string, b string, c string, d string, e string")
     assert catalog.json_columns(df) == ["a", "b"]
+
+
+def test_discovery_run(spark):
+    from tablewright.operators.discovery import discover
+
+    frames = {
+        "people": spark.createDataFrame([(i, f"u{i}@example.com", None if i % 2 else "x", '{"zip": "1"}') for i in range(300)],
+                                        "id int, contact string, remark string, more string"),
+        "hidden": spark.range(5),
+    }
+    texts = spark.createDataFrame([("people", "more.zip", "postal", 0)], "table_name string, field_path string, description string, position int")
+    out = spark.createDataFrame([("*.hidden",)], "p string")
+    found = {r.field_path: r for r in discover(frames, "main", exclude=out, descriptions=texts).collect()}
+    assert set(found) == {"id", "contact", "remark", "more", "more.zip"}
+    assert (found["contact"].class_name, found["contact"].pii, found["contact"].row_count) == ("EMAIL", True, 300)
+    assert found["more"].defined_by == "MoreClass" and found["more.zip"].description == "postal"
+    assert found["id"].null_share == 0.0 and found["remark"].value_count == 150

@@ -44,6 +44,13 @@ def test_mark_count_must_match(spark):
     with pytest.raises(ValueError, match="too many"):
         typed_filter(df, "a = ?", [("a", "x"), ("n", "1")])
     assert pieces("a = '?' and b = ?") == ["a = '?' and b = ", ""]
+    assert pieces("a = 'it\\'s ?' and \"?\" = b and `?` = ? or ? = c") == ["a = 'it\\'s ?' and \"?\" = b and `?` = ", " or ", " = c"]
+
+
+def test_braces_in_the_filter_are_plain(spark):
+    df = spark.createDataFrame([("xx", 1), ("x", 2)], "a string, n int")
+    assert typed_filter(df, "a rlike '^x{2}$' and n > ?", [("n", "0")]).count() == 1
+    assert typed_filter(df, "a rlike '^x{2}$'", []).count() == 1
 
 
 def test_null_text_binds_null(spark):
