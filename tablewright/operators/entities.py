@@ -15,7 +15,7 @@ from tablewright.operators.masking import mask_from
 
 
 def assemble(
-    root: DataFrame, key: str, children: Mapping[str, tuple[DataFrame, str, Sequence[str]]], part_rows: int = 100_000
+    root: DataFrame, key: str, children: Mapping[str, tuple[DataFrame, str, Sequence[str]]], part_rows: int = 10_000
 ) -> DataFrame:
     """Nest child tables under their root row.
 

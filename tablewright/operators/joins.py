@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.casting import entity_id
 from tablewright.operators.keys import last_wins
+from tablewright.session import scratch_path
 
 
 def child_rows(
@@ -28,11 +29,19 @@ def entity_subset(roots: DataFrame, root_name: str, links: Sequence[tuple[str, D
     """Rows of the chosen roots and of everything below them.
 
     Each link is (child name, child table, child key, parent name, parent key),
-    parents before children.
+    parents before children. The keys found at a level are written once to the
+    shared folder, so a deep chain does not repeat the joins above it, and a
+    lost executor does not restart them.
     """
     found = {root_name: roots}
+    stored: dict[tuple[str, str], DataFrame] = {}
     for name, table, child_key, parent, parent_key in links:
-        found[name] = child_rows(table, found[parent], child_key, parent_key)
+        if (parent, parent_key) not in stored:
+            keys = found[parent].select(parent_key).where(F.col(parent_key).isNotNull()).distinct()
+            path = scratch_path(table.sparkSession, f"keys-{parent}")
+            keys.write.parquet(path)
+            stored[parent, parent_key] = table.sparkSession.read.schema(keys.schema).parquet(path)
+        found[name] = table.join(stored[parent, parent_key].withColumnRenamed(parent_key, child_key), child_key, "left_semi")
     return found
 
 

@@ -103,7 +103,7 @@ def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 def collect_in_parts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
-    name: str = "items", part_rows: int = 100_000,
+    name: str = "items", part_rows: int = 10_000,
 ) -> DataFrame:
     """Gather each key's rows, in order, into arrays of at most ``part_rows`` records.
 

@@ -70,7 +70,12 @@ def _words(*words: str):
 
 # What a value must have before its pattern can match at all. These tests are
 # plain scans, many times cheaper than the patterns they spare.
+_DIGIT = lambda c: f"{c} RLIKE '[0-9]'"
+
 NEEDED = {
+    **dict.fromkeys(
+        ("DATE_OF_BIRTH", "CREDIT_CARD", "DRIVER_LICENSE", "PASSPORT", "ZIP_CODE", "SOCIAL_SECURITY_NUMBER", "TELEPHONE_NUMBER"), _DIGIT
+    ),
     "GENDER": _words("male"),
     "RACE_ETHNICITY": _words("white", "black", "african american", "american indian", "alaska native", "asian", "hawaiian"),
     "RELIGION": _words(
@@ -85,7 +90,7 @@ NEEDED = {
 def _found(column: str, class_name: str, pattern: str) -> str:
     test = f"{column} RLIKE {quoted(pattern)}"
     usual = any(name == class_name and p == pattern for name, p, _ in DATA_PATTERNS)
-    return f"{NEEDED[class_name](column)} AND {test}" if usual and class_name in NEEDED else test
+    return f"({NEEDED[class_name](column)}) AND {test}" if usual and class_name in NEEDED else test
 
 
 def pattern_matches(
