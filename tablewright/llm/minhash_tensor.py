@@ -13,7 +13,8 @@ Sets are handled once: documents of equal sets form a class before any key is ma
    row per batch;
 2. each group links to its smallest class (a star); links are verified and joined to components;
 3. groups that still hold several components get another star, around a random class of each group;
-4. what still lies in one group but in different components is compared pair by pair.
+4. what still lies in one group but in different components is compared pair by pair, by signature inside
+   the task, which hands on only pairs that can be links, for the test on the full sets.
 
 A pair whose ends are in one component already needs no test, so a dense group costs about as
 many tests as it has members, and no pair that could change the result is left out.
@@ -68,13 +69,19 @@ def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return least.astype(np.uint32)
 
 
-def table_keys(signatures: np.ndarray, parts: int, rows: int) -> np.ndarray:
-    """Keys of all tables, one row per signature: every pair of a hash of the first and of the second collection."""
+def part_hashes(signatures: np.ndarray, parts: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the first and of the second collection, one row per signature."""
     h = np.zeros((len(signatures), 2 * parts), np.uint64)
     for r in range(rows):
         h = _mixed(h * _STEP + signatures[:, r::rows].astype(np.uint64) + np.uint64(r))
     first = _mixed(h[:, :parts] + np.arange(1, parts + 1, dtype=np.uint64) * _STEP)
     second = _mixed(h[:, parts:] + np.arange(1, parts + 1, dtype=np.uint64) * _MIX)
+    return first, second
+
+
+def table_keys(signatures: np.ndarray, parts: int, rows: int) -> np.ndarray:
+    """Keys of all tables, one row per signature: every pair of a hash of the first and of the second collection."""
+    first, second = part_hashes(signatures, parts, rows)
     return _mixed(first[:, :, None] * _STEP + second[:, None, :]).reshape(len(signatures), -1)
 
 
@@ -195,6 +202,58 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(pairs.join(one, "a").join(two, "b").select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long"), "links")
 
 
+def _open_pairs(open_: DataFrame, classes: DataFrame, parts: int, rows: int, percent: int, block: int = 1024) -> DataFrame:
+    """Pairs (a, b) of one key and different labels whose signatures allow the similarity, each from one table.
+
+    A large group is dealt in blocks, and each pair of blocks is a unit of its own, so no task holds more than
+    two blocks. Of the tables that two classes share only the first gives the pair. Signatures that agree
+    in fewer places than all but one in 100,000 pairs at the threshold would are passed over.
+    """
+    share = percent / 100
+    total = 2 * parts * rows
+    least = int(np.floor(total * share - 4.3 * np.sqrt(total * share * (1 - share))))
+    sized = open_.join(open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "key")
+    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    units = sized.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "cls", "label")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(unit: tuple, held: list) -> pa.RecordBatch:
+            own_, cls, label = (np.array(c) for c in list(zip(*held))[:3])
+            sig = np.frombuffer(b"".join(h[3] for h in held), np.uint32).reshape(len(held), -1)
+            first, second = part_hashes(sig, parts, rows)
+            out = ([], [])
+            left = np.flatnonzero(own_ == unit[1])
+            right = np.flatnonzero(own_ == unit[2])
+            for x in left:
+                y = right[(label[right] != label[x]) & ((cls[right] > cls[x]) if unit[1] == unit[2] else True)]
+                if not len(y):
+                    continue
+                y = y[(sig[y] == sig[x]).sum(1) >= least]
+                if not len(y):
+                    continue
+                i, j = (first[y] == first[x]).argmax(1), (second[y] == second[x]).argmax(1)
+                y = y[_mixed(first[x][i] * _STEP + second[x][j]).view(np.int64) == unit[0]]
+                out[0].append(np.minimum(cls[x], cls[y]))
+                out[1].append(np.maximum(cls[x], cls[y]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c).astype(np.int64) if c else np.empty(0, np.int64)) for c in out], names=["a", "b"])
+
+        unit, held = None, []
+        for batch in batches:
+            for key, lo, hi, *rest in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                if (key, lo, hi) != unit:
+                    if len(held) > 1:
+                        yield pairs(unit, held)
+                    unit, held = (key, lo, hi), []
+                held.append(rest)
+        if len(held) > 1:
+            yield pairs(unit, held)
+
+    return units.join(classes.select("cls", "sig"), "cls").select("key", "lo", "hi", "own", "cls", "label", "sig").repartition(
+        "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", *, shingle: int = 5, percent: int = 80, parts: int = 14, rows: int = 3,
 ) -> DataFrame:
@@ -219,12 +278,10 @@ def near_duplicates(
             F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.xxhash64("cls", "key"), "cls", "label")).alias("pick"))
         open_ = stored(held.join(mixed.where("lo <> hi").select("key", "pick.cls", "pick.label").toDF("key", "r", "r_label"), "key"), "open")
         if whole:
-            # one row per pair of classes and key; classes that are joined already are left out
-            other = open_.select("key", F.col("cls").alias("r"), F.col("label").alias("r_label"))
-            near = open_.select("key", "cls", "label").join(other, "key").where("label < r_label")
+            near = _open_pairs(open_.select("key", "cls", "label"), classes, parts, rows, percent)
         else:
-            near = open_.where("label <> r_label")
-        fresh = stored(near.select(*pair("cls", "r")).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+            near = open_.where("label <> r_label").select(*pair("cls", "r"))
+        fresh = stored(near.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         links = stored(links.union(_verified(fresh, sets, percent)), "links")
         tested = stored(tested.union(fresh), "tested")
     label = components(links)
