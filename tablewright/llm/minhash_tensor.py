@@ -12,9 +12,10 @@ Sets are handled once: documents of equal sets form a class before any key is ma
    batch are joined up before the shuffle, so a key that a third of all rows share costs one
    row per batch;
 2. each group links to its smallest class (a star); links are verified and joined to components;
-3. groups that still hold several components get another star, around a random class of each group;
-4. what still lies in one group but in different components is compared pair by pair, by signature inside
-   the task, which hands on only pairs that can be links, for the test on the full sets.
+3. classes with too many shingles that no other open class has are done; other groups that still hold several components get another star, around a random class of each group;
+4. what still lies in one group but in different components is compared pair by pair inside the task, by
+   signature and by the rarest quarter of either set; only pairs that can be links by these go on to the
+   test on the full sets.
 
 A pair whose ends are in one component already needs no test, so a dense group costs about as
 many tests as it has members, and no pair that could change the result is left out.
@@ -202,7 +203,62 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(pairs.join(one, "a").join(two, "b").select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long"), "links")
 
 
-def _open_pairs(open_: DataFrame, classes: DataFrame, parts: int, rows: int, percent: int, block: int = 1024) -> DataFrame:
+def _able(sets: DataFrame, wanted: DataFrame, percent: int) -> DataFrame:
+    """Stored: (cls, n, common, rare, last) of the wanted classes that can still have a link among themselves.
+
+    ``common`` counts the shingles that another wanted class has as well. A link needs that share of
+    the own set, so a class with more shingles of its own can be left out whatever its partners are.
+    ``rare`` is the first quarter of the set (and one more) in one order for all sets, rare shingles first, cut to
+    32 bits; ``last`` is the place of its last shingle in that order. Rarity is read from a table of 2^18 sums.
+    """
+    slots = 1 << 18
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(slots, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                held += np.bincount((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(46)).astype(np.int64), minlength=slots)
+        there = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(held[there])], names=["slot", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            each = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
+            who = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in each])
+            value, first, count = np.unique(np.concatenate(each), return_index=True, return_counts=True)
+            for i in range(0, len(value), 100_000):
+                part = slice(i, i + 100_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(value[part].view(np.int64)), pa.array(who[first[part]]), pa.array(count[part])], names=["x", "cls", "c"])
+
+    inside = sets.join(wanted, "cls", "left_semi")
+    alone = inside.mapInArrow(run, "x long, cls long, c long").groupBy("x").agg(F.min("cls").alias("cls"), F.sum("c").alias("c")).where(
+        "c = 1").groupBy("cls").agg(F.count(F.lit(1)).alias("alone"))
+    counted = inside.select("cls", (F.length("shingles") / 8).cast("long").alias("n")).join(alone, "cls", "left").select(
+        "cls", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
+    often = np.zeros(slots, np.int64)
+    for r in inside.select("shingles").mapInArrow(tally, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).collect():
+        often[r["slot"]] = r["c"]
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rare, last = [], []
+            for x in batch.column(3):
+                x = np.frombuffer(x.as_buffer(), np.uint64)
+                c = often[(x >> np.uint64(46)).astype(np.int64)]
+                first = np.lexsort((x, c))[:len(x) // 4 + 1]
+                rare.append(np.sort(x[first].astype(np.uint32)).tobytes())
+                last.append(f"{c[first[-1]]:020d}{x[first[-1]]:020d}")
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(rare, pa.binary()), pa.array(last, pa.string())], names=["cls", "n", "common", "rare", "last"])
+
+    can = counted.where(F.col("common") * 100 >= F.col("n") * percent).join(sets, "cls").select("cls", "n", "common", "shingles")
+    return stored(can.mapInArrow(rarest, "cls long, n long, common long, rare binary, last string"), "able")
+
+
+def _open_pairs(open_: DataFrame, able: DataFrame, classes: DataFrame, parts: int, rows: int, percent: int, block: int = 1024) -> DataFrame:
     """Pairs (a, b) of one key and different labels whose signatures allow the similarity, each from one table.
 
     A large group is dealt in blocks, and each pair of blocks is a unit of its own, so no task holds more than
@@ -217,10 +273,17 @@ def _open_pairs(open_: DataFrame, classes: DataFrame, parts: int, rows: int, per
     units = sized.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "cls", "label")
 
+    def may(p: np.ndarray, p_last: str, p_n: int, q: np.ndarray, q_last: str, q_n: int) -> bool:
+        """What the first quarters share, and all that comes after in the set whose quarter ends first, bounds the intersection."""
+        at = np.minimum(np.searchsorted(q, p), len(q) - 1)
+        most = int((q[at] == p).sum()) + (p_n - len(p) if p_last <= q_last else q_n - len(q))
+        return most * (100 + percent) >= percent * (p_n + q_n)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(unit: tuple, held: list) -> pa.RecordBatch:
-            own_, cls, label = (np.array(c) for c in list(zip(*held))[:3])
-            sig = np.frombuffer(b"".join(h[3] for h in held), np.uint32).reshape(len(held), -1)
+            own_, cls, label, n, common = (np.array(c) for c in list(zip(*held))[:5])
+            rare, last = [np.frombuffer(h[6], np.uint32) for h in held], [h[7] for h in held]
+            sig = np.frombuffer(b"".join(h[5] for h in held), np.uint32).reshape(len(held), -1)
             first, second = part_hashes(sig, parts, rows)
             out = ([], [])
             left = np.flatnonzero(own_ == unit[1])
@@ -229,11 +292,15 @@ def _open_pairs(open_: DataFrame, classes: DataFrame, parts: int, rows: int, per
                 y = right[(label[right] != label[x]) & ((cls[right] > cls[x]) if unit[1] == unit[2] else True)]
                 if not len(y):
                     continue
+                # the intersection is at most the smaller of what either has in common with anybody
+                most = np.minimum(np.minimum(common[y], common[x]), np.minimum(n[y], n[x]))
+                y = y[most * (100 + percent) >= percent * (n[y] + n[x])]
                 y = y[(sig[y] == sig[x]).sum(1) >= least]
                 if not len(y):
                     continue
                 i, j = (first[y] == first[x]).argmax(1), (second[y] == second[x]).argmax(1)
                 y = y[_mixed(first[x][i] * _STEP + second[x][j]).view(np.int64) == unit[0]]
+                y = y[[may(rare[x], last[x], n[x], rare[z], last[z], n[z]) for z in y.tolist()]] if len(y) else y
                 out[0].append(np.minimum(cls[x], cls[y]))
                 out[1].append(np.maximum(cls[x], cls[y]))
             return pa.RecordBatch.from_arrays(
@@ -241,7 +308,7 @@ def _open_pairs(open_: DataFrame, classes: DataFrame, parts: int, rows: int, per
 
         unit, held = None, []
         for batch in batches:
-            for key, lo, hi, *rest in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            for key, lo, hi, *rest in zip(*(batch.column(i).to_pylist() for i in range(11))):
                 if (key, lo, hi) != unit:
                     if len(held) > 1:
                         yield pairs(unit, held)
@@ -250,7 +317,8 @@ def _open_pairs(open_: DataFrame, classes: DataFrame, parts: int, rows: int, per
         if len(held) > 1:
             yield pairs(unit, held)
 
-    return units.join(classes.select("cls", "sig"), "cls").select("key", "lo", "hi", "own", "cls", "label", "sig").repartition(
+    sketch = able.join(classes.select("cls", "sig"), "cls")
+    return units.join(sketch, "cls").select("key", "lo", "hi", "own", "cls", "label", "n", "common", "sig", "rare", "last").repartition(
         "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
@@ -270,15 +338,20 @@ def near_duplicates(
 
     tested = stored(groups.where("cls <> rep").select(*pair("cls", "rep")).distinct(), "pairs")
     links = _verified(tested, sets, percent)
+    able = None
     for whole in (False, True):
         label = components(links)
-        held = groups.select("key", "cls").join(label.withColumnRenamed("node", "cls"), "cls", "left").select(
+        held = groups.select("key", "cls") if able is None else groups.select("key", "cls").join(able.select("cls"), "cls", "left_semi")
+        held = held.join(label.withColumnRenamed("node", "cls"), "cls", "left").select(
             "key", "cls", F.coalesce("label", "cls").alias("label"))
         mixed = held.groupBy("key").agg(
             F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.xxhash64("cls", "key"), "cls", "label")).alias("pick"))
         open_ = stored(held.join(mixed.where("lo <> hi").select("key", "pick.cls", "pick.label").toDF("key", "r", "r_label"), "key"), "open")
+        if able is None:
+            able = _able(sets, open_.select("cls").distinct(), percent)
+            open_ = open_.join(able.select("cls"), "cls", "left_semi")
         if whole:
-            near = _open_pairs(open_.select("key", "cls", "label"), classes, parts, rows, percent)
+            near = _open_pairs(open_.select("key", "cls", "label"), able, classes, parts, rows, percent)
         else:
             near = open_.where("label <> r_label").select(*pair("cls", "r"))
         fresh = stored(near.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
