@@ -5,6 +5,9 @@ it, so equal windows have equal marks. Runs of windows with one mark are cut fro
 that the last window needs (a context). Only marks that occur at two places of different texts or of
 one text go on; whole equal texts count once and are known to repeat by that alone.
 
+Equal windows also agree in the mark's short string together with half of the other bytes, before or after it;
+contexts that agree with no other in either are left out.
+
 Shards. All contexts of a mark go to one shard, equal contexts as one string with its count. A shard
 concatenates whole marks up to ``shard_bytes``, sorts the suffixes by induced sorting (LMS suffixes by
 recursion, the rest by linear induction) and computes the permuted common prefixes. A window repeats if it
@@ -36,17 +39,21 @@ GRAM = 32
 _TABLE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
-def marks(text: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(mark, first window, number of windows) of each run of windows whose first least hash is in one place."""
-    n = len(text)
-    if n < length:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+def _gram_hashes(text: bytes, gram: int) -> np.ndarray:
     h, size = _TABLE[np.frombuffer(text, np.uint8)], 1
     while size < gram:
         h = h[:-size] * np.uint64(0x9E3779B97F4A7C15 + 2 * size) + (h[size:] ^ (h[size:] >> np.uint64(29)))
         size *= 2
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
+    return h ^ (h >> np.uint64(32))
+
+
+def marks(text: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(mark, first window, number of windows) of each run of windows whose first least hash is in one place."""
+    n = len(text)
+    if n < length:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    h = _gram_hashes(text, gram)
     least, width, size = h, length - gram + 1, 1
     while 2 * size <= width:
         least = np.minimum(least[:-size], least[size:])
@@ -79,8 +86,30 @@ def repeated(contexts: list[bytes], length: int) -> list[np.ndarray]:
 
 def repeated_windows(contexts: DataFrame, length: int, shard_bytes: int, mark_bytes: int) -> DataFrame:
     """(mark, digest, lo, hi): ranges of repeated windows in each different context (mark, digest, context, n)."""
-    heavy = contexts.groupBy("mark").agg(F.sum(F.length("context")).alias("bytes"), F.count(F.lit(1)).alias("kinds"))
-    sized = contexts.join(heavy, "mark")
+    wing, width = (length - GRAM) // 2, length - GRAM + 1
+
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The short string of the mark with so many bytes before, and with so many after, as far as there are any."""
+        from xxhash import xxh3_64_intdigest
+
+        for batch in batches:
+            out = ([], [], [], [])
+            for mark, digest, context in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                at = int((_gram_hashes(context, GRAM)[:width].view(np.int64) == mark).argmax())
+                parts = [context[at - wing:at + GRAM] if at >= wing else b"", context[at:at + GRAM + wing]]
+                for side, part in enumerate(parts):
+                    if len(part) == GRAM + wing:
+                        for column, value in zip(out, (mark, digest, side, xxh3_64_intdigest(part) - (1 << 63))):
+                            column.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.binary(), pa.int32(), pa.int64()))], names=["mark", "digest", "side", "x"])
+
+    # equal windows agree in one of these strings: the mark leaves at least so many bytes on one side of it
+    side = contexts.select("mark", "digest", "context").mapInArrow(sides, "mark long, digest binary, side int, x long")
+    shared = side.groupBy("mark", "side", "x").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    near = contexts.join(side.join(shared, ["mark", "side", "x"]).select("mark", "digest").distinct(), ["mark", "digest"], "left_semi")
+    heavy = near.groupBy("mark").agg(F.sum(F.length("context")).alias("bytes"), F.count(F.lit(1)).alias("kinds"))
+    sized = near.join(heavy, "mark")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, held, total, last = [], [], 0, None
@@ -108,7 +137,7 @@ def repeated_windows(contexts: DataFrame, length: int, shard_bytes: int, mark_by
         if held:
             yield done()
 
-    whole = sized.where("n > 1").select("mark", "digest", F.lit(0).cast("long").alias("lo"), (F.length("context") - length + 1).cast("long").alias("hi"))
+    whole = contexts.where("n > 1").select("mark", "digest", F.lit(0).cast("long").alias("lo"), (F.length("context") - length + 1).cast("long").alias("hi"))
     sorted_ = sized.where((F.col("kinds") > 1) & (F.col("bytes") <= mark_bytes)).select("mark", "digest", "context").repartition(
         "mark").sortWithinPartitions("mark").mapInArrow(shards, "mark long, digest binary, lo long, hi long")
     window = sized.where(F.col("bytes") > mark_bytes).select("mark", "digest", "context", F.explode(
