@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.minhash_tensor import near_duplicates
 from tablewright.llm.mixing import mix
 from tablewright.llm.packing import pack
-from tablewright.llm.quality_lines import quality_rules
+from tablewright.llm.quality_lines import kept_only, quality_rules
 from tablewright.llm.secret_scans import redacted
 from tablewright.llm.shared import stored, table
 
@@ -24,7 +24,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; of the others, the lines that failed go."""
-    kept = quality_rules(docs.select(*COLUMNS)).where("quality.kept").withColumn("text", F.col("quality.text"))
+    kept = kept_only(quality_rules(docs.select(*COLUMNS))).withColumn("text", F.col("quality.text"))
     return kept.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 

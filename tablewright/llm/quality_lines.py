@@ -146,3 +146,9 @@ def quality_rules(
         F.col(made % "stay_chars").alias("kept_chars"), F.array_join(made % "stay", "\n").alias("text"),
     ))
     return df.drop(*[c for c in df.columns if c.startswith("__q_")])
+
+
+def kept_only(judged: DataFrame, into: str = "quality") -> DataFrame:
+    """The rows that stay. The row number holds the filter above the rules: pushed below, it would repeat them all."""
+    pinned = judged.withColumn("__q_row", F.monotonically_increasing_id())
+    return pinned.where(F.col(into)["kept"] & (F.col("__q_row") >= 0)).drop("__q_row")
