@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.casting import fit_to_schema, lenient
+from tablewright.functions.casting import fit, fit_to_schema, lenient
 from tablewright.operators.keys import match
 from tablewright.sources import files
 
@@ -23,9 +24,19 @@ class PublishError(RuntimeError):
 
 
 def current_version(spark: SparkSession, path: str) -> str | None:
-    """Names of the folders that make up the published table, one per line."""
+    """Names of the folders that make up the published table, one per line.
+
+    The pointer is a shortcut: each version names its successor in a file that only one writer can make.
+    """
     pointer = f"{path}/{POINTER}"
-    return files.read_text(spark, pointer).strip() if files.exists(spark, pointer) else None
+    version = files.read_text(spark, pointer).strip() if files.exists(spark, pointer) else None
+    while files.exists(spark, _successor(path, version)):
+        version = files.read_text(spark, _successor(path, version)).strip()
+    return version
+
+
+def _successor(path: str, version: str | None) -> str:
+    return f"{path}/_NEXT_{hashlib.md5((version or '').encode()).hexdigest()}"
 
 
 def open_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -52,14 +63,20 @@ def stage(df: DataFrame, path: str) -> tuple[str, int]:
 
 
 def show(spark: SparkSession, path: str, folders: Sequence[str], expect=...) -> None:
-    """Make staged folders the published table, by one rename.
+    """Make staged folders the published table, by one rename that never replaces a file.
 
     ``expect`` names the version the rows were made from; if another writer
-    has published since, nothing is swapped.
+    has published since, nothing is swapped. Of two writers that follow one
+    version only one can make its successor.
     """
-    if expect is not ... and current_version(spark, path) != expect:
-        raise PublishError(f"{path} was changed by another writer")
-    files.replace_text(spark, f"{path}/{POINTER}", "\n".join(folders))
+    text = "\n".join(folders)
+    while True:
+        version = current_version(spark, path)
+        if expect is not ... and version != expect:
+            raise PublishError(f"{path} was changed by another writer")
+        if files.create_text(spark, _successor(path, version), text):
+            break
+    files.replace_text(spark, f"{path}/{POINTER}", text)
 
 
 def publish(df: DataFrame, path: str, expect=...) -> int:
@@ -129,15 +146,17 @@ def write_enforced(df: DataFrame, target: T.StructType, path: str) -> int:
 
 def delete_all(spark: SparkSession, path: str) -> int:
     """Publish an empty version with the same columns; the number of rows removed comes back."""
+    version = current_version(spark, path)
     old = open_table(spark, path)
     removed = old.count()
-    publish(spark.createDataFrame([], old.schema), path)
+    publish(spark.createDataFrame([], old.schema), path, expect=version)
     return removed
 
 
 def truncate(spark: SparkSession, path: str) -> None:
     """Empty a table without reading its rows."""
-    publish(spark.createDataFrame([], open_table(spark, path).schema), path)
+    version = current_version(spark, path)
+    publish(spark.createDataFrame([], open_table(spark, path).schema), path, expect=version)
 
 
 def without_keys(target: DataFrame, keys_from: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -180,15 +199,15 @@ def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
 
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> dict[str, int]:
     """Replace on key match, else insert; two source rows with one key are an error."""
-    per_key = source.groupBy(*keys).agg(F.count("*").alias("n"))
+    version = current_version(spark, path)
+    target = open_table(spark, path)
+    fitted = fit_to_schema(source, target.schema)  # keys are compared as they will be stored
+    per_key = fitted.groupBy(*keys).agg(F.count("*").alias("n"))
     most, offered = per_key.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     if most > 1:
         raise ValueError(f"source rows are not unique on {', '.join(keys)}")
-    version = current_version(spark, path)
-    target = open_table(spark, path)
-    before = target.count()
-    after = publish(upserted(target, source, keys), path, expect=version)
-    inserted = after - before
+    inserted = match(fitted, target.select(*keys).distinct(), keys, "left_anti").count()
+    publish(upserted(target, source, keys), path, expect=version)
     return {"matched": offered - inserted, "inserted": inserted}
 
 
@@ -213,11 +232,36 @@ def split_errors(df: DataFrame, target: T.StructType) -> tuple[DataFrame, DataFr
 
 
 def _judged(df: DataFrame, target: T.StructType) -> tuple[DataFrame, dict[str, Column]]:
-    """Raw and fitted columns side by side, and per column whether its value did not fit."""
-    paired = df.select(*[F.col(c).alias(f"raw_{c}") for c in df.columns],
-                       *[c.alias(f"fit_{n}") for n, c in _fitted(df, target)])
-    names = [f.name for f in target.fields if f.name in df.columns]
-    return paired, {n: F.col(f"raw_{n}").isNotNull() & F.col(f"fit_{n}").isNull() for n in names}
+    """Raw and fitted columns side by side, and per raw column whether its value, or a value inside it, did not fit.
+
+    Names match without regard to case; a column that the target does not know is an error.
+    """
+    fitted = fit_to_schema(df.limit(0), target, lenient)  # raises on surplus columns
+    given = {f.name.lower(): f for f in df.schema.fields}
+    fits, failed = [], {}
+    for f in fitted.schema.fields:
+        source, want = given.get(f.name.lower()), target[f.name].dataType
+        if source is None:
+            fits.append(F.lit(None).cast(want).alias(f"fit_{f.name}"))
+            continue
+        value = F.col(f"`{source.name}`")
+        fits.append(fit(value, source.dataType, want, f.name, lenient).alias(f"fit_{f.name}"))
+        failed[source.name] = _lost(F.col(f"`raw_{source.name}`"), source.dataType, want)
+    return df.select(*[F.col(f"`{c}`").alias(f"raw_{c}") for c in df.columns], *fits), failed
+
+
+def _lost(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Whether a value that is there becomes null, at any depth."""
+    if isinstance(want, T.StructType):
+        held = {f.name.lower(): f for f in have.fields}
+        parts = [(held[f.name.lower()], f) for f in want.fields if f.name.lower() in held]
+        inside = [_lost(column.getField(g.name), g.dataType, f.dataType) for g, f in parts]
+        return F.coalesce(column.isNotNull() & reduce(lambda a, b: a | b, inside, F.lit(False)), F.lit(False))
+    if isinstance(want, T.ArrayType):
+        return F.coalesce(F.exists(column, lambda v: _lost(v, have.elementType, want.elementType)), F.lit(False))
+    if have == want or isinstance(have, (T.StructType, T.ArrayType)):
+        return F.lit(False)
+    return column.isNotNull() & lenient(column, want).isNull()
 
 
 def _any(failed: Mapping[str, Column]) -> Column:
@@ -241,29 +285,23 @@ def _bad(paired: DataFrame, failed: Mapping[str, Column], columns: Sequence[str]
     return bad.select("p.column_name", "p.raw_value", "row_json")
 
 
-def _fitted(df: DataFrame, target: T.StructType):
-    given = {f.name: f for f in df.schema.fields}
-    for f in target.fields:
-        if f.name not in given:
-            yield f.name, F.lit(None).cast(f.dataType)
-        elif given[f.name].dataType == f.dataType:
-            yield f.name, F.col(f.name)
-        else:
-            yield f.name, lenient(F.col(f.name), f.dataType)
-
-
 def load_with_errors(df: DataFrame, target: T.StructType, good_path: str, error_path: str) -> tuple[int, int]:
-    """Publish the rows that fit and, apart, the values that do not.
+    """Publish the rows that fit and, apart, the values that do not; both are staged before either shows.
 
     The first pass also counts the failing rows; the source is read again only
     if there are any.
     """
+    spark = df.sparkSession
+    versions = [current_version(spark, p) for p in (good_path, error_path)]
     paired, failed = _judged(df, target)
     seen = Observation(f"failing-{uuid.uuid4().hex}")
     watched = paired.observe(seen, F.count_if(_any(failed)).alias("rows"))
-    loaded = publish(_good(watched, failed, target), good_path)
+    loaded = stage(_good(watched, failed, target), good_path)
     bad = _bad(paired, failed, df.columns)
-    return loaded, publish(bad if seen.get["rows"] else df.sparkSession.createDataFrame([], bad.schema), error_path)
+    wrong = stage(bad if seen.get["rows"] else spark.createDataFrame([], bad.schema), error_path)
+    for path, (folder, _), version in zip((good_path, error_path), (loaded, wrong), versions):
+        show(spark, path, [folder], version)
+    return loaded[1], wrong[1]
 
 
 def split_entities(df: DataFrame, target: T.StructType, entity: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -308,7 +346,7 @@ def run_by_level(
                 status.append((number, name, "done", job.result(), None))
             else:
                 stopped = True
-                status.append((number, name, "failed", None, str(error).splitlines()[0][:500]))
+                status.append((number, name, "failed", None, str(error) or type(error).__name__))
     return spark.createDataFrame(
         status, "level int, table_name string, status string, row_count bigint, message string"
     )

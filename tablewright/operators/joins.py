@@ -67,11 +67,12 @@ def in_list(df: DataFrame, column: str, values: Sequence | DataFrame) -> DataFra
 
 
 def not_in_list(df: DataFrame, column: str, values: Sequence | DataFrame) -> DataFrame:
-    """Rows whose value is known and not listed; an empty list keeps all."""
+    """Rows whose value is known and not listed; nulls in the list count for nothing, an empty list keeps all."""
     if isinstance(values, DataFrame):
-        listed = values.select(F.col(values.columns[0]).alias(column)).distinct()
-        return df.where(F.col(column).isNotNull()).join(listed, column, "left_anti")
-    return df.where(~F.col(column).isin(list(values))) if values else df
+        listed = values.select(F.col(values.columns[0]).alias(column)).where(F.col(column).isNotNull()).distinct()
+        return df if listed.isEmpty() else df.where(F.col(column).isNotNull()).join(listed, column, "left_anti")
+    known = [v for v in values if v is not None]
+    return df.where(~F.col(column).isin(known)) if known else df
 
 
 def scope(df: DataFrame, column: str, include: DataFrame, exclude: DataFrame) -> DataFrame:

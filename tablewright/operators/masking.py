@@ -143,7 +143,7 @@ def extend_mapping(spark: SparkSession, path: str, df: DataFrame, column: str, s
         publish(key_mapping([(df, column)], start=start, step=step), path, expect=None)
         return open_table(spark, path)
     known = open_table(spark, path)
-    last = known.agg(F.max("target_value").alias("m")).first()["m"]
+    last = known.agg((F.max if step > 0 else F.min)("target_value").alias("m")).first()["m"]
     fresh = df.select(F.col(column).alias("source_value")).join(known, "source_value", "left_anti")
     begin = start if last is None else last + step
     added = key_mapping([(fresh, "source_value")], start=begin, step=step)

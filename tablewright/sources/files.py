@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -63,3 +64,24 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
         place.toUri() if place.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration()
     )
     context.rename(draft, place, options)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with ``text`` unless there is one; false if there is. The rename never replaces a file."""
+    fs, place = _locate(spark, path)
+    if fs.exists(place):
+        return False
+    draft = f"{path}.{uuid.uuid4().hex}"
+    replace_text(spark, draft, text)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        place.toUri() if place.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    none = spark.sparkContext._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(spark._jvm.org.apache.hadoop.fs.Path(draft), place, none)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in str(e.java_exception):
+            raise
+        delete_tree(spark, draft)
+        return False
+    return True

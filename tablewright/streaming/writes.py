@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators.changes import current_version, open_table, show
+from tablewright.functions.casting import fit_to_schema
+from tablewright.operators.changes import PublishError, current_version, open_table, show
 from tablewright.sources import files
 
 
@@ -39,11 +40,16 @@ def publish_stream(stream: DataFrame, path: str, checkpoint: str) -> int:
     """Stage every batch and add the whole run to the table at the end, or nothing if a batch fails.
 
     A batch is staged under its id and replaced when Spark replays it, so a
-    rerun cannot double rows. A rerun after a failure goes on in the same
+    rerun cannot double rows. Rows are fitted to the published columns; a column
+    the table lacks is an error before anything is read, and the stored rows of a
+    batch must be as many as were sent. A rerun after a failure goes on in the same
     staging folder, which the checkpoint remembers until it is published. The
     number of added rows comes back.
     """
     spark = stream.sparkSession
+    known = open_table(spark, path).schema if current_version(spark, path) else None
+    if known is not None:
+        fit_to_schema(stream, known)
     marker = f"{checkpoint}/staging"
     folder = files.read_text(spark, marker).strip() if files.exists(spark, marker) else None
     if folder is None or folder in (current_version(spark, path) or "").split("\n"):
@@ -51,7 +57,12 @@ def publish_stream(stream: DataFrame, path: str, checkpoint: str) -> int:
         files.replace_text(spark, marker, folder)
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{folder}/b-{batch_id:09d}")
+        sent, place = Observation(uuid.uuid4().hex), f"{path}/{folder}/b-{batch_id:09d}"
+        fitted = batch if known is None else fit_to_schema(batch, known)
+        fitted.observe(sent, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(place)
+        stored = batch.sparkSession.read.schema(fitted.schema).parquet(place).count()
+        if stored != sent.get["rows"]:
+            raise PublishError(f"{sent.get['rows']} rows were sent to {place} but {stored} were stored")
 
     query = (
         stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{checkpoint}/query")
@@ -67,7 +78,8 @@ def publish_stream(stream: DataFrame, path: str, checkpoint: str) -> int:
 
 
 def batch_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows per published batch of every streamed run."""
-    number = F.regexp_extract(F.col("_metadata.file_path"), r"/(v-[0-9a-f]+)/b-(\d+)/", 2)
-    rows = open_table(spark, path).select(number.alias("batch")).where("batch <> ''")
-    return rows.groupBy(F.col("batch").cast("bigint").alias("batch_id")).agg(F.count("*").alias("rows_written"))
+    """Rows per published batch, a row for each batch of each streamed run."""
+    part = lambda n: F.regexp_extract(F.col("_metadata.file_path"), r"/(v-[0-9a-f]+)/b-(\d+)/", n)
+    rows = open_table(spark, path).select(part(1).alias("run"), part(2).alias("batch")).where("batch <> ''")
+    counted = rows.groupBy("run", F.col("batch").cast("bigint").alias("batch_id")).agg(F.count("*").alias("rows_written"))
+    return counted.drop("run")
