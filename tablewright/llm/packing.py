@@ -45,25 +45,50 @@ class WordIds:
 
         self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most_words, {}
 
+    @staticmethod
+    def _parts(word: str) -> tuple[str, str]:
+        """The word with A-Z lowered (the tokenizer lowers all letters), and a full stop or comma after a Latin letter or figure.
+
+        Only after one that stays one letter: other marks would run together with the stop.
+        """
+        word = word.lower() if word.isascii() else word.encode().lower().decode()
+        return (word[:-1], word[-1]) if len(word) > 1 and word[-1] in ".," and \
+            word[-2].isalnum() and word[-2] < "\u0250" and word[-2] != "\u0130" else (word, "")
+
     def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > self.most:
+        if len(self.known) + 2 * len(words) > self.most:
             self.known.clear()
-        for i in range(0, len(words), 1000):
-            part = words[i:i + 1000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+        parts = [self._parts(w) for w in words]
+        new = [c for c in dict.fromkeys(c for part in parts for c in part) if c not in self.known]
+        plain = [c for c in new if c.isalpha()]
+        for i in range(0, len(plain), 500):  # words of letters alone are one piece each, so many go in one call
+            some = plain[i:i + 500]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, at = np.array(found.ids, "<u4").tobytes(), np.array(found.word_ids)
+            cut = (np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) * 4).tolist()
+            if len(cut) == len(some):
+                self.known.update((c, ids[x:y]) for c, x, y in zip(some, cut, [*cut[1:], len(ids)]))
+        rest = [c for c in new if c not in self.known]
+        for i in range(0, len(rest), 1000):
+            some = rest[i:i + 1000]
+            for c, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[c] = np.array(found.ids, "<u4").tobytes()
+        for word, (core, end) in zip(words, parts):
+            if word not in self.known:
+                self.known[word] = self.known[core] + self.known[end]
 
     def __call__(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            if len(words) > self.most:  # a single text with more words than the table may hold
+            if 4 * len(words) > self.most:  # more words than the table may hold at once
                 half = len(words) // 2
                 return self(" ".join(words[:half])) + self(" ".join(words[half:]))
-            self._learn([w for w in dict.fromkeys(words) if w not in self.known])
-            if any(w not in self.known for w in words):  # the table was emptied meanwhile
-                self._learn([w for w in dict.fromkeys(words) if w not in self.known])
+            missing = [w for w in dict.fromkeys(words) if w not in self.known]
+            if len(self.known) + 2 * len(missing) > self.most:  # the table is emptied first: all words are new
+                missing = list(dict.fromkeys(words))
+            self._learn(missing)
             return b"".join(map(self.known.__getitem__, words))
 
 

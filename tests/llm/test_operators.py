@@ -168,6 +168,22 @@ def test_packing_round_trip(spark, edges, empty):
     assert pack(empty).count() == 0
 
 
+@pytest.mark.parametrize("most", [40, 10 ** 6])
+def test_word_table_gives_the_tokenizer_ids(most):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tablewright.llm.packing import WordIds
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, ids = Tokenizer.from_file(path), WordIds(path, most)
+    rng = np.random.default_rng(0)
+    marks = list("aZéÉßΣσİıK²½.,!?'-_ \n\t\u00a0\u0301\u0307\u1c9fあ漢🙂<|>") + ["It's", "WORD.", "end,", "<|endoftext|>", " 'S ", "x.."]
+    for _ in range(300):
+        text = "".join(rng.choice(marks, rng.integers(0, 60)))
+        assert ids(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+
+
 def test_packing_cuts_and_balance():
     rng = np.random.default_rng(2)
     sizes = rng.integers(1, 90, 200).tolist() + [700, 1]
