@@ -38,12 +38,16 @@ _LOADED: dict[str, tuple] = {}
 
 
 class WordIds:
-    """Token ids of whole texts as bytes (unsigned 32 bit, little endian), by way of a table of words."""
+    """Token ids of whole texts as bytes (unsigned 32 bit, little endian), by way of a table of words.
+
+    When the table is full it becomes the old one and a new one begins; words met again are taken over,
+    so only words that were not met during a whole table are tokenized again.
+    """
 
     def __init__(self, path: str, most_words: int = 1_000_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most_words, {}
+        self.tokenizer, self.most, self.known, self.old = Tokenizer.from_file(path), most_words, {}, {}
 
     @staticmethod
     def _parts(word: str) -> tuple[str, str]:
@@ -57,8 +61,12 @@ class WordIds:
 
     def _learn(self, words: list[str]) -> None:
         if len(self.known) + 2 * len(words) > self.most:
-            self.known.clear()
+            self.known, self.old = {}, self.known
+        again = [w for w in words if w in self.old]
+        self.known.update((w, self.old[w]) for w in again)
+        words = [w for w in words if w not in self.known]
         parts = [self._parts(w) for w in words]
+        self.known.update((c, self.old[c]) for c, _ in parts if c in self.old)
         new = [c for c in dict.fromkeys(c for part in parts for c in part) if c not in self.known]
         plain = [c for c in new if c.isalpha()]
         for i in range(0, len(plain), 500):  # words of letters alone are one piece each, so many go in one call
@@ -86,7 +94,7 @@ class WordIds:
                 half = len(words) // 2
                 return self(" ".join(words[:half])) + self(" ".join(words[half:]))
             missing = [w for w in dict.fromkeys(words) if w not in self.known]
-            if len(self.known) + 2 * len(missing) > self.most:  # the table is emptied first: all words are new
+            if len(self.known) + 2 * len(missing) > self.most:  # a new table is begun first: it holds none of them
                 missing = list(dict.fromkeys(words))
             self._learn(missing)
             return b"".join(map(self.known.__getitem__, words))
