@@ -69,7 +69,7 @@ def shard(
     sizes = sized.select(F.col("__h").alias("h"), F.col("__bytes").alias("bytes"))
     leaf = leaves(sizes, limit, step)
     depths = [r["depth"] for r in leaf.select("depth").distinct().collect()]  # at most 61 numbers
-    tests = F.array(*[F.struct(F.lit(d).alias("depth"), _prefix("__h", F.lit(d)).alias("prefix")) for d in sorted(depths)])
+    tests = F.array(*[F.struct(F.lit(d).alias("depth"), _prefix("__h", F.lit(d)).alias("prefix")) for d in sorted(depths) or [0]])
     found = sizes.select("h").distinct().withColumnRenamed("h", "__h").select("__h", F.explode(tests).alias("t")).join(
         leaf, (F.col("t.depth") == leaf["depth"]) & (F.col("t.prefix") == leaf["prefix"])).select(
         "__h", leaf["depth"].alias("shard_depth"), leaf["prefix"].alias("__prefix"), leaf["bytes"].alias("__total"))
