@@ -323,7 +323,7 @@ def test_pipeline_stages(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").limit(120)
     first = corpus_pipeline.quality_stage(spark, docs, data)
     assert first.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    kept = {r["doc_id"] for r in quality_rules(docs).where("quality.kept").select("doc_id").collect()}
+    kept = {r["doc_id"] for r in kept_only(quality_rules(docs)).select("doc_id").collect()}
     assert {r["doc_id"] for r in first.collect()} == kept
     nothing = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
