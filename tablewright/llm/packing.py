@@ -21,11 +21,17 @@ the input are not read.
 
 from __future__ import annotations
 
+import codecs
+import json
+import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,67 +43,61 @@ SCHEMA = (
 _LOADED: dict[str, tuple] = {}
 
 
-class WordIds:
-    """Token ids of whole texts as bytes (unsigned 32 bit, little endian), by way of a table of words.
+class WordIds(dict):
+    """Token ids of words as bytes (unsigned 32 bit, little endian), made when a word is first looked up.
 
-    When the table is full it becomes the old one and a new one begins; words met again are taken over,
-    so only words that were not met during a whole table are tokenized again.
+    A word of common Latin characters is cut by the tokenizer's own pattern and each piece is merged by
+    its model alone; all other words go through the whole tokenizer. When the table is full it becomes
+    the old one and a new one begins; words met again are taken over, so only words that were not met
+    during a whole table are tokenized again.
     """
 
     def __init__(self, path: str, most_words: int = 1_000_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known, self.old = Tokenizer.from_file(path), most_words, {}, {}
+        super().__init__()
+        self.tokenizer, self.most, self.old = Tokenizer.from_file(path), most_words, {}
+        self.merge, self.pieces = self.tokenizer.model.tokenize, self._pattern(path)
+        # Normal form C leaves these alone, and lower() gives one letter for one; no white space but the blank.
+        self.plain = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]*").fullmatch
+        # A byte-level model writes a byte as the character of that number, or from 256 on if that is not printable.
+        hidden = [n for n in range(256) if not (33 <= n <= 126 or 161 <= n <= 255 and n != 173)]
+        self.shown = "".join(chr(256 + hidden.index(n) if n in hidden else n) for n in range(256))
+        self.piece = lru_cache(200_000)(self._piece)  # stops, marks and frequent words of other spelling
 
     @staticmethod
-    def _parts(word: str) -> tuple[str, str]:
-        """The word with A-Z lowered (the tokenizer lowers all letters), and a full stop or comma after a Latin letter or figure.
-
-        Only after one that stays one letter: other marks would run together with the stop.
-        """
-        word = word.lower() if word.isascii() else word.encode().lower().decode()
-        return (word[:-1], word[-1]) if len(word) > 1 and word[-1] in ".," and \
-            word[-2].isalnum() and word[-2] < "\u0250" and word[-2] != "\u0130" else (word, "")
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + 2 * len(words) > self.most:
-            self.known, self.old = {}, self.known
-        again = [w for w in words if w in self.old]
-        self.known.update((w, self.old[w]) for w in again)
-        words = [w for w in words if w not in self.known]
-        parts = [self._parts(w) for w in words]
-        self.known.update((c, self.old[c]) for c, _ in parts if c in self.old)
-        new = [c for c in dict.fromkeys(c for part in parts for c in part) if c not in self.known]
-        plain = [c for c in new if c.isalpha()]
-        for i in range(0, len(plain), 500):  # words of letters alone are one piece each, so many go in one call
-            some = plain[i:i + 500]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, at = np.array(found.ids, "<u4").tobytes(), np.array(found.word_ids)
-            cut = (np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) * 4).tolist()
-            if len(cut) == len(some):
-                self.known.update((c, ids[x:y]) for c, x, y in zip(some, cut, [*cut[1:], len(ids)]))
-        rest = [c for c in new if c not in self.known]
-        for i in range(0, len(rest), 1000):
-            some = rest[i:i + 1000]
-            for c, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[c] = np.array(found.ids, "<u4").tobytes()
-        for word, (core, end) in zip(words, parts):
-            if word not in self.known:
-                self.known[word] = self.known[core] + self.known[end]
+    def _pattern(path: str):
+        """The pattern that finds pieces, or None for a tokenizer built otherwise than the plain way expects."""
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        normal = [x["type"] for x in (rules.get("normalizer") or {}).get("normalizers", [])]
+        cut = (rules.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if normal != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in cut] != ["Split", "ByteLevel"] or \
+                not cut[0]["invert"] or cut[1]["add_prefix_space"] or cut[1]["use_regex"]:
+            return None
+        return regex.compile(cut[0]["pattern"]["Regex"]).findall
+
+    def _piece(self, piece: str) -> bytes:
+        seen = piece if piece.isascii() else codecs.charmap_decode(piece.encode(), "strict", self.shown)[0]
+        ids = [t.id for t in self.merge(seen)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        found = self.old.get(word)
+        if found is None:
+            if self.pieces is None or "<|" in word or not self.plain(word):
+                found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                low = word.lower()
+                found = self.piece(low) if low.isalpha() else b"".join(map(self.piece, self.pieces(low)))
+        self[word] = found
+        return found
 
     def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            if 4 * len(words) > self.most:  # more words than the table may hold at once
-                half = len(words) // 2
-                return self(" ".join(words[:half])) + self(" ".join(words[half:]))
-            missing = [w for w in dict.fromkeys(words) if w not in self.known]
-            if len(self.known) + 2 * len(missing) > self.most:  # a new table is begun first: it holds none of them
-                missing = list(dict.fromkeys(words))
-            self._learn(missing)
-            return b"".join(map(self.known.__getitem__, words))
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def capacities(total: int, length: int) -> list[int]:
