@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import profiling
 from tablewright.operators.joins import attach_descriptions
 from tablewright.rules.patterns import CLASS_THRESHOLD
+from tablewright.session import scratch_path
 from tablewright.sources import catalog
 from tablewright.sources.tables import sample
 
@@ -22,9 +23,10 @@ def discover(
     """One row per field: type, counts, null share, class of personal data, description.
 
     Tables out of scope are not read. Fields are counted over the whole tables.
-    Values are classified on a sample of 10 to 100 rows per table, or on every
-    row with ``whole``. Text columns that hold JSON are opened first, with the
-    record schema found in the rows that are read.
+    Values are classified on a sample of 10 to 100 rows per table, which is
+    stored once, or on every row with ``whole``. Text columns that hold JSON in
+    all rows read are opened first, with the schema of the whole column; where
+    other text lies beyond the sample, it stays beside in ``<column>_text``.
     """
     spark = next(iter(frames.values())).sparkSession
     known = spark.createDataFrame([(schema_name, name) for name in frames], "schema_name string, table_name string")
@@ -34,9 +36,18 @@ def discover(
     for name, df in frames.items():
         if name not in chosen:
             continue
-        rows = df if whole else sample(df)
+        rows = df
+        if not whole:
+            path = scratch_path(spark, "sample")
+            sample(df).write.parquet(path)
+            rows = spark.read.schema(df.schema).parquet(path)
         for column in catalog.json_columns(rows):
-            df, rows = catalog.parse_complex(df, column, rows), catalog.parse_complex(rows, column, rows)
+            schema, rest = catalog.json_schema(df, column), None
+            if not whole and not df.where(F.col(column).isNotNull() & F.try_parse_json(F.col(column)).isNull()).isEmpty():
+                rest = f"{column}_text"
+                while rest in df.columns:
+                    rest += "_"
+            df, rows = catalog.open_json(df, column, schema, rest), catalog.open_json(rows, column, schema, rest)
         kept[name], read[name] = df, rows
     fields = catalog.crawl(kept, schema_name)
     top = fields.where("top_level").select("table_name", "column_name")

@@ -107,20 +107,14 @@ def collect_in_parts(
 ) -> DataFrame:
     """Gather each key's rows, in order, into arrays of at most ``part_rows`` records.
 
-    Keys up to that size give one row with ``part`` 0. Larger keys are cut into
-    consecutive parts by position, so that no task ever holds a whole hot key
-    and nothing is left out.
+    All keys go one way: rows are numbered in the order of key and ``order``, and a key's rows
+    are cut into consecutive parts by their place in it, counted from 0. So no task ever holds
+    a whole hot key and nothing is left out. Whoever joins on the result must carry ``part``.
     """
-    large = large_keys(df, keys, part_rows)
     ordered = F.sort_array(F.collect_list(F.struct(*[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)],
                                                    F.struct(*values).alias("v"))))
-    gathered = F.transform(ordered, lambda r: r["v"]).alias(name)
-    if large is None:
-        return df.groupBy(*keys).agg(gathered).select(*keys, F.lit(0).cast("bigint").alias("part"), name)
-    small = match(df, large, keys, "left_anti").groupBy(*keys).agg(gathered)
-    placed = _numbered_positions(match(df, large, keys, "left_semi"), keys, order, "__position")
-    cut = (
+    placed = _numbered_positions(df, keys, order, "__position")
+    return (
         placed.withColumn("part", F.floor(F.col("__position") / F.lit(part_rows)).cast("bigint"))
-        .groupBy(*keys, "part").agg(gathered)
+        .groupBy(*keys, "part").agg(F.transform(ordered, lambda r: r["v"]).alias(name))
     )
-    return small.select(*keys, F.lit(0).cast("bigint").alias("part"), name).unionByName(cut)

@@ -151,8 +151,10 @@ def agg_best_classification(spark, sf):
 
 @query(
     "agg_collect_array",
-    "SELECT conv_id, 0::BIGINT AS part, count(*)::INT AS n_turns, string_agg(role, ',' ORDER BY turn) AS roles, "
-    "md5(string_agg(text, '|' ORDER BY turn)) AS text_mark FROM conversations GROUP BY conv_id",
+    "SELECT conv_id, part, count(*)::INT AS n_turns, string_agg(role, ',' ORDER BY turn) AS roles, "
+    "md5(string_agg(text, '|' ORDER BY turn)) AS text_mark "
+    "FROM (SELECT *, ((row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 10000)::BIGINT AS part FROM conversations) "
+    "GROUP BY conv_id, part",
 )
 def agg_collect_array(spark, sf):
     parts = keys.collect_in_parts(load(spark, sf, "conversations"), ["conv_id"], ["turn"], ["role", "text"], "turns")

@@ -20,7 +20,10 @@ from tablewright.sources.tables import load, load_all
 
 
 def nested_orders(spark, sf):
-    """A stored table of orders with their lines as records, each with a price record and an array of dates."""
+    """A stored table of orders with their lines as records, each with a price record and an array of dates.
+
+    An order with very many lines has several rows, told apart by ``part``; its head stands in the first.
+    """
     lines = load(spark, sf, "lineitem").select(
         "l_orderkey", F.col("l_linenumber").alias("line_no"),
         F.struct(F.col("l_extendedprice").alias("amount"), F.when(F.col("l_discount") > 0, F.col("l_discount")).alias("discount")).alias("price"),
@@ -29,20 +32,25 @@ def nested_orders(spark, sf):
     docs = collect_in_parts(lines, ["l_orderkey"], ["line_no"], ["line_no", "price", "dates"], "lines")
     heads = load(spark, sf, "orders").select("o_orderkey", F.struct("o_orderstatus", "o_totalprice").alias("head"))
     path = scratch_path(spark, "nested")
-    publish(heads.join(docs.select(F.col("l_orderkey").alias("o_orderkey"), "lines"), "o_orderkey", "left"), path)
+    found = heads.join(docs.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left").select(
+        "o_orderkey", F.coalesce("part", F.lit(0)).alias("part"), F.when(F.coalesce("part", F.lit(0)) == 0, F.col("head")).alias("head"), "lines",
+    )
+    publish(found, path)
     return open_table(spark, path)
 
 
 _ROWS = "(SELECT count(*) FROM orders)"
+_CUT = "(SELECT DISTINCT l_orderkey, part FROM (SELECT l_orderkey, (row_number() OVER (PARTITION BY l_orderkey) - 1) // 10000 AS part FROM lineitem))"
+_PARTS = f"(SELECT count(*) FROM orders LEFT JOIN {_CUT} ON l_orderkey = o_orderkey)"
+_FILLED = f"(SELECT count(*) FROM orders JOIN {_CUT} ON l_orderkey = o_orderkey)"
 _LINES = "(SELECT count(*) FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"
 _NESTED = (
-    ("o_orderkey", 0, True, "INT64", "INTEGER", f"{_ROWS}", "0", "0"),
-    ("head", 1, True, "STRUCT", "HeadClass", f"{_ROWS}", "0", "0"),
-    ("head.o_orderstatus", 0, False, "STRING", "STRING", f"{_ROWS}", "0", "0"),
-    ("head.o_totalprice", 1, False, "FLOAT64", "REAL", f"{_ROWS}", "0", "0"),
-    ("lines", 2, True, "REPEATED STRUCT", "Collection(LinesClass)",
-     "(SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON o_orderkey = l_orderkey)",
-     f"{_ROWS} - (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON o_orderkey = l_orderkey)", _LINES),
+    ("o_orderkey", 0, True, "INT64", "INTEGER", _PARTS, "0", "0"),
+    ("part", 1, True, "INT64", "INTEGER", _PARTS, "0", "0"),
+    ("head", 2, True, "STRUCT", "HeadClass", _ROWS, f"{_PARTS} - {_ROWS}", "0"),
+    ("head.o_orderstatus", 0, False, "STRING", "STRING", _ROWS, f"{_PARTS} - {_ROWS}", "0"),
+    ("head.o_totalprice", 1, False, "FLOAT64", "REAL", _ROWS, f"{_PARTS} - {_ROWS}", "0"),
+    ("lines", 3, True, "REPEATED STRUCT", "Collection(LinesClass)", _FILLED, f"{_PARTS} - {_FILLED}", _LINES),
     ("lines.line_no", 0, False, "INT64", "INTEGER", _LINES, "0", "0"),
     ("lines.price", 1, False, "STRUCT", "LinesClass;PriceClass", _LINES, "0", "0"),
     ("lines.price.amount", 0, False, "FLOAT64", "REAL", _LINES, "0", "0"),

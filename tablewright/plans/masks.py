@@ -206,12 +206,13 @@ def transform_read_mask_write(spark, sf):
 
 @query(
     "document_assemble",
-    "SELECT o_orderkey, o_custkey, 0::BIGINT AS part, count(l_orderkey)::INT AS n_lines, coalesce(sum(l_partkey), 0)::BIGINT AS part_sum, "
+    "SELECT o_orderkey, o_custkey, coalesce(part, 0)::BIGINT AS part, count(l_orderkey)::INT AS n_lines, coalesce(sum(l_partkey), 0)::BIGINT AS part_sum, "
     "coalesce(string_agg(l_linenumber::VARCHAR, ',' ORDER BY l_linenumber), '') AS line_numbers "
-    "FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'N' GROUP BY o_orderkey, o_custkey",
+    "FROM orders LEFT JOIN (SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1) // 10000 AS part FROM lineitem) "
+    "ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey, part",
 )
 def document_assemble(spark, sf):
-    lines = load(spark, sf, "lineitem").where("l_returnflag = 'N'").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     docs = entities.assemble(
         load(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", {"lines": (lines, "l_orderkey", ["l_linenumber"])}
     )

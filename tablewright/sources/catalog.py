@@ -7,6 +7,7 @@ catalog question is then a query on that small table.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -201,15 +202,34 @@ def add_properties(fields: DataFrame, properties: DataFrame) -> DataFrame:
     return fields.join(properties, ["table_name", "field_path"], "left")
 
 
-def parse_complex(df: DataFrame, column: str, seen: DataFrame | None = None) -> DataFrame:
-    """Replace a text column of JSON by the record it holds.
+def json_schema(df: DataFrame, column: str, longest: int = 1_000_000) -> str:
+    """The type that holds every value of a text column of JSON, merged over the whole table.
 
-    The schema comes from all values, or from those of ``seen``, such as a sample.
+    Where values of one place differ in kind, that place is a variant, which keeps them as they are.
+    So is the column itself if its type takes more than ``longest`` characters to write, as with keys
+    that are ids; ``json_fields`` then lists its paths as rows.
     """
     parsed = F.try_parse_json(F.col(column))
-    found = (df if seen is None else seen).agg(F.schema_of_variant_agg(parsed).alias("s")).first()["s"]
-    ddl = found.replace("OBJECT<", "STRUCT<")
-    return df.withColumn(column, F.from_json(F.col(column), ddl))
+    found = df.agg(F.schema_of_variant_agg(parsed).alias("s")).where(F.length("s") <= longest).first()
+    # quoted key names are left as they are
+    return re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found["s"]) if found else "VARIANT"
+
+
+def open_json(df: DataFrame, column: str, schema: str, rest: str | None = None) -> DataFrame:
+    """Replace a text column of JSON by records of ``schema``; text that is no JSON stays in the column ``rest``, if named.
+
+    Without ``rest`` such text becomes null.
+    """
+    fits = F.try_parse_json(F.col(column)).isNotNull()
+    if rest is not None:
+        df = df.withColumn(rest, F.when(~fits, F.col(column)))
+    opened = F.try_parse_json(F.col(column)) if schema == "VARIANT" else F.when(fits, F.from_json(F.col(column), schema))
+    return df.withColumn(column, opened)
+
+
+def parse_complex(df: DataFrame, column: str, rest: str | None = None) -> DataFrame:
+    """Replace a text column of JSON by the record it holds, by the schema of all its values."""
+    return open_json(df, column, json_schema(df, column), rest)
 
 
 def json_columns(df: DataFrame) -> list[str]:

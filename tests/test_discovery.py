@@ -205,3 +205,30 @@ def test_discovery_run(spark):
     assert (found["contact"].class_name, found["contact"].pii, found["contact"].row_count) == ("EMAIL", True, 300)
     assert found["more"].defined_by == "MoreClass" and found["more.zip"].description == "postal"
     assert found["id"].null_share == 0.0 and found["remark"].value_count == 150
+
+
+def test_json_beyond_the_sample_is_kept(spark):
+    """Late keys, mixed kinds, key names like type names and text that is no JSON all survive opening."""
+    rows = [(i, '{"k": 1}') for i in range(400)] + [(400, '{"z": 2}'), (401, "not json"), (402, '{"k": "t"}'), (403, '{"OBJECT<x": {"a`b": 7}}'), (404, None)]
+    df = spark.createDataFrame(rows, "id int, j string")
+    parsed = catalog.parse_complex(df, "j", "j_text")
+    assert [(r.id, r.j_text) for r in parsed.where("j_text IS NOT NULL").collect()] == [(401, "not json")]
+    got = {r.id: r for r in parsed.selectExpr("id", "j IS NULL AS gone", "CAST(j.k AS string) AS k", "j.z", "j.`OBJECT<x`.`a``b` AS deep").where("id >= 399").collect()}
+    assert [(got[i].gone, got[i].k, got[i].z, got[i].deep) for i in range(399, 405)] == [
+        (False, "1", None, None), (False, None, 2, None), (True, None, None, None), (False, "t", None, None), (False, None, None, 7), (True, None, None, None)]
+    wide = catalog.open_json(df, "j", catalog.json_schema(df, "j", longest=10))
+    assert dict(wide.dtypes)["j"] == "variant" and wide.where("j IS NOT NULL").count() == 403
+
+
+def test_discovery_counts_json_of_the_whole_table(spark):
+    """A sample that sees one kind of record does not decide what the table holds."""
+    from tablewright.operators.discovery import discover
+    from tablewright.operators import discovery
+
+    df = spark.createDataFrame([(i, '{"k": 1}' if i < 200 else '{"z": 2}' if i < 400 else "no json") for i in range(500)], "id int, j string")
+    before, discovery.sample = discovery.sample, lambda d: d.where("id < 20")
+    try:
+        found = {r.field_path: r.value_count for r in discover({"t": df}, "main").collect()}
+    finally:
+        discovery.sample = before
+    assert found == {"id": 500, "j": 400, "j.k": 200, "j.z": 200, "j_text": 100}
