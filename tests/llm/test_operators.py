@@ -317,6 +317,21 @@ def test_decode_picks_the_likelier_word():
     assert decode("1d!0t", costs) == "idiot" and decode("i.d-i o t", costs) == "idiot"
 
 
+def test_long_obfuscations_are_decoded_whole(spark):
+    from tablewright.llm.toxicity import SPACED
+
+    flat = np.full((SIZE, SIZE, SIZE), 5.0)
+    run = " ".join("moron" * 200)
+    assert SPACED.findall(f"so {run} there") == [run] and len(decode(run, flat)) == 1000
+    rng = np.random.default_rng(1)
+    words = ["river", "stone", "garden", "window", "letter", "music", "summer", "table"]
+    texts = [" ".join(rng.choice(words, 12)) + (" you moron" if i % 4 == 0 else "") for i in range(400)]
+    probes = ["m" + "o" * 80 + "ron", "m" + "-_." * 30 + "oron", "m" + " ." * 150 + "o r o n", "r" + "i" * 80 + "ver", "_" * 3000 + "!"]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, label int")
+    got = {r["doc_id"]: r["score"] for r in score_toxicity(frame(spark, texts + probes), labels).collect()}
+    assert [got[400 + i] >= 0.5 for i in range(5)] == [True, True, True, False, False]
+
+
 def test_pipeline_stages(spark, data):
     import corpus_pipeline
 
