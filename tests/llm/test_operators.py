@@ -332,6 +332,22 @@ def test_long_obfuscations_are_decoded_whole(spark):
     assert [got[400 + i] >= 0.5 for i in range(5)] == [True, True, True, False, False]
 
 
+def test_spaced_runs_are_cut_into_words_and_other_scripts_restored(spark):
+    rng = np.random.default_rng(2)
+    words = ["river", "stone", "garden", "window", "letter", "music", "summer", "table", "you", "are", "i", "am", "a"]
+    texts = [" ".join(rng.choice(words, 12)) + (" you are a moron" if i % 4 == 0 else "") for i in range(400)]
+    spaced = " ".join("iamagardenyouareamoron")
+    probes = [
+        "you are a m o r o n ok", "i m o r o n you", "i am a m o r o n", "y o u a r e a m o r o n!", spaced, "y o u  a r e  a  m o r o n",
+        "you-are-a-m-o-r-o-n", "m\u043er\u043en", "\uff4d\uff4f\uff52\uff4f\uff4e", "i a m a g a r d e n", "a r i v e r", "you are a garden",
+    ]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, label int")
+    got = {r["doc_id"]: r["score"] for r in score_toxicity(frame(spark, texts + probes), labels).collect()}
+    assert [got[400 + i] >= 0.5 for i in range(len(probes))] == [True] * 9 + [False] * 3
+    flat = np.full((SIZE, SIZE, SIZE), 5.0)
+    assert decode("д-у-р-а-к", flat) == "дурак"
+
+
 def test_pipeline_stages(spark, data):
     import corpus_pipeline
 
