@@ -258,6 +258,21 @@ def test_licenses(spark, edges, empty):
     assert scan_licenses(edges).count() == len(EDGES) + 5 and scan_licenses(empty).count() == 0
 
 
+def test_licenses_are_found_however_they_are_wrapped(spark):
+    import textwrap
+
+    from tablewright.llm.license_scans import TEMPLATES, WHOLE
+
+    whole = {"long": " ".join(f"term{i}" for i in range(120))}
+    cases = [(label, width, gap) for label in ("mit-grant", "bsd-terms", *WHOLE) for width in (32, 60) for gap in ("\n", "\n\n")]
+    texts = ["Some words before.\n" * 7 + gap.join("# " + x for x in textwrap.wrap((TEMPLATES | WHOLE)[label], width)) + "\nmore" * 9 for label, width, gap in cases]
+    got = {r["doc_id"]: r for r in scan_licenses(frame(spark, [*texts, "term words of the license " * 30])).collect()}
+    assert all(label in got[i]["template_labels"] and got[i]["containment"] == 1.0 for i, (label, _, _) in enumerate(cases))
+    assert got[len(cases)]["template_labels"] == []
+    wrapped = "\n\n".join(textwrap.wrap(whole["long"], 30))
+    assert scan_licenses(frame(spark, ["x " * 50 + wrapped]), templates=whole).first()["template_labels"] == ["long"]
+
+
 def test_shards(spark, edges, empty):
     docs = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(2000)] + [(5, "y" * 30)] * 40 + [(None, None)], "doc_id long, text string")
     rows = shard(docs, limit=300).collect()
