@@ -16,7 +16,7 @@ from tablewright.plans.scans import names
 from tablewright.rules.patterns import NAME_PATTERNS, PERSONAL_CLASSES
 from tablewright.session import scratch_path
 from tablewright.sources import catalog
-from tablewright.sources.tables import load, load_all
+from tablewright.sources.tables import TABLES, load, load_all
 
 
 def nested_orders(spark, sf):
@@ -89,6 +89,10 @@ def crawl_nested_classes(spark, sf):
 TOKENS = "(SELECT unnest(regexp_split_to_array(text, '\\s+')) AS token FROM documents)"
 
 
+#: Every table with a text column.
+WITH_TEXT = tuple(t for t in TABLES if any(kind == "STRING" for _, kind in columns(t)))
+
+
 @query(
     "classify_by_data",
     "SELECT * REPLACE (round(score, 6) AS score) FROM ("
@@ -98,7 +102,7 @@ TOKENS = "(SELECT unnest(regexp_split_to_array(text, '\\s+')) AS token FROM docu
     + ")",
 )
 def classify_by_data(spark, sf):
-    frames = load_all(spark, sf, ["documents", "pages", "conversations", "customer"])
+    frames = load_all(spark, sf, WITH_TEXT)
     frames["words"] = load(spark, sf, "documents").select(F.explode(F.split("text", r"\s+")).alias("token"))
     return profiling.classify_by_data(frames, threshold=0.000001).withColumn("score", F.round("score", 6))
 

@@ -232,3 +232,21 @@ def test_discovery_counts_json_of_the_whole_table(spark):
     finally:
         discovery.sample = before
     assert found == {"id": 500, "j": 400, "j.k": 200, "j.z": 200, "j_text": 100}
+
+
+def test_data_classes_are_looked_for_in_every_table_with_text(spark, data, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tablewright.plans.discovery import WITH_TEXT, classify_by_data
+    from tablewright.sources.tables import TABLES
+
+    column = {"orders": "o_orderpriority", "lineitem": "l_returnflag", "events": "event_type", "benchmark": "text"}
+    assert set(column) <= set(WITH_TEXT)
+    for name in TABLES:
+        if name in column:
+            rows = spark.read.parquet(f"{data}/{name}.parquet").limit(20).withColumn(column[name], F.lit("jane.doe@example.com"))
+            rows.write.parquet(f"{tmp_path}/{name}.parquet")
+        else:
+            (tmp_path / f"{name}.parquet").symlink_to(f"{data}/{name}.parquet")
+    found = {(r["table_name"], r["column_name"]) for r in classify_by_data(spark, str(tmp_path)).collect()}
+    assert set(column.items()) <= found
