@@ -250,3 +250,13 @@ def test_data_classes_are_looked_for_in_every_table_with_text(spark, data, tmp_p
             (tmp_path / f"{name}.parquet").symlink_to(f"{data}/{name}.parquet")
     found = {(r["table_name"], r["column_name"]) for r in classify_by_data(spark, str(tmp_path)).collect()}
     assert set(column.items()) <= found
+
+
+@pytest.mark.parametrize("name", ["lineitem", "events"])
+def test_profile_of_a_whole_table(spark, data, name):
+    df = spark.read.parquet(f"{data}/{name}.parquet")
+    found = {r["column_name"]: r for r in profiling.profile(df, name, exact_distinct=True).collect()}
+    assert set(found) == set(df.columns)
+    wanted = df.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(df.columns) for k, f in (("n", F.count), ("d", F.count_distinct))]).first()
+    for i, c in enumerate(df.columns):
+        assert (found[c]["row_count"] - found[c]["null_count"], found[c]["distinct_count"]) == (wanted[f"n{i}"], wanted[f"d{i}"])
