@@ -2,8 +2,8 @@
 
 Candidates are the three base kinds and, as a wider net, long mixed tokens. Each candidate value is
 hashed, and the hashes are counted corpus-wide by distinct repositories and owners. A value that many
-owners hold is a widely copied example; a value that few owners hold and that looks like key material
-is a live-looking credential. Wide tokens judged live become spans of the kind ``live``; base spans stay
+owners (``example_owners``) or many repositories (``example_repositories``) hold is a widely copied example; a value that
+few of both hold and that looks like key material is a live-looking credential. Wide tokens judged live become spans of the kind ``live``; base spans stay
 whatever the verdict.
 
 Positions come from the pieces between the matches of a pattern, summed up in order, so only texts
@@ -95,14 +95,14 @@ def looks_live(value: Column) -> Column:
     )
 
 
-def judged(hit: DataFrame, example_owners: int) -> DataFrame:
+def judged(hit: DataFrame, example_owners: int, example_repositories: int) -> DataFrame:
     """Candidates with the counts of their value and a verdict: example, live or weak.
 
     A wide token inside a base span is dropped, as the base span already tells of it.
     """
     known = hit.join(ownership(hit), "hash")
-    live = (F.col("n_owners") < example_owners) & looks_live(F.col("value"))
-    verdict = F.when(F.col("n_owners") >= example_owners, "example").when(live, "live").otherwise("weak")
+    copied = (F.col("n_owners") >= example_owners) | (F.col("n_repositories") >= example_repositories)
+    verdict = F.when(copied, "example").when(looks_live(F.col("value")), "live").otherwise("weak")
     order = Window.partitionBy("row").orderBy("start")
     before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -116,7 +116,7 @@ def judged(hit: DataFrame, example_owners: int) -> DataFrame:
 
 def scan_secrets(
     docs: DataFrame, id: str = "doc_id", text: str = "text", owner: Column | None = None,
-    repository: Column | None = None, *, example_owners: int = 3,
+    repository: Column | None = None, *, example_owners: int = 3, example_repositories: int = 4,
 ) -> DataFrame:
     """One row per input row: ``id`` and ``spans``, a sorted array of all findings.
 
@@ -126,7 +126,7 @@ def scan_secrets(
     repository = F.concat_ws("/", "source", "lang") if repository is None else repository
     found = candidates(docs, id, text, owner, repository)
     rank = F.array_position(F.array(*[F.lit(k) for k in PATTERNS]), F.col("kind"))
-    per_row = judged(spans(found), example_owners).groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
+    per_row = judged(spans(found), example_owners, example_repositories).groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
         "start", rank.alias("rank"), "end", "kind", "value", "verdict", "n_owners", "n_repositories"))).alias("spans"))
     none = F.array().cast(per_row.schema["spans"].dataType)
     return found.select("row", "id").join(per_row, "row", "left").select(

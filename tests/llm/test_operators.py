@@ -248,6 +248,15 @@ def test_secrets(spark, empty):
     assert scan_secrets(empty).count() == 0
 
 
+def test_secrets_in_many_repositories_of_one_owner_are_examples(spark):
+    copied, own = "Zk3Qw9Lm2Xc7Vb5Nt8Rp", "Hy6Tg1Fd4Sa0Jk8Lz2Qe"
+    rows = [(i, f"key {copied} end", f"l{i % 4}", "hot", None, 7, "x") for i in range(40)]
+    rows += [(100 + i, f"key {own} end", f"l{i % 3}", "hot", None, 7, "x") for i in range(9)]
+    docs = spark.createDataFrame(rows, DOCS)
+    out = {r["doc_id"]: r["text"] for r in redacted(docs).collect()}
+    assert all(copied in out[i] for i in range(40)) and not any(own in out[100 + i] for i in range(9))
+
+
 def test_licenses(spark, edges, empty):
     texts = ["Released under the\nMIT License.\nmore", "The General Public License and the apache license", None, "", "all rights\nare reserved", "All Rights Reserved"]
     got = {r["doc_id"]: r for r in scan_licenses(frame(spark, texts)).collect()}
