@@ -5,7 +5,7 @@ import pytest
 
 from tablewright.llm.queries import CHECKS, QUERIES
 
-TABLES = ("documents", "embeddings", "labels")
+TABLES = ("documents", "embeddings", "labels", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
