@@ -63,14 +63,17 @@ class Template:
     def controls(self) -> tuple[str, ...]:
         return self.begin, self.role, self.text, self.end
 
-    def _pattern(self, before: str):
-        return re.compile("|".join(f"(?<={re.escape(x[0])}){before}(?=\\\\*{re.escape(x[1:])})" for x in self.controls))
+    def _sub(self, before: str, after: str, content: str) -> str:
+        if not any(x[1:] in content for x in self.controls):  # most content; far cheaper than the pattern
+            return content
+        pattern = "|".join(f"(?<={re.escape(x[0])}){before}(?=\\\\*{re.escape(x[1:])})" for x in self.controls)
+        return re.sub(pattern, after, content)
 
     def escape(self, content: str) -> str:
-        return self._pattern("").sub(r"\\", content)
+        return self._sub("", r"\\", content)
 
     def unescape(self, content: str) -> str:
-        return self._pattern(r"\\").sub("", content)
+        return self._sub(r"\\", "", content)
 
 
 class Vocabulary:
