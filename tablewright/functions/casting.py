@@ -163,9 +163,10 @@ def range_bounds(column: Column) -> Column:
 
 
 def fit(column: Column, have: T.DataType, want: T.DataType, path: str, cast: Callable[[Column, T.DataType], Column]) -> Column:
-    """Shape a value like ``want``: records by field name, arrays per element.
+    """Shape a value like ``want``: records by field name, arrays per element, maps per key and value.
 
-    A missing sub-field becomes NULL and a surplus one is dropped.
+    A missing sub-field becomes NULL and a surplus one is dropped. Where ``cast`` is lenient, a map entry whose key does not fit
+    is left out, as no map has a null key; of keys that become equal the last one stays.
     """
     if isinstance(want, T.StructType):
         if not isinstance(have, T.StructType):
@@ -185,6 +186,15 @@ def fit(column: Column, have: T.DataType, want: T.DataType, path: str, cast: Cal
         if not isinstance(have, T.ArrayType):
             raise TypeError(f"{path}: expected an array, found {have.simpleString()}")
         return F.transform(column, lambda v: fit(v, have.elementType, want.elementType, f"{path}[]", cast))
+    if isinstance(want, T.MapType) and isinstance(have, T.MapType) and have != want:
+        key = lambda k: fit(k, have.keyType, want.keyType, f"{path}.key", cast)
+        value = lambda v: fit(v, have.valueType, want.valueType, f"{path}.value", cast)
+        if have.keyType == want.keyType:
+            return F.transform_values(column, lambda k, v: value(v))
+        pairs = F.transform(F.map_entries(column), lambda e: F.struct(key(e["key"]).alias("key"), value(e["value"]).alias("value")))
+        pairs = F.filter(pairs, lambda e: e["key"].isNotNull())
+        last = F.filter(pairs, lambda e, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["key"] == e["key"]))
+        return F.map_from_entries(last)
     if isinstance(have, (T.StructType, T.ArrayType)) and isinstance(want, T.StringType):
         return F.to_json(column)
     return column if have == want else cast(column, want)

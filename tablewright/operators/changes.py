@@ -2,93 +2,23 @@
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.casting import fit, fit_to_schema, lenient
 from tablewright.operators.keys import match
+from tablewright.operators.versions import (  # noqa: F401
+    PublishError, bounds_of, current_version, drop_old_versions, entries, file_name, hits, open_table, open_version, publish,
+    replace_files, show, stage, within,
+)
 from tablewright.sources import files
 
-POINTER = "_CURRENT"
-
-
-class PublishError(RuntimeError):
-    """The staged rows do not match what was sent; the target is unchanged."""
-
-
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Names of the folders that make up the published table, one per line.
-
-    The pointer is a shortcut: each version names its successor in a file that only one writer can make.
-    """
-    pointer = f"{path}/{POINTER}"
-    version = files.read_text(spark, pointer).strip() if files.exists(spark, pointer) else None
-    while files.exists(spark, _successor(path, version)):
-        version = files.read_text(spark, _successor(path, version)).strip()
-    return version
-
-
-def _successor(path: str, version: str | None) -> str:
-    return f"{path}/_NEXT_{hashlib.md5((version or '').encode()).hexdigest()}"
-
-
-def open_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The published rows of a table; readers never see staged ones."""
-    version = current_version(spark, path)
-    if version is None:
-        raise FileNotFoundError(f"nothing published at {path}")
-    reader = spark.read.option("recursiveFileLookup", "true")
-    reader = reader.schema(schema) if schema else reader
-    return reader.parquet(*[f"{path}/{folder}" for folder in version.split("\n")])
-
-
-def stage(df: DataFrame, path: str) -> tuple[str, int]:
-    """Write rows as a version that nobody sees yet; its name and checked row count come back."""
-    spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
-    sent = Observation(version)
-    df.observe(sent, F.count(F.lit(1)).alias("rows")).write.parquet(f"{path}/{version}")
-    rows = sent.get["rows"]
-    stored = spark.read.schema(df.schema).parquet(f"{path}/{version}").count()
-    if stored != rows:
-        raise PublishError(f"{rows} rows were sent to {path} but {stored} were stored")
-    return version, stored
-
-
-def show(spark: SparkSession, path: str, folders: Sequence[str], expect=...) -> None:
-    """Make staged folders the published table, by one rename that never replaces a file.
-
-    ``expect`` names the version the rows were made from; if another writer
-    has published since, nothing is swapped. Of two writers that follow one
-    version only one can make its successor.
-    """
-    text = "\n".join(folders)
-    while True:
-        version = current_version(spark, path)
-        if expect is not ... and version != expect:
-            raise PublishError(f"{path} was changed by another writer")
-        if files.create_text(spark, _successor(path, version), text):
-            break
-    files.replace_text(spark, f"{path}/{POINTER}", text)
-
-
-def publish(df: DataFrame, path: str, expect=...) -> int:
-    """Replace a table: write a new version, check its row count and swap it in.
-
-    A failure at any point leaves the published version as it was.
-    """
-    folder, rows = stage(df, path)
-    show(df.sparkSession, path, [folder], expect)
-    return rows
-
-
 def publish_more(df: DataFrame, path: str) -> int:
     """Add rows to a table, all or none of them, without rewriting what is there."""
     return publish_more_together({path: df})[path]
@@ -107,19 +37,10 @@ def publish_more_together(frames: Mapping[str, DataFrame]) -> dict[str, int]:
         fitted = df if version is None else fit_to_schema(df, open_table(spark, path).schema)
         staged[path] = (version, *stage(fitted, path))
     for path, (version, folder, _) in staged.items():
-        show(frames[path].sparkSession, path, [*(version.split("\n") if version else []), folder], version)
+        show(frames[path].sparkSession, path, [*entries(version), folder], version)
     return {path: rows for path, (_, _, rows) in staged.items()}
 
 
-def drop_old_versions(spark: SparkSession, path: str) -> list[str]:
-    """Delete the folders that are not part of the published table; run it when nobody is writing."""
-    current = (current_version(spark, path) or "").split("\n")
-    old = [n for n in files.child_names(spark, path) if n.startswith("v-") and n not in current]
-    for name in old:
-        files.delete_tree(spark, f"{path}/{name}")
-    return old
-
-
 def append(df: DataFrame, path: str, batch_rows: int = 1_000_000) -> None:
     """Append rows so that every finished batch stays, whatever happens to later ones.
 
@@ -173,10 +94,37 @@ def with_keys(target: DataFrame, keys_from: DataFrame, keys: Sequence[str]) -> D
 
 
 def delete_by_keys(spark: SparkSession, path: str, keys_from: DataFrame, keys: Sequence[str]) -> int:
+    """Delete rows by key tuple; only the files that hold such rows are written anew. The number of rows removed comes back.
+
+    Files whose footers lie outside the bounds of the keys are not even searched. A null in a key matches nothing.
+    """
     version = current_version(spark, path)
     target = open_table(spark, path)
-    before = target.count()
-    return before - publish(without_keys(target, keys_from, keys), path, expect=version)
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    bounds = _bounds(keys_from.where(whole), keys, target.schema)
+    return _delete(spark, path, version, target, lambda df: with_keys(_near(df, bounds, keys), keys_from, keys),
+                   lambda df: without_keys(df, keys_from, keys))
+
+
+def _bounds(df: DataFrame, keys: Sequence[str], target: T.StructType) -> Row | None:
+    """Bounds of the keys as the target stores them, or None where no key has bounds."""
+    alike = [k for k in keys if df.schema[k].dataType == target[k].dataType]
+    wanted = bounds_of(target, alike)
+    return df.agg(*wanted).first() if wanted else None
+
+
+def _near(df: DataFrame, bounds: Row | None, keys: Sequence[str]) -> DataFrame:
+    return df if bounds is None else within(df, bounds, keys)
+
+
+def _delete(
+    spark: SparkSession, path: str, version: str, target: DataFrame,
+    gone: Callable[[DataFrame], DataFrame], left: Callable[[DataFrame], DataFrame],
+) -> int:
+    hit = hits(gone(target.withColumn("__file", file_name())), "__file")
+    if hit.files:
+        replace_files(spark, path, version, hit.files, left(open_version(spark, path, hit.files, target.schema)))
+    return hit.rows
 
 
 def without_entity(target: DataFrame, column: str, value) -> DataFrame:
@@ -185,10 +133,11 @@ def without_entity(target: DataFrame, column: str, value) -> DataFrame:
 
 
 def delete_by_entity(spark: SparkSession, path: str, column: str, value) -> int:
+    """Delete an entity's rows; files whose footers rule the id out are not searched, and files without it stay as they are."""
     version = current_version(spark, path)
     target = open_table(spark, path)
-    before = target.count()
-    return before - publish(without_entity(target, column, value), path, expect=version)
+    same = F.col(column).isNull() if value is None else F.col(column) == F.lit(value)
+    return _delete(spark, path, version, target, lambda df: df.where(same), lambda df: without_entity(df, column, value))
 
 
 def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -198,23 +147,35 @@ def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> dict[str, int]:
-    """Replace on key match, else insert; two source rows with one key are an error."""
+    """Replace on key match, else insert; two source rows with one key are an error.
+
+    Only files that hold a matching row are written anew. Two null keys match.
+    """
     version = current_version(spark, path)
     target = open_table(spark, path)
     fitted = fit_to_schema(source, target.schema)  # keys are compared as they will be stored
-    per_key = fitted.groupBy(*keys).agg(F.count("*").alias("n"))
-    most, offered = per_key.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if most > 1:
+    per_key = fitted.groupBy(*keys).agg(F.count("*").alias("__n"))
+    counted = F.coalesce(F.max("__n"), F.lit(0)).alias("__most"), F.coalesce(F.sum("__n"), F.lit(0)).alias("__offered")
+    offer = per_key.agg(*counted, *bounds_of(target.schema, keys)).first()
+    if offer["__most"] > 1:
         raise ValueError(f"source rows are not unique on {', '.join(keys)}")
-    inserted = match(fitted, target.select(*keys).distinct(), keys, "left_anti").count()
-    publish(upserted(target, source, keys), path, expect=version)
-    return {"matched": offered - inserted, "inserted": inserted}
+    near = within(target.select(*keys, file_name().alias("__file")), offer, keys)
+    hit = hits(match(near, fitted.select(*keys), keys, "left_semi"), "__file", keys)
+    if hit.files:
+        kept = match(open_version(spark, path, hit.files, target.schema), fitted.select(*keys), keys, "left_anti")
+        replace_files(spark, path, version, hit.files, kept.unionByName(fitted))
+    elif offer["__offered"]:
+        replace_files(spark, path, version, (), fitted)
+    return {"matched": hit.keys, "inserted": offer["__offered"] - hit.keys}
 
 
 def change_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """What an upsert and a delete of the source's keys would touch, and -1 for a query."""
-    known = with_keys(source, target, keys).agg(F.count("*").alias("rows_affected"))
-    new = without_keys(source, target, keys).agg(F.count("*").alias("rows_affected"))
+    """What an upsert of the source and a delete of its keys would touch, and -1 for a query.
+
+    As in those: an upsert matches two null keys, a delete never does.
+    """
+    known = match(source, target.select(*keys).distinct(), keys, "left_semi").agg(F.count("*").alias("rows_affected"))
+    new = match(source, target.select(*keys).distinct(), keys, "left_anti").agg(F.count("*").alias("rows_affected"))
     deleted = with_keys(target, source, keys).agg(F.count("*").alias("rows_affected"))
     label = lambda df, name: df.select(F.lit(name).alias("statement"), "rows_affected")
     query = deleted.select(F.lit("query").alias("statement"), F.lit(-1).cast("bigint").alias("rows_affected"))
@@ -259,6 +220,9 @@ def _lost(column: Column, have: T.DataType, want: T.DataType) -> Column:
         return F.coalesce(column.isNotNull() & reduce(lambda a, b: a | b, inside, F.lit(False)), F.lit(False))
     if isinstance(want, T.ArrayType):
         return F.coalesce(F.exists(column, lambda v: _lost(v, have.elementType, want.elementType)), F.lit(False))
+    if isinstance(want, T.MapType) and isinstance(have, T.MapType):
+        inside = lambda e: _lost(e["key"], have.keyType, want.keyType) | _lost(e["value"], have.valueType, want.valueType)
+        return F.coalesce(F.exists(F.map_entries(column), inside), F.lit(False))
     if have == want or isinstance(have, (T.StructType, T.ArrayType)):
         return F.lit(False)
     return column.isNotNull() & lenient(column, want).isNull()

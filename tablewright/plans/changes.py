@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators import changes
+from tablewright.operators import changes, versions
 from tablewright.plans.registry import query
 from tablewright.session import scratch_path
 from tablewright.sources.tables import load
@@ -120,6 +120,26 @@ def upsert_by_keys(spark, sf):
     return changes.open_table(spark, path)
 
 
+@query(
+    "compact_table",
+    "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderpriority = '1-URGENT' THEN 0.0 ELSE o_totalprice END AS o_totalprice "
+    "FROM orders WHERE o_custkey % 10 <> 3",
+)
+def compact_table(spark, sf):
+    """Rows that came in pieces, lost some keys, had others replaced, and were joined into few files."""
+    path = scratch_path(spark, "compact")
+    orders = load(spark, sf, "orders")
+    columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    for status in ("F", "O", "P"):
+        changes.publish_more(orders.where(F.col("o_orderstatus") == status).select(*columns), path)
+    changes.delete_by_keys(spark, path, orders.where("o_custkey % 10 = 3").select("o_orderkey"), ["o_orderkey"])
+    urgent = orders.where("o_orderpriority = '1-URGENT' AND o_custkey % 10 <> 3")
+    changes.upsert(spark, path, urgent.withColumn("o_totalprice", F.lit(0.0)).select(*columns), ["o_orderkey"])
+    versions.compact(spark, path)
+    versions.drop_old_versions(spark, path)
+    return changes.open_table(spark, path)
+
+
 @query(
     "copy_table",
     "SELECT p_partkey AS part_key, upper(p_name) AS part_name, p_retailprice AS price, 'copy' AS origin FROM part",

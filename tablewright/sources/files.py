@@ -28,6 +28,18 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
 
 
+def below(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Data files below a folder at any depth, by their place in it, with their bytes; a file is its own, nameless one."""
+    fs, place = _locate(spark, path)
+    root, found, walk = fs.makeQualified(place).toString(), [], fs.listFiles(place, True)
+    while walk.hasNext():
+        status = walk.next()
+        name = status.getPath().toString()[len(root):].lstrip("/")
+        if not any(part.startswith(("_", ".")) for part in name.split("/")):
+            found.append((name, status.getLen()))
+    return sorted(found)
+
+
 def state(spark: SparkSession, path: str) -> str:
     """Names, sizes and times of what lies directly in a folder."""
     fs, place = _locate(spark, path)
