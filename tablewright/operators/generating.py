@@ -9,19 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.hashing import hash_hex, hash_letters, hash_number, hash_pick, hash_range
+from tablewright.functions import patterns
+from tablewright.functions.hashing import SEED, hash_hex, hash_letters, hash_number, hash_pick, hash_range
 from tablewright.functions.types import source_type
 from tablewright.operators.joins import children_of
 from tablewright.operators.keys import dense_ids
 from tablewright.rules.generators import BY_CLASS
 
 
-def _digits(label: str, source: Column, draw: int, length: int) -> Column:
-    return F.lpad((hash_number(label, source, draw) % F.lit(10**length)).cast("string"), length, "0")
-
-
-def _letter(label: str, source: Column, draw: int) -> Column:
-    return F.char(F.lit(65) + hash_number(label, source, draw) % F.lit(26))
+def _digits(label: str, source: Column, draw: int, length: int, seed: str) -> Column:
+    return F.lpad((hash_number(label, source, draw, seed) % F.lit(10**length)).cast("string"), length, "0")
 
 
 def with_check_digit(digits: Column, length: int = 15) -> Column:
@@ -36,9 +33,9 @@ def with_check_digit(digits: Column, length: int = 15) -> Column:
     return F.concat(digits, ((F.lit(10) - total % 10) % 10).cast("string"))
 
 
-def _credit_card(label: str, source: Column, settings: Mapping) -> Column:
+def _credit_card(label: str, source: Column, settings: Mapping, seed: str) -> Column:
     """Sixteen digits; the first ``prefix_length`` digits of the source are kept where it has them."""
-    drawn = F.concat(_digits(label, source, 0, 8), _digits(label, source, 1, 7))
+    drawn = F.concat(_digits(label, source, 0, 8, seed), _digits(label, source, 1, 7, seed))
     kept = settings.get("prefix_length", 0)
     if kept:
         own = F.regexp_extract(source.cast("string"), rf"^(\d{{{kept}}})", 1)
@@ -46,102 +43,66 @@ def _credit_card(label: str, source: Column, settings: Mapping) -> Column:
     return with_check_digit(drawn)
 
 
-def _driver_license(label: str, source: Column, settings: Mapping) -> Column:
-    letters = F.when(hash_number(label, source, 0) % 2 == 0, _letter(label, source, 1)).otherwise(
-        F.concat(_letter(label, source, 1), _letter(label, source, 2))
-    )
-    digits = F.substring(_digits(label, source, 3, 6), F.lit(1), hash_range(label, source, 4, 1, 6).cast("int"))
-    last = F.when(hash_number(label, source, 5) % 2 == 0, "").otherwise(_letter(label, source, 6))
-    return F.concat(letters, digits, last)
-
-
-def _email(label: str, source: Column, settings: Mapping) -> Column:
-    return F.concat(
-        hash_letters(label, source, 6, 20), F.lit("@"), hash_letters(f"{label}.domain", source, 4, 10), F.lit("."),
-        hash_pick(label, source, ["com", "net", "org"], 3),
-    )
-
-
-def _telephone(label: str, source: Column, settings: Mapping) -> Column:
-    return F.concat(
-        F.lit("+1 ("), hash_range(label, source, 0, 200, 999).cast("string"), F.lit(")-"),
-        hash_range(label, source, 1, 200, 999).cast("string"), F.lit("-"), _digits(label, source, 2, 4),
-    )
-
-
-def _ssn(label: str, source: Column, settings: Mapping) -> Column:
-    part = lambda draw, high, width: F.lpad((F.lit(1) + hash_number(label, source, draw) % high).cast("string"), width, "0")
+def _ssn(label: str, source: Column, settings: Mapping, seed: str) -> Column:
+    part = lambda draw, high, width: F.lpad((F.lit(1) + hash_number(label, source, draw, seed) % high).cast("string"), width, "0")
     return F.concat_ws(settings.get("delimiter", "-"), part(0, 665, 3), part(1, 99, 2), part(2, 9999, 4))
 
 
-def _postal_code(label: str, source: Column, settings: Mapping) -> Column:
-    short = _digits(label, source, 0, 5)
-    return F.when(hash_number(label, source, 1) % 2 == 0, short).otherwise(
-        F.concat_ws("-", short, _digits(label, source, 2, 4))
-    )
-
-
-def _mac(label: str, source: Column, settings: Mapping) -> Column:
-    raw = F.upper(F.substring(hash_hex(label, source, 0), 1, 12))
-    return F.concat_ws(":", *[F.substring(raw, 1 + 2 * i, 2) for i in range(6)])
-
-
-GENERATE: dict[str, Callable[[str, Column, Mapping], Column]] = {
-    "string": lambda label, source, s: hash_letters(label, source, s["low"], s["high"]),
-    "number": lambda label, source, s: hash_range(label, source, 0, s["low"], s["high"]),
-    "choice": lambda label, source, s: hash_pick(label, source, s["items"]),
+GENERATE: dict[str, Callable[[str, Column, Mapping, str], Column]] = {
+    "string": lambda label, source, s, seed: hash_letters(label, source, s["low"], s["high"], seed),
+    "number": lambda label, source, s, seed: hash_range(label, source, 0, s["low"], s["high"], seed),
+    "choice": lambda label, source, s, seed: hash_pick(label, source, s["items"], 0, seed),
+    "pattern": lambda label, source, s, seed: patterns.drawn(s["pattern"], label, source, seed),
     "credit_card": _credit_card,
-    "driver_license": _driver_license,
-    "email": _email,
-    "telephone": _telephone,
     "ssn": _ssn,
-    "postal_code": _postal_code,
-    "mac_address": _mac,
-    "ip_address": lambda label, source, s: F.concat_ws(
-        ".", *[(hash_number(label, source, i) % 256).cast("string") for i in range(4)]
-    ),
-    "two_letters": lambda label, source, s: F.concat(_letter(label, source, 0), _letter(label, source, 1)),
 }
 
 
-def generate(generator: str, settings: Mapping, label: str, source: Column) -> Column:
+def generate(generator: str, settings: Mapping, label: str, source: Column, seed: str = SEED) -> Column:
     """The value that ``generator`` makes for ``source`` under the name ``label``."""
-    return GENERATE[generator](label, source, settings)
+    return GENERATE[generator](label, source, settings, seed)
 
 
-def generate_class(class_name: str, label: str, source: Column) -> Column:
+def generate_class(class_name: str, label: str, source: Column, seed: str = SEED) -> Column:
     """A value for a class, or NULL where the class has no generator."""
     if class_name not in BY_CLASS:
         return F.lit(None).cast("string")
     generator, settings, _, _ = BY_CLASS[class_name]
-    return generate(generator, settings, label, source)
+    return generate(generator, settings, label, source, seed)
 
 
-def numbered_value(generator: str, settings: Mapping, number: Column) -> tuple[Column, int]:
-    """The ``number``-th (from 1) of a generator's values, all different, and how many there are."""
-    n = number - F.lit(1)
-    letters = lambda width: F.translate(F.lpad(F.lower(F.hex(n)), width, "0"), "0123456789abcdef", "abcdefghijklmnop")
+def room_for(generator: str, settings: Mapping) -> int:
+    """How many different values ``numbered_value`` has."""
     if generator == "number":
-        return F.lit(settings["low"]) + n, settings["high"] - settings["low"] + 1
+        return settings["high"] - settings["low"] + 1
     if generator == "string":
-        return letters(settings["low"]), 16 ** settings["low"]
-    if generator == "email":
-        return F.concat(letters(12), F.lit("@example.com")), 16**12
+        return 16 ** settings["low"]
+    if generator == "pattern":
+        return patterns.size(settings["pattern"])
     if generator == "credit_card":
-        return with_check_digit(F.lpad(n.cast("string"), 15, "0")), 10**15
+        return 10**15
     if generator == "ssn":
-        area = F.lpad((F.lit(1) + n % 665).cast("string"), 3, "0")
-        group = F.lpad((F.lit(1) + F.floor(n / 665) % 99).cast("string"), 2, "0")
-        serial = F.lpad((F.lit(1) + F.floor(n / (665 * 99))).cast("string"), 4, "0")
-        return F.concat_ws(settings.get("delimiter", "-"), area, group, serial), 665 * 99 * 9999
-    if generator == "ip_address":
-        return F.concat_ws(".", *[F.shiftright(n, s).bitwiseAND(F.lit(255)).cast("string") for s in (24, 16, 8, 0)]), 2**32
-    if generator == "mac_address":
-        raw = F.lpad(F.hex(n), 12, "0")
-        return F.concat_ws(":", *[F.substring(raw, 1 + 2 * i, 2) for i in range(6)]), 2**48
+        return 665 * 99 * 9999
     raise ValueError(f"no unique form for {generator}")
 
 
+def numbered_value(generator: str, settings: Mapping, number: Column) -> tuple[Column, int]:
+    """The ``number``-th (from 1) of a generator's values, all different, and how many there are."""
+    n, room = number - F.lit(1), room_for(generator, settings)
+    if generator == "number":
+        return F.lit(settings["low"]) + n, room
+    if generator == "string":
+        return F.translate(F.lpad(F.lower(F.hex(n)), settings["low"], "0"), "0123456789abcdef", "abcdefghijklmnop"), room
+    if generator == "pattern":
+        return patterns.numbered(settings["pattern"], n), room
+    if generator == "credit_card":
+        return with_check_digit(F.lpad(n.cast("string"), 15, "0")), room
+    area = F.lpad((F.lit(1) + n % 665).cast("string"), 3, "0")
+    group = F.lpad((F.lit(1) + F.floor(n / 665) % 99).cast("string"), 2, "0")
+    serial = F.lpad((F.lit(1) + F.floor(n / (665 * 99))).cast("string"), 4, "0")
+    return F.concat_ws(settings.get("delimiter", "-"), area, group, serial), room
+
+
 def type_default(dtype: T.DataType, label: str, source: Column) -> Column:
     """A value for a column with no class, chosen by its type alone."""
     draw = hash_number(label, source, 0)

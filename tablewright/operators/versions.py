@@ -27,6 +27,10 @@ class PublishError(RuntimeError):
     """The staged rows do not match what was sent; the target is unchanged."""
 
 
+class VersionChanged(PublishError):
+    """Another writer has published since the rows were made."""
+
+
 def current_version(spark: SparkSession, path: str) -> str | None:
     """Entries that make up the published table, one per line.
 
@@ -90,7 +94,7 @@ def show(spark: SparkSession, path: str, names: Sequence[str], expect=...) -> No
     while True:
         version = current_version(spark, path)
         if expect is not ... and version != expect:
-            raise PublishError(f"{path} was changed by another writer")
+            raise VersionChanged(f"{path} was changed by another writer")
         if files.create_text(spark, _successor(path, version), text):
             break
     files.replace_text(spark, f"{path}/{POINTER}", text)

@@ -43,18 +43,24 @@ def _people(spark, sf):
     )
 
 
-_LETTERS = "translate(lpad(lower(printf('%x', rn)), 12, '0'), '0123456789abcdef', 'abcdefghijklmnop')"
+# The e-mail of a number: last the ending, before it the domain, before that the name; shorter ones first, the last letter fastest.
+_NAME = "abcdefghijklmnopqrstuvwxyz0123456789."
+_EMAIL = (
+    f"(SELECT {ref.spelled('n // 3 // %d' % sum(27**k for k in range(4, 11)), _NAME, 6, 7)} || '@' || "
+    f"{ref.spelled('(n // 3) %% %d' % sum(27**k for k in range(4, 11)), 'abcdefghijklmnopqrstuvwxyz.', 4, 10)} || '.' || "
+    f"['com', 'net', 'org'][n % 3 + 1])"
+)
 
 
 @query(
     "mask_by_catalog",
     f"SELECT c_custkey, {ref.hash_letters('FULL_NAME', 'c_name', 10, 20)} AS full_name, "
-    f"{_LETTERS} || '@example.com' AS email, "
+    f"{_EMAIL} AS email, "
     f"{ref.hash_pick('gender', 'c_custkey', ['Male', 'Female'])} AS gender, "
     f"{ref.hash_range('age', 'c_custkey', 0, 18, 99)}::INT AS age, c_acctbal FROM customer "
-    f"JOIN (SELECT c_name AS n, row_number() OVER (ORDER BY "
+    f"JOIN (SELECT c_name AS m, row_number() OVER (ORDER BY "
     + ref.hash_hex("EMAIL", "c_name || '@mail.example'", 0)
-    + ", c_name || '@mail.example') - 1 AS rn FROM (SELECT DISTINCT c_name FROM customer)) ON n = c_name",
+    + ", c_name || '@mail.example') - 1 AS n FROM (SELECT DISTINCT c_name FROM customer)) ON m = c_name",
 )
 def mask_by_catalog(spark, sf):
     people = _people(spark, sf)
@@ -64,6 +70,27 @@ def mask_by_catalog(spark, sf):
     return masking.mask_by_class(people, found, "c_custkey")
 
 
+_ROOM = 99999999 - 10000000 + 1
+_NEW = "SELECT k, {first} + row_number() OVER (ORDER BY " + ref.hash_hex("BANK_ACCOUNT", "k", 0) + ", k::VARCHAR) - 1 AS n FROM "
+
+
+@query(
+    "mask_two_tables",
+    "WITH a AS (" + _NEW.format(first="0") + "(SELECT DISTINCT c_custkey AS k FROM customer)), "
+    "b AS (" + _NEW.format(first="(SELECT count(*) FROM a)") + "(SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey NOT IN (SELECT k FROM a))), "
+    f"m AS (SELECT k, 10000000 + {ref.permuted('n', _ROOM, 'BANK_ACCOUNT')} AS mask FROM (FROM a UNION ALL FROM b)) "
+    "SELECT o_orderkey, mask AS account, c_name FROM orders JOIN m ON k = o_custkey LEFT JOIN customer ON c_custkey = o_custkey",
+)
+def mask_two_tables(spark, sf):
+    """Two tables masked apart, one after the other, meet again on the masked key."""
+    folder = scratch_path(spark, "masks")
+    customers = load(spark, sf, "customer").select(F.col("c_custkey").alias("account"), "c_name")
+    orders = load(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("account"))
+    masked = masking.mask_by_class(customers, {"account": "BANK_ACCOUNT"}, "account", folder)
+    others = masking.mask_by_class(orders, {"account": "BANK_ACCOUNT"}, "o_orderkey", folder)
+    return others.join(masked, "account", "left").select("o_orderkey", "account", "c_name")
+
+
 @query(
     "mask_sequence_replace",
     "WITH m AS (SELECT c_mktsegment AS s, c_custkey AS old, 100 + 10 * (row_number() OVER (ORDER BY c_mktsegment, c_custkey) - 1) AS new FROM customer) "
@@ -102,10 +129,52 @@ def mask_policy_switch(spark, sf):
     return masking.mask_with_policy(_people(spark, sf), "people", classes, policy, "c_custkey")
 
 
+def pattern_sql(class_name: str, label: str, value: str) -> str:
+    """Strings of the patterns in SQL: a pattern of few strings takes one draw, the e-mail one for each of its lengths and letters."""
+    n = lambda draw, count: f"({ref.wide_number(label, value, draw)} % {count})"
+    upper, lower, name = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz.", _NAME
+    at = lambda items, place: f"substr('{items}', ({place} + 1)::INT, 1)"
+    if class_name == "STATE":
+        return f"(SELECT {at(upper, 'n // 26')} || {at(upper, 'n % 26')} FROM (SELECT {n(0, 676)} AS n))"
+    if class_name == "TELEPHONE_NUMBER":
+        return (
+            f"(SELECT '+1 (' || (200 + n // 8000000) || ')-' || (200 + n // 10000 % 800) || '-' || lpad((n % 10000)::VARCHAR, 4, '0') "
+            f"FROM (SELECT {n(0, 8 * 100 * 8 * 100 * 10000)} AS n))"
+        )
+    if class_name == "POSTAL_CODE":
+        return (
+            f"(SELECT lpad((n // 10001)::VARCHAR, 5, '0') || CASE WHEN n % 10001 = 0 THEN '' "
+            f"ELSE '-' || lpad((n % 10001 - 1)::VARCHAR, 4, '0') END FROM (SELECT {n(0, 100000 * 10001)} AS n))"
+        )
+    if class_name == "IP_ADDRESS":
+        return f"(SELECT (n >> 24) || '.' || ((n >> 16) & 255) || '.' || ((n >> 8) & 255) || '.' || (n & 255) FROM (SELECT {n(0, 2**32)} AS n))"
+    if class_name == "MAC_ADDRESS":
+        # five pairs with their mark, each 512 numbers, then the last pair
+        pairs = [f"upper(lpad(to_hex(n // {256 * 512**k} // 2 % 256), 2, '0')) || [':', '-'][(n // {256 * 512**k} % 2 + 1)::INT]" for k in (4, 3, 2, 1, 0)]
+        return f"(SELECT {' || '.join(pairs)} || upper(lpad(to_hex(n % 256), 2, '0')) FROM (SELECT {n(0, 512**5 * 256)} AS n))"
+    if class_name == "DRIVER_LICENSE":
+        figures = sum(10**k for k in range(1, 7))
+        return (
+            f"(SELECT {ref.spelled('n // 27 // %d' % figures, upper, 1, 2)} || {ref.spelled('n // 27 %% %d' % figures, '0123456789', 1, 6)} || "
+            f"CASE WHEN n % 27 = 0 THEN '' ELSE {at(upper, 'n % 27 - 1')} END FROM (SELECT {n(0, 702 * figures * 27)} AS n))"
+        )
+    # an e-mail: a draw for the length of the name, then one for each eleven letters of a name of each length, then one for the rest
+    draw, names = 1, []
+    for length in range(6, 21):
+        parts = [min(11, length)] + [length - 11] * (length > 11)
+        letters = [ref.spelled(n(draw + i, len(name) ** k), name, k, k) for i, k in enumerate(parts)]
+        names.append(f"WHEN {length - 6} THEN {' || '.join(letters)}")
+        draw += len(parts)
+    domains = sum(27**k for k in range(4, 11))
+    return (
+        f"(SELECT CASE {n(0, 15)} {' '.join(names)} END || '@' || {ref.spelled('(n // 3 %% %d)' % domains, lower, 4, 10)} || '.' || "
+        f"['com', 'net', 'org'][(n % 3 + 1)::INT] FROM (SELECT {n(draw, domains * 3)} AS n))"
+    )
+
+
 def generated_sql(class_name: str, label: str, value: str) -> str:
     generator, s, _, _ = BY_CLASS[class_name]
     n = lambda k: ref.hash_number(label, value, k)
-    letter = lambda k: f"chr((65 + {n(k)} % 26)::INT)"
     if generator == "string":
         return ref.hash_letters(label, value, s["low"], s["high"])
     if generator == "number":
@@ -121,34 +190,10 @@ def generated_sql(class_name: str, label: str, value: str) -> str:
                 f"substr({body}, {keep + 1}) ELSE {body} END"
             )
         return ref.check_digit(body)
-    if generator == "driver_license":
-        return (
-            f"CASE WHEN {n(0)} % 2 = 0 THEN {letter(1)} ELSE {letter(1)} || {letter(2)} END || "
-            f"substr({ref.digits(label, value, 3, 6)}, 1, {ref.hash_range(label, value, 4, 1, 6)}) || "
-            f"CASE WHEN {n(5)} % 2 = 0 THEN '' ELSE {letter(6)} END"
-        )
-    if generator == "email":
-        return (
-            f"{ref.hash_letters(label, value, 6, 20)} || '@' || {ref.hash_letters(label + '.domain', value, 4, 10)} || '.' || "
-            f"{ref.hash_pick(label, value, ['com', 'net', 'org'], 3)}"
-        )
-    if generator == "telephone":
-        return (
-            f"'+1 (' || {ref.hash_range(label, value, 0, 200, 999)} || ')-' || {ref.hash_range(label, value, 1, 200, 999)} || '-' || "
-            f"{ref.digits(label, value, 2, 4)}"
-        )
     if generator == "ssn":
         part = lambda k, high, w: f"lpad((1 + {n(k)} % {high})::VARCHAR, {w}, '0')"
         return f"{part(0, 665, 3)} || '-' || {part(1, 99, 2)} || '-' || {part(2, 9999, 4)}"
-    if generator == "postal_code":
-        short = ref.digits(label, value, 0, 5)
-        return f"CASE WHEN {n(1)} % 2 = 0 THEN {short} ELSE {short} || '-' || {ref.digits(label, value, 2, 4)} END"
-    if generator == "mac_address":
-        raw = f"upper({ref.hash_hex(label, value, 0)})"
-        return " || ':' || ".join(f"substr({raw}, {1 + 2 * i}, 2)" for i in range(6))
-    if generator == "ip_address":
-        return " || '.' || ".join(f"({n(i)} % 256)" for i in range(4))
-    return f"{letter(0)} || {letter(1)}"
+    return pattern_sql(class_name, label, value)
 
 
 @query(

@@ -101,3 +101,34 @@ def check_digit(body: str) -> str:
     doubled = "2 * substr(b, i, 1)::INT - CASE WHEN substr(b, i, 1)::INT > 4 THEN 9 ELSE 0 END"
     total = f"list_sum([CASE WHEN i % 2 = 1 THEN {doubled} ELSE substr(b, i, 1)::INT END FOR i IN range(1, 16)])"
     return f"(SELECT b || ((10 - {total} % 10) % 10)::INT::VARCHAR FROM (SELECT {body} AS b))"
+
+
+def wide_number(label: str, value: str, draw: int | str) -> str:
+    """A whole number of 60 bits."""
+    return f"('0x' || substr({hash_hex(label, value, draw)}, 1, 15))::BIGINT"
+
+
+def spelled(number: str, letters: str, low: int, high: int) -> str:
+    """The text of a number: ``low`` to ``high`` letters, shorter texts first, the last letter moving fastest."""
+    size, first, cases = len(letters), 0, []
+    for length in range(low, high + 1):
+        places = [f"substr('{letters}', ((({number}) - {first}) // {size**k} % {size} + 1)::INT, 1)" for k in range(length - 1, -1, -1)]
+        cases.append((first + size**length, " || ".join(places)))
+        first += size**length
+    return "CASE " + " ".join(f"WHEN ({number}) < {end} THEN {text}" for end, text in cases) + " END"
+
+
+def permuted(number: str, size: int, label: str) -> str:
+    """The keyed permutation for a size that is the product of its two bases."""
+    from tablewright.functions.permuting import ROUNDS, bases
+
+    a, b = bases(size)
+    if a * b != size:
+        raise ValueError("this check knows no walks")
+    hashed = lambda x: f"('0x' || substr(md5(concat_ws('|', '42', {text(label)}, concat_ws('|', {x}::VARCHAR, t.h::VARCHAR), '0')), 1, 15))::BIGINT"
+    turns = ", ".join(f"{{'h': {i}::BIGINT, 'l': 0::BIGINT}}" for i in range(1, ROUNDS + 1))
+    pair = (
+        f"list_reduce(list_concat([{{'h': (({number}) // {b})::BIGINT, 'l': (({number}) % {b})::BIGINT}}], [{turns}]), lambda s, t: CASE WHEN t.h % 2 = 1 "
+        f"THEN {{'h': (s.h + {hashed('s.l')} % {a}) % {a}, 'l': s.l}} ELSE {{'h': s.h, 'l': (s.l + {hashed('s.h')} % {b}) % {b}}} END)"
+    )
+    return f"(({pair}).h * {b} + ({pair}).l)"

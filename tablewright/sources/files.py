@@ -40,6 +40,13 @@ def below(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted(found)
 
 
+def move(spark: SparkSession, path: str, place: str) -> None:
+    """Rename a file; an error if there is one of that name."""
+    fs, source = _locate(spark, path)
+    if not fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(place)):
+        raise OSError(f"{path} could not be moved to {place}")
+
+
 def state(spark: SparkSession, path: str) -> str:
     """Names, sizes and times of what lies directly in a folder."""
     fs, place = _locate(spark, path)
