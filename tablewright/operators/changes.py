@@ -106,6 +106,18 @@ def delete_by_keys(spark: SparkSession, path: str, keys_from: DataFrame, keys: S
                    lambda df: without_keys(df, keys_from, keys))
 
 
+def replace_by_keys(spark: SparkSession, path: str, keys_from: DataFrame, keys: Sequence[str], rows: DataFrame) -> int:
+    """Put ``rows`` in place of all rows that have one of the keys, at once; the number of rows removed comes back."""
+    version = current_version(spark, path)
+    target = open_table(spark, path)
+    hit = hits(with_keys(target.withColumn("__file", file_name()), keys_from, keys), "__file")
+    fitted = fit_to_schema(rows, target.schema)
+    if hit.files:
+        fitted = without_keys(open_version(spark, path, hit.files, target.schema), keys_from, keys).unionByName(fitted)
+    replace_files(spark, path, version, hit.files, fitted)
+    return hit.rows
+
+
 def _bounds(df: DataFrame, keys: Sequence[str], target: T.StructType) -> Row | None:
     """Bounds of the keys as the target stores them, or None where no key has bounds."""
     alike = [k for k in keys if df.schema[k].dataType == target[k].dataType]

@@ -87,9 +87,12 @@ def scope(df: DataFrame, column: str, include: DataFrame, exclude: DataFrame) ->
 
 
 def attach_descriptions(fields: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """Description of each (table, path), or null; the last entry for a path counts."""
-    final = last_wins(descriptions.where(F.col("description").isNotNull()), ["table_name", "field_path"], ["position"])
-    return fields.join(final.drop("position"), ["table_name", "field_path"], "left")
+    """Description of each (table, path); the last entry for a path counts. Where there is none, what the field says itself stays."""
+    final = last_wins(descriptions.where(F.col("description").isNotNull()), ["table_name", "field_path"], ["position"]).drop("position")
+    if "description" not in fields.columns:
+        return fields.join(final, ["table_name", "field_path"], "left")
+    found = fields.join(final.withColumnRenamed("description", "__given"), ["table_name", "field_path"], "left")
+    return found.withColumn("description", F.coalesce("__given", "description")).drop("__given")
 
 
 def param_types(params: DataFrame, columns: DataFrame) -> DataFrame:

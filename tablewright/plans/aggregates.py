@@ -8,6 +8,7 @@ from tablewright.operators import keys, profiling
 from tablewright.operators.filters import typed_filter
 from tablewright.plans.reference_sql import catalog_sql, columns, text, values
 from tablewright.plans.registry import query
+from tablewright.plans.tables import stored_catalog
 from tablewright.plans.scans import DESCRIPTION_COLUMNS, DESCRIPTIONS, descriptions
 from tablewright.rules.patterns import DATA_PATTERNS
 from tablewright.sources import catalog, tables
@@ -52,7 +53,7 @@ def agg_running_record_count(spark, sf):
 def agg_group_descriptions(spark, sf):
     grouped = catalog.descriptions_by_table(descriptions(spark))
     listed = F.array_join(F.transform(F.array_sort(F.map_entries("described")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
-    found = catalog.tables_of(catalog.stored_catalog(spark, sf)).select("table_name", "row_count")
+    found = catalog.tables_of(stored_catalog(spark, sf)).select("table_name", "row_count")
     return found.join(grouped, "table_name").select("table_name", "row_count", listed.alias("described"))
 
 
@@ -128,7 +129,7 @@ def agg_pattern_match_ratio(spark, sf):
     f"(SELECT table_name, count(*) AS field_count, sum(value_count)::BIGINT AS value_count FROM ({catalog_sql()}) GROUP BY table_name)",
 )
 def agg_field_totals(spark, sf):
-    return catalog.field_totals(catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'"))
+    return catalog.field_totals(stored_catalog(spark, sf).where("table_type <> 'VIEW'"))
 
 
 def best_sql(hits: str, threshold: float) -> str:

@@ -12,11 +12,12 @@ from tablewright.plans.aggregates import best_sql, data_hits_sql, text_sources
 from tablewright.plans.joining import name_hits_sql
 from tablewright.plans.reference_sql import catalog_sql, columns, text, values
 from tablewright.plans.registry import query
+from tablewright.plans.tables import TABLES, stored_catalog
 from tablewright.plans.scans import names
 from tablewright.rules.patterns import NAME_PATTERNS, PERSONAL_CLASSES
 from tablewright.session import scratch_path
 from tablewright.sources import catalog
-from tablewright.sources.tables import TABLES, load, load_all
+from tablewright.sources.tables import load, load_all
 
 
 def nested_orders(spark, sf):
@@ -135,7 +136,7 @@ def discover_tables(spark, sf):
 
 @query("classify_by_name", best_sql(name_hits_sql(), 0.4))
 def classify_by_name(spark, sf):
-    return profiling.classify_by_name(catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "column_name"))
+    return profiling.classify_by_name(stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "column_name"))
 
 
 _TEXT_TABLES = ("region", "nation", "customer", "supplier", "part", "documents", "conversations")
@@ -153,7 +154,7 @@ _TEXT_TABLES = ("region", "nation", "customer", "supplier", "part", "documents",
     + ")",
 )
 def classify_pii_columns(spark, sf):
-    fields = catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "column_name")
+    fields = stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "column_name")
     found = profiling.classify(fields, load_all(spark, sf, _TEXT_TABLES), threshold=0.01)
     return found.withColumn("score", F.round("score", 6))
 
@@ -191,7 +192,7 @@ PROPERTIES = (("customer", "c_name", "owner", "sales"), ("orders", "o_totalprice
 )
 def add_custom_property(spark, sf):
     properties = spark.createDataFrame(list(PROPERTIES), "table_name string, field_path string, property string, property_value string")
-    fields = catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "field_path", "value_count")
+    fields = stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "field_path", "value_count")
     return catalog.add_properties(fields, properties)
 
 
@@ -227,6 +228,6 @@ def parse_complex_unknown_keys(spark, sf):
     f"SELECT table_name, max(row_count) AS row_count FROM ({catalog_sql()}) WHERE table_name NOT IN ('events', 'labels') GROUP BY table_name",
 )
 def crawl_scope_filter(spark, sf):
-    found = catalog.tables_of(catalog.stored_catalog(spark, sf))
+    found = catalog.tables_of(stored_catalog(spark, sf))
     kept = catalog.in_scope(found, include=names(spark, "main"), exclude=names(spark, "*.events", "main.labels", "other"))
     return kept.select("table_name", "row_count")

@@ -8,6 +8,7 @@ from tablewright.operators import joins, keys, profiling
 from tablewright.operators.masking import key_mapping
 from tablewright.plans.reference_sql import catalog_sql, text, values
 from tablewright.plans.registry import query
+from tablewright.plans.tables import stored_catalog
 from tablewright.plans.scans import DESCRIPTION_COLUMNS, DESCRIPTIONS, descriptions
 from tablewright.rules.generators import GENERATORS
 from tablewright.rules.patterns import NAME_PATTERNS, PERSONAL_CLASSES
@@ -81,7 +82,7 @@ def join_missing_keys(spark, sf):
     f"{values(DESCRIPTIONS, DESCRIPTION_COLUMNS)} WHERE description IS NOT NULL GROUP BY ALL) d USING (table_name, field_path)",
 )
 def join_descriptions(spark, sf):
-    fields = catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "field_path", "value_count")
+    fields = stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "field_path", "value_count")
     return joins.attach_descriptions(fields, descriptions(spark))
 
 
@@ -96,7 +97,7 @@ PARAMS = ((1, "doc_id", "5"), (2, "text", "x"), (3, "no_such_column", "1"), (4,
 )
 def join_param_types(spark, sf):
     params = spark.createDataFrame(list(PARAMS), "position int, field_name string, field_value string")
-    columns = catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'").select(
+    columns = stored_catalog(spark, sf).where("table_type <> 'VIEW'").select(
         "column_name", F.col("table_name").alias("position"), F.col("source_type").alias("data_type")
     )
     return joins.param_types(params, columns)
@@ -134,7 +135,7 @@ def join_parent_fields(spark, sf):
 
 def _seen_classes(spark, sf):
     """Classes of the columns whose names tell one, one row per rule that matches."""
-    fields = catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "column_name")
+    fields = stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "column_name")
     hits = profiling.name_matches(fields).select("table_name", "column_name", "class_name")
     # a class no list knows, to show the default
     return hits.unionByName(fields.where("column_name = 'props'").withColumn("class_name", F.lit("ZIP_CODE")))
@@ -182,7 +183,7 @@ def join_classification_generator(spark, sf):
 
 @query("join_name_pattern", name_hits_sql())
 def join_name_pattern(spark, sf):
-    fields = catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "column_name")
+    fields = stored_catalog(spark, sf).where("table_type <> 'VIEW'").select("table_name", "column_name")
     return profiling.name_matches(fields)
 
 
@@ -212,7 +213,7 @@ _key_list = ", ".join(f"('{t}', '{c}')" for t, cols in KEYS.items() for c in col
 )
 def join_relation_candidates(spark, sf):
     pairs = spark.createDataFrame([(t, c, True) for t, cols in KEYS.items() for c in cols], "table_name string, field_name string, is_pk boolean")
-    fields = catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW' AND top_level AND value_count > 0").select(
+    fields = stored_catalog(spark, sf).where("table_type <> 'VIEW' AND top_level AND value_count > 0").select(
         "table_name", F.col("column_name").alias("field_name"), "source_type"
     )
     marked = fields.join(pairs, ["table_name", "field_name"], "left").withColumn("is_pk", F.coalesce("is_pk", F.lit(False)))

@@ -10,6 +10,7 @@ from tablewright.functions.types import map_types, source_type
 from tablewright.operators.profiling import infer_text_types
 from tablewright.plans.reference_sql import catalog_sql, hash_pick
 from tablewright.plans.registry import query
+from tablewright.plans.tables import stored_catalog
 from tablewright.sources import catalog
 from tablewright.sources.tables import load
 
@@ -225,7 +226,7 @@ def fn_entity_id_cast(spark, sf):
     f"n_fields, n_values FROM (SELECT source_type, count(*) AS n_fields, sum(value_count)::BIGINT AS n_values FROM ({catalog_sql()}) GROUP BY source_type)",
 )
 def fn_type_mapping(spark, sf):
-    fields = catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'")
+    fields = stored_catalog(spark, sf).where("table_type <> 'VIEW'")
     kinds = fields.groupBy(F.lower("source_type").alias("source_type")).agg(
         F.count("*").alias("n_fields"), F.sum("value_count").alias("n_values")
     )

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators.joins import attach_descriptions, scope
 from tablewright.operators.keys import collect_in_parts
-from tablewright.plans.reference_sql import catalog_sql, values
+from tablewright.plans.reference_sql import catalog_sql, columns as ref_columns, values
 from tablewright.plans.registry import query
-from tablewright.sources import catalog, tables
+from tablewright.plans.tables import TABLES, folder_catalog, stored_catalog
+from tablewright.session import scratch_path
+from tablewright.sources import catalog, folders, tables
 from tablewright.sources.tables import load, register
 
 DESCRIPTIONS = (
@@ -77,7 +80,7 @@ def fetch_scalar(spark, sf):
     f"(SELECT schema_name, table_name, max(row_count) AS row_count FROM ({catalog_sql()}) GROUP BY ALL) GROUP BY schema_name",
 )
 def catalog_schemas(spark, sf):
-    return catalog.schemas_of(catalog.stored_catalog(spark, sf))
+    return catalog.schemas_of(stored_catalog(spark, sf))
 
 
 @query(
@@ -86,7 +89,62 @@ def catalog_schemas(spark, sf):
     f"FROM ({catalog_sql()}) GROUP BY schema_name, table_name",
 )
 def catalog_tables(spark, sf):
-    return catalog.tables_of(catalog.stored_catalog(spark, sf))
+    return catalog.tables_of(stored_catalog(spark, sf))
+
+
+_DDL_TYPES = {"INT64": "BIGINT", "FLOAT64": "DOUBLE", "STRING": "STRING", "DATETIME": "TIMESTAMP_NTZ", "REPEATED FLOAT64": "ARRAY<FLOAT>"}
+
+
+def _ddl_sql(table):
+    listed = ", ".join(f"{c} {_DDL_TYPES[k] if (table, c) != ('embeddings', 'label') else 'INT'}" for c, k in ref_columns(table))
+    return f"CREATE TABLE main.{table} ({listed}) USING parquet"
+
+
+@query(
+    "catalog_table_details",
+    " UNION ALL ".join(
+        f"SELECT 'main' AS schema_name, '{t}' AS table_name, 'BASE TABLE' AS table_type, count(*) AS row_count, {len(ref_columns(t))}::BIGINT AS column_count, "
+        f"'UTF8_BINARY' AS collation, '{_ddl_sql(t)}' AS ddl, true AS has_files, true AS times_in_order FROM {t}"
+        for t in TABLES
+    ),
+)
+def catalog_table_details(spark, sf):
+    """Location, sizes and times differ from place to place, so the check holds what they must satisfy."""
+    found = folder_catalog(spark, sf).tables.where("table_type <> 'VIEW'")
+    return found.select(
+        "schema_name", "table_name", "table_type", "row_count", "column_count", "collation", "ddl",
+        ((F.col("file_count") > 0) & (F.col("bytes") > 0) & F.col("location").startswith(sf)).alias("has_files"),
+        (F.col("created") <= F.col("modified")).alias("times_in_order"),
+    )
+
+
+@query(
+    "catalog_schema_details",
+    "SELECT 'main' AS schema_name, 'UTF8_BINARY' AS collation, 14::BIGINT AS table_count, ("
+    + " + ".join(f"(SELECT count(*) FROM {t})" for t in TABLES) + ")::BIGINT AS row_count, true AS here",
+)
+def catalog_schema_details(spark, sf):
+    found = folders.schema_details(folder_catalog(spark, sf).tables)
+    here = (F.col("location") == F.lit(sf.rstrip("/"))) & (F.col("created") <= F.col("modified")) & F.col("ddl").endswith(F.concat(F.lit("LOCATION '"), "location", F.lit("'")))
+    return found.select("schema_name", "collation", "table_count", "row_count", here.alias("here"))
+
+
+@query(
+    "catalog_column_comments",
+    "SELECT 'people' AS table_name, 'c_name' AS field_path, 'who it is' AS description, count(c_name) AS value_count FROM customer UNION ALL "
+    "SELECT 'people', 'place.nation', 'where it''s from', count(*) FROM customer UNION ALL "
+    "SELECT 'goods', 'p_name', 'what it is', count(p_name) FROM part",
+)
+def catalog_column_comments(spark, sf):
+    """Two tables are stored with comments on their columns; the catalog of their folder tells them."""
+    said = lambda c, text: F.col(c).alias(c, metadata={"comment": text})
+    path, people, goods = scratch_path(spark, "commented"), load(spark, sf, "customer"), load(spark, sf, "part")
+    place = T.StructType([T.StructField("nation", T.LongType(), True, {"comment": "where it's from"})])
+    people = people.select("c_custkey", said("c_name", "who it is"), F.struct(F.col("c_nationkey").alias("nation")).cast(place).alias("place"))
+    people.to(T.StructType([*people.schema.fields[:2], T.StructField("place", place)])).write.parquet(f"{path}/data/people")
+    goods.select("p_partkey", said("p_name", "what it is")).write.parquet(f"{path}/data/goods.parquet")
+    found = folders.crawl_folder(spark, f"{path}/data", f"{path}/catalog").fields
+    return folders.described_fields(found).drop("schema_name")
 
 
 @query(
@@ -94,7 +152,7 @@ def catalog_tables(spark, sf):
     f"SELECT column_name, source_type AS data_type, ordinal FROM ({catalog_sql()}) WHERE table_name = 'lineitem'",
 )
 def catalog_columns(spark, sf):
-    return catalog.columns_of(catalog.stored_catalog(spark, sf), "lineitem")
+    return catalog.columns_of(stored_catalog(spark, sf), "lineitem")
 
 
 @query(
@@ -104,17 +162,17 @@ def catalog_columns(spark, sf):
     f"{values(DESCRIPTIONS, DESCRIPTION_COLUMNS)} WHERE description IS NOT NULL GROUP BY ALL) d USING (table_name, field_path)",
 )
 def catalog_field_descriptions(spark, sf):
-    fields = catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'")
+    fields = stored_catalog(spark, sf).where("table_type <> 'VIEW'")
     described = attach_descriptions(fields, descriptions(spark))
     return described.where("description IS NOT NULL").select("table_name", "field_path", "description", "value_count")
 
 
 @query(
     "table_row_counts",
-    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in tables.TABLES),
+    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in TABLES),
 )
 def table_row_counts(spark, sf):
-    return tables.row_counts({name: tables.load_counted(spark, sf, name) for name in tables.TABLES})
+    return tables.row_counts({name: tables.load_counted(spark, sf, name) for name in TABLES})
 
 
 SAMPLED = (("region", "r_regionkey"), ("supplier", "s_suppkey"), ("lineitem", "l_orderkey, l_linenumber"))
@@ -151,7 +209,7 @@ def config_table_lookup(spark, sf):
     settings = spark.createDataFrame(
         list(TASK_SETTINGS), "table_name string, extract_step string, load_step string, table_order int"
     )
-    found = catalog.tables_of(catalog.stored_catalog(spark, sf)).select("table_name", "row_count")
+    found = catalog.tables_of(stored_catalog(spark, sf)).select("table_name", "row_count")
     return tables.pick_settings(found, settings, "table_name")
 
 
@@ -197,11 +255,11 @@ def limit_capped_query(spark, sf):
     "limit_sample_clamp",
     "SELECT table_name, row_count, CASE WHEN row_count * 10 // 100 < 10 THEN 10 WHEN row_count * 10 // 100 >= 1000 THEN 1000 "
     "ELSE row_count * 10 // 100 END::BIGINT AS sample_rows FROM ("
-    + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in tables.TABLES)
+    + " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in TABLES)
     + ")",
 )
 def limit_sample_clamp(spark, sf):
-    counts = tables.row_counts({name: tables.load_counted(spark, sf, name) for name in tables.TABLES})
+    counts = tables.row_counts({name: tables.load_counted(spark, sf, name) for name in TABLES})
     return counts.withColumn("sample_rows", tables.sample_size(F.col("row_count")))
 
 
@@ -226,6 +284,6 @@ def set_union_append(spark, sf):
     f"SELECT table_name, column_name, row_count FROM ({catalog_sql()}) WHERE table_name IN (SELECT n FROM wanted)",
 )
 def set_include_minus_exclude(spark, sf):
-    fields = catalog.stored_catalog(spark, sf).where("table_type <> 'VIEW'")
+    fields = stored_catalog(spark, sf).where("table_type <> 'VIEW'")
     kept = scope(fields, "table_name", names(spark, "customer", "orders", "lineitem"), names(spark, "orders"))
     return kept.select("table_name", "column_name", "row_count")

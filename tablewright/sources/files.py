@@ -23,6 +23,12 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(place) and fs.getFileStatus(place).isDirectory()
 
 
+def inner_path(spark: SparkSession, path: str) -> str:
+    """The path without scheme and host."""
+    fs, place = _locate(spark, path)
+    return fs.makeQualified(place).toUri().getPath()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, place = _locate(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []

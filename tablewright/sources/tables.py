@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -9,37 +10,42 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-    "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
+_READER = threading.Lock()
 
 
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def load_all(spark: SparkSession, root: str, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
+def load_all(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:
     return {name: load(spark, root, name) for name in names}
 
 
 def load_counted(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table read so that plain row and value counts come from the file footers alone.
+    """A table read so that plain row and value counts come from the file footers alone."""
+    return read_counted(spark, [f"{root}/{name}.parquet"])
+
+
+def read_counted(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Files read so that plain row and value counts come from their footers alone.
 
     Only Spark's newer Parquet reader can push such counts down, so it is
-    chosen for this one read. Tables with nested columns keep the usual reader.
+    chosen for this one read. Tables with nested columns keep the usual reader. One thread at a time changes the setting
+    and puts it back; a read elsewhere in between gets the same rows by the newer reader.
     """
-    table = load(spark, root, name)
+    usual_reader = spark.read.option("recursiveFileLookup", "true")
+    table = usual_reader.parquet(*paths)
     if any(isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) for f in table.schema.fields):
         return table
     setting = "spark.sql.sources.useV1SourceList"
-    usual = spark.conf.get(setting)
-    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    spark.conf.set(setting, ",".join(s for s in usual.split(",") if s != "parquet"))
-    try:
-        return spark.read.schema(table.schema).parquet(f"{root}/{name}.parquet")
-    finally:
-        spark.conf.set(setting, usual)
+    with _READER:
+        usual = spark.conf.get(setting)
+        spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        spark.conf.set(setting, ",".join(s for s in usual.split(",") if s != "parquet"))
+        try:
+            return spark.read.option("recursiveFileLookup", "true").schema(table.schema).parquet(*paths)
+        finally:
+            spark.conf.set(setting, usual)
 
 
 def register(spark: SparkSession, root: str, *names: str) -> None:

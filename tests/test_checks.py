@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tablewright.plans import CHECKS, QUERIES as MADE
-from tablewright.sources.tables import TABLES
+from tablewright.plans.tables import TABLES
 
 duckdb = pytest.importorskip("duckdb")
 QUERIES = {name: make for name, make in entry_points.queries().items() if name in MADE}

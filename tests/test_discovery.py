@@ -238,7 +238,7 @@ def test_data_classes_are_looked_for_in_every_table_with_text(spark, data, tmp_p
     from pyspark.sql import functions as F
 
     from tablewright.plans.discovery import WITH_TEXT, classify_by_data
-    from tablewright.sources.tables import TABLES
+    from tablewright.plans.tables import TABLES
 
     column = {"orders": "o_orderpriority", "lineitem": "l_returnflag", "events": "event_type", "benchmark": "text"}
     assert set(column) <= set(WITH_TEXT)
