@@ -60,6 +60,13 @@ def append(df: DataFrame, path: str, batch_rows: int = 1_000_000) -> None:
     )
 
 
+def append_counted(df: DataFrame, path: str) -> int:
+    """Append as ``append`` does; the number of rows sent comes back."""
+    sent = Observation(uuid.uuid4().hex)
+    append(df.observe(sent, F.count(F.lit(1)).alias("rows")), path)
+    return sent.get["rows"]
+
+
 def write_enforced(df: DataFrame, target: T.StructType, path: str) -> int:
     """Fit rows to the target's schema and publish them; surplus columns are an error."""
     return publish(fit_to_schema(df, target), path)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.operators.changes import delete_all, open_table, publish, publish_more
+from tablewright.operators.changes import (
+    append_counted, current_version, delete_all, open_table, publish, publish_more, run_by_level, truncate,
+)
 from tablewright.operators.filters import typed_filter
 from tablewright.operators.keys import collect_in_parts
 from tablewright.operators.masking import mask_from
+from tablewright.sources.tables import keep_rows, pick_settings
 
 
 def assemble(
@@ -79,26 +82,105 @@ def mask_and_copy(
 
 @dataclass
 class TableTask:
-    """Which steps to run for a table; the names come from the settings row."""
+    """Which steps to run for a table, by name; the names come from the settings row."""
 
     extract: str = "typed"
     load: str = "publish"
-    delete: bool = False
+    delete: bool | str = False
     where: str = ""
     params: list[tuple[str, str]] = field(default_factory=list)
+    count: str = "count_where"
+
+
+def _by_query(df: DataFrame, task: TableTask) -> DataFrame:
+    return typed_filter(df, task.where, task.params)
+
+
+def _by_scan(df: DataFrame, task: TableTask) -> DataFrame:
+    """As by query; without marks the filter is plain text for the reader."""
+    return keep_rows(df, task.where) if not task.params else typed_filter(df, task.where, task.params)
+
+
+#: The steps that settings can name. A step that is not here is an error before anything runs.
+EXTRACTS: dict[str, Callable[[DataFrame, TableTask], DataFrame]] = {
+    "extract_by_query": _by_query, "extract_by_scan": _by_scan, "typed": _by_query, "whole": lambda df, task: df,
+}
+DELETES: dict[str, Callable[[SparkSession, str], int | None]] = {
+    "delete_none": lambda spark, path: 0, "delete_all": delete_all, "truncate": truncate,
+}
+LOADS: dict[str, Callable[[DataFrame, str], int]] = {
+    "load_atomic": publish_more, "publish": publish_more, "load_batched": append_counted, "load_replace": publish,
+}
+COUNTS: dict[str, Callable[[DataFrame], int]] = {"count_where": lambda rows: rows.count(), "count_none": lambda rows: -1}
+
+
+def _step(known: Mapping[str, Callable], name: str, kind: str) -> Callable:
+    if name not in known:
+        raise ValueError(f"unknown {kind} step: {name}")
+    return known[name]
 
 
 def extract_rows(df: DataFrame, task: TableTask) -> DataFrame:
     """The rows a task asks for."""
-    if task.extract not in ("typed", "whole"):
-        raise ValueError(f"unknown extract step: {task.extract}")
-    return typed_filter(df, task.where, task.params) if task.extract == "typed" else df
+    return _step(EXTRACTS, task.extract, "extract")(df, task)
 
 
 def run_table_task(spark: SparkSession, df: DataFrame, task: TableTask, path: str) -> dict[str, int]:
-    """Count, extract, optionally clear, and load one table; the counts come back."""
-    rows = extract_rows(df, task)
-    counted = rows.count()
-    removed = delete_all(spark, path) if task.delete else 0
-    loaded = publish_more(rows, path)
-    return {"counted": counted, "removed": removed, "loaded": loaded, "stored": open_table(spark, path).count()}
+    """Count, extract, optionally clear, and load one table; the counts come back.
+
+    All four steps are looked up before the first of them runs.
+    """
+    extract, load = _step(EXTRACTS, task.extract, "extract"), _step(LOADS, task.load, "load")
+    name = task.delete if isinstance(task.delete, str) else "delete_all" if task.delete else "delete_none"
+    delete, count = _step(DELETES, name, "delete"), _step(COUNTS, task.count, "count")
+    rows = extract(df, task)
+    counted = count(rows)
+    removed = delete(spark, path) if current_version(spark, path) is not None else 0
+    loaded = load(rows, path)
+    return {"counted": counted, "removed": removed, "loaded": loaded, "stored": open_loaded(spark, path).count()}
+
+
+def open_loaded(spark: SparkSession, path: str) -> DataFrame:
+    """What a load step has left, published or appended."""
+    return open_table(spark, path) if current_version(spark, path) is not None else spark.read.parquet(path)
+
+
+STEP_COLUMNS = {"extract_step": "extract", "delete_step": "delete", "load_step": "load", "count_step": "count"}
+
+
+def tasks_from(
+    spark: SparkSession, names: Sequence[str], settings: DataFrame, key: str = "table_name",
+    filters: Mapping[str, tuple[str, Sequence[tuple[str, str]]]] | None = None,
+) -> list[tuple[int, str, TableTask]]:
+    """Level, table and task of each table, from its settings row or the default row (the one with an empty key).
+
+    ``settings`` may have the columns ``extract_step``, ``delete_step``, ``load_step``, ``count_step`` and ``table_order``; what it does not
+    have, or leaves null, is as ``TableTask`` says. ``filters`` gives a table's condition and the values of its marks.
+    """
+    items = spark.createDataFrame([(n,) for n in names], f"{key} string")
+    out = []
+    for row in pick_settings(items, settings, key).collect():  # one row per table of the run
+        found = row.asDict()
+        where, params = (filters or {}).get(found[key], ("", ()))
+        steps = {own: found[c] for c, own in STEP_COLUMNS.items() if found.get(c) is not None}
+        out.append((found.get("table_order") or 0, found[key], TableTask(where=where, params=list(params), **steps)))
+    return sorted(out, key=lambda x: x[:2])
+
+
+def run_tasks(
+    spark: SparkSession, frames: Mapping[str, DataFrame], settings: DataFrame, root: str, key: str = "table_name",
+    filters: Mapping[str, tuple[str, Sequence[tuple[str, str]]]] | None = None, parallel: int = 4,
+) -> DataFrame:
+    """Run each table's chain of steps as its settings say, level by level, parents first.
+
+    Every step of every table is looked up before the first table runs. Status rows are those of ``run_by_level``; the count is
+    that of the loaded rows.
+    """
+    tasks = tasks_from(spark, list(frames), settings, key, filters)
+    for _, _, task in tasks:
+        _step(EXTRACTS, task.extract, "extract"), _step(LOADS, task.load, "load"), _step(COUNTS, task.count, "count")
+        _step(DELETES, task.delete if isinstance(task.delete, str) else "delete_all", "delete")
+    levels: dict[int, dict[str, Callable[[], int]]] = {}
+    for level, name, task in tasks:
+        levels.setdefault(level, {})[name] = lambda n=name, t=task: run_table_task(spark, frames[n], t, f"{root}/{n}")["loaded"]
+    return run_by_level(spark, list(levels.values()), parallel)

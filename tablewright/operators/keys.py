@@ -107,14 +107,18 @@ def collect_in_parts(
 ) -> DataFrame:
     """Gather each key's rows, in order, into arrays of at most ``part_rows`` records.
 
-    All keys go one way: rows are numbered in the order of key and ``order``, and a key's rows
-    are cut into consecutive parts by their place in it, counted from 0. So no task ever holds
-    a whole hot key and nothing is left out. Whoever joins on the result must carry ``part``.
+    A key's rows are cut into consecutive parts by their place in the key, counted from 0. Keys that fill one part at most are
+    gathered by one shuffle. Only the rows of larger keys are numbered first, so that their parts go to different tasks; no task
+    ever holds a whole hot key and nothing is left out. Whoever joins on the result must carry ``part``.
     """
     ordered = F.sort_array(F.collect_list(F.struct(*[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)],
                                                    F.struct(*values).alias("v"))))
-    placed = _numbered_positions(df, keys, order, "__position")
-    return (
-        placed.withColumn("part", F.floor(F.col("__position") / F.lit(part_rows)).cast("bigint"))
-        .groupBy(*keys, "part").agg(F.transform(ordered, lambda r: r["v"]).alias(name))
-    )
+    items = F.transform(ordered, lambda r: r["v"]).alias(name)
+    part = F.lit(0).cast("bigint").alias("part")
+    large = large_keys(df, keys, part_rows)
+    if large is None:
+        return df.groupBy(*keys).agg(items).select(*keys, part, name)
+    small = match(df, large, keys, "left_anti").groupBy(*keys).agg(items).select(*keys, part, name)
+    placed = _numbered_positions(match(df, large, keys, "left_semi"), keys, order, "__position")
+    cut = placed.withColumn("part", F.floor(F.col("__position") / F.lit(part_rows)).cast("bigint"))
+    return small.unionByName(cut.groupBy(*keys, "part").agg(items))

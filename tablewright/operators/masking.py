@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from tablewright.functions.hashing import SEED, hash_hex, hash_number, hash_pick
 from tablewright.functions.permuting import permuted
-from tablewright.operators.changes import current_version, open_table, publish
+from tablewright.operators.changes import current_version, open_table
 from tablewright.operators.generating import generate, numbered_value, room_for
 from tablewright.operators.joins import replace_keys
 from tablewright.operators.keys import dense_ids, match
+from tablewright.operators.sequences import extend_sequence
 from tablewright.operators.versions import VersionChanged, entries, show, stage
 from tablewright.rules.generators import BY_CLASS
 
@@ -220,27 +221,21 @@ def key_mapping(frames: Sequence[tuple[DataFrame, str]], scope: Sequence[str] =
     return dense_ids(keys, [*scope, "source_value"], "target_value", start, step)
 
 
-def extend_mapping(spark: SparkSession, path: str, df: DataFrame, column: str, start: int = 1, step: int = 1) -> DataFrame:
-    """The stored mapping of a sequence with new old-keys added after its last number."""
-    version = current_version(spark, path)
-    if version is None:
-        publish(key_mapping([(df, column)], start=start, step=step), path, expect=None)
-        return open_table(spark, path)
-    known = open_table(spark, path)
-    last = known.agg((F.max if step > 0 else F.min)("target_value").alias("m")).first()["m"]
-    fresh = df.select(F.col(column).alias("source_value")).join(known, "source_value", "left_anti")
-    begin = start if last is None else last + step
-    added = key_mapping([(fresh, "source_value")], start=begin, step=step)
-    publish(known.unionByName(added), path, expect=version)
-    return open_table(spark, path)
+def extend_mapping(
+    spark: SparkSession, path: str, df: DataFrame, column: str, start: int = 1, step: int = 1, scope: Sequence[str] = (),
+) -> DataFrame:
+    """The stored mapping of a sequence with new old-keys added after its last number, in each scope."""
+    return extend_sequence(spark, path, [(df, column)], scope, start, step)
 
 
 def audit_rows(
     df: DataFrame, mapping: DataFrame, table: str, column: str, sequence: str, execution: str, unit: str
 ) -> DataFrame:
-    """One row per replaced key: where it was, what it was and what it became."""
-    old = df.select(F.col(column).alias("source_value")).where("source_value IS NOT NULL").distinct()
-    return old.join(mapping, "source_value").select(
+    """One row per replaced key: its scope, where it was, what it was and what it became."""
+    scope = [c for c in mapping.columns if c not in ("source_value", "target_value")]
+    old = df.select(*scope, F.col(column).alias("source_value")).where("source_value IS NOT NULL").distinct()
+    return match(old, mapping, [*scope, "source_value"], "inner").select(
+        *scope,
         F.lit(execution).alias("task_execution_id"), F.lit(unit).alias("lu_type"), F.lit(sequence).alias("seq_name"),
         F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
         F.col("source_value").cast("string").alias("source_value"), F.col("target_value").cast("string").alias("target_value"),

@@ -189,28 +189,83 @@ def classify(fields: DataFrame, frames: Mapping[str, DataFrame], threshold: floa
     return mark_pii(best_class(by_name.unionByName(by_data), threshold=threshold))
 
 
-# Candidate types for text, narrowest first, each with the shape its text must
-# have. A failed cast is far dearer than a failed shape, so shapes go first.
-TEXT_TYPES = (
-    ("INT64", "bigint", r"^\s*[+-]?[0-9]+\s*$"),
-    ("NUMERIC", "decimal(38,9)", r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"),
-    ("FLOAT64", "double", r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?[fd]?|nan|inf|infinity)\s*$"),
-    ("BOOL", "boolean", r"(?i)^\s*(t|true|y|yes|1|f|false|n|no|0)\s*$"),
-    ("DATE", "date", r"^\d{4}-\d{2}-\d{2}$"),
-    ("DATETIME", "timestamp_ntz", r"^\s*[+-]?\d{4,6}(-|\s*$)"),
-)
-
-
-def infer_text_types(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
-    """The narrowest type that every non-null text of a column can be read as."""
+# Kinds of text by their shape. A failed cast is far dearer than a failed shape, so only dates and times are cast, and only
+# where the shape allows it.
+WHOLE = r"^[+-]?[0-9]+$"
+PLAIN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+FLOAT = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?[fd]?|nan|inf|infinity)$"
+BOOL = r"(?i)^(t|true|y|yes|1|f|false|n|no|0)$"
+DATE = r"^\d{4}-\d{2}-\d{2}$"
+DATETIME = r"^[+-]?\d{4,6}(-|$)"
+#: What is kept of a column: values, values of each kind, and the most digits before and behind the point.
+TEXT_STATE = ("values", "whole", "longs", "plain", "floats", "bools", "dates", "times", "whole_digits", "decimals", "float_digits")
+_MOST = ("whole_digits", "decimals", "float_digits")
+
+
+def text_state(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """What the texts of each column look like, in a form that can be merged: counts add up, most digits are the larger."""
     names = list(columns) or text_columns(df)
     aggs, records = [], []
     for i, c in enumerate(names):
-        aggs.append(measure(f"count({named(c)})", f"n{i}"))
-        choice = f"WHEN n{i} = 0 THEN 'STRING' "
-        for j, (name, target, shape) in enumerate(TEXT_TYPES):
-            value = f"CASE WHEN {named(c)} RLIKE {quoted(shape)} THEN try_cast({named(c)} AS {target}) END"
-            aggs.append(measure(f"count({value})", f"t{i}_{j}"))
-            choice += f"WHEN t{i}_{j} = n{i} THEN {quoted(name)} "
-        records.append({"column_name": quoted(c), "value_count": f"n{i}", "inferred_type": f"CASE {choice}ELSE 'STRING' END"})
+        text = f"trim({named(c)})"
+        is_a = lambda shape, t=text: f"{t} RLIKE {quoted(shape)}"
+        cast = lambda kind, shape, t=text: f"count(CASE WHEN {t} RLIKE {quoted(shape)} THEN try_cast({t} AS {kind}) END)"
+        before = f"length(regexp_extract({text}, {quoted('^[+-]?0*([0-9]*)')}, 1))"
+        behind = f"length(regexp_extract({text}, {quoted('[.]([0-9]*?)0*$')}, 1))"
+        mantissa = f"length(regexp_replace(regexp_extract({text}, {quoted('^[+-]?0*([0-9.]*?)0*([eEfFdD]|$)')}, 1), '[.]', ''))"
+        found = {
+            "values": f"count({named(c)})", "whole": f"count_if({is_a(WHOLE)})", "longs": cast("bigint", WHOLE), "plain": f"count_if({is_a(PLAIN)})",
+            "floats": f"count_if({is_a(FLOAT)})", "bools": f"count_if({is_a(BOOL)})", "dates": cast("date", DATE), "times": cast("timestamp_ntz", DATETIME),
+            "whole_digits": f"coalesce(max(CASE WHEN {is_a(PLAIN)} THEN {before} END), 0)",
+            "decimals": f"coalesce(max(CASE WHEN {is_a(PLAIN)} THEN {behind} END), 0)",
+            "float_digits": f"coalesce(max(CASE WHEN {is_a(FLOAT)} THEN {mantissa} END), 0)",
+        }
+        aggs += [measure(found[k], f"{k}{i}") for k in TEXT_STATE]
+        records.append({"column_name": quoted(c), **{k: f"cast({k}{i} AS BIGINT)" for k in TEXT_STATE}})
     return long_form(df.agg(*aggs), records)
+
+
+def merge_text_states(states: DataFrame) -> DataFrame:
+    """States of parts of a table as the state of the whole."""
+    return states.groupBy("column_name").agg(*[(F.max if k in _MOST else F.sum)(k).alias(k) for k in TEXT_STATE])
+
+
+def text_types(states: DataFrame) -> DataFrame:
+    """The narrowest type that holds every value of a column without losing a digit, as a name and as Spark writes it.
+
+    Whole numbers of 64 bits; decimals with up to 29 digits before and 9 behind the point; decimals of up to 38 digits in all;
+    floats, if no number has more digits than a float keeps; flags, days, times; else text.
+    """
+    all_of = lambda kind: (F.col("values") > 0) & (F.col(kind) == F.col("values"))
+    digits = F.col("whole_digits") + F.col("decimals")
+    # the float 0.1 is written with 17 digits at most; 15 always come back
+    exact = F.col("float_digits") <= 15
+    choice = (
+        F.when(all_of("longs"), "INT64")
+        .when(all_of("plain") & (F.col("whole_digits") <= 29) & (F.col("decimals") <= 9), "NUMERIC")
+        .when(all_of("plain") & (digits <= 38), "BIGNUMERIC")
+        .when(all_of("floats") & exact & ~all_of("plain"), "FLOAT64")
+        .when(all_of("bools"), "BOOL").when(all_of("dates"), "DATE").when(all_of("times"), "DATETIME").otherwise("STRING")
+    )
+    wide = F.format_string("decimal(38,%d)", F.col("decimals"))
+    spark_type = (
+        F.when(F.col("inferred_type") == "BIGNUMERIC", wide).when(F.col("inferred_type") == "NUMERIC", "decimal(38,9)")
+        .otherwise(F.element_at(F.create_map(*[F.lit(x) for pair in _SPARK_TYPES.items() for x in pair]), F.col("inferred_type")))
+    )
+    return states.withColumn("inferred_type", choice).withColumn("spark_type", spark_type)
+
+
+_SPARK_TYPES = {
+    "INT64": "bigint", "FLOAT64": "double", "BOOL": "boolean", "DATE": "date", "DATETIME": "timestamp_ntz", "STRING": "string",
+}
+
+
+def infer_text_types(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """The narrowest type that every non-null text of a column can be read as."""
+    return text_types(text_state(df, columns)).select("column_name", F.col("values").alias("value_count"), "inferred_type")
+
+
+def typed_texts(df: DataFrame, states: DataFrame) -> DataFrame:
+    """Text columns read as the types their states tell; one row per column is read up front."""
+    kinds = {r["column_name"]: r["spark_type"] for r in text_types(states).select("column_name", "spark_type").collect()}
+    return df.select(*[F.trim(F.col(named(c))).cast(kinds[c]).alias(c) if kinds.get(c, "string") != "string" else F.col(named(c)) for c in df.columns])

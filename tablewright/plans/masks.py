@@ -8,6 +8,7 @@ from tablewright.operators import changes, entities, generating, masking, profil
 from tablewright.operators.joins import child_rows
 from tablewright.plans import reference_sql as ref
 from tablewright.plans.registry import query
+from tablewright.plans.tables import task_settings
 from tablewright.rules.generators import BY_CLASS, GENERATORS
 from tablewright.session import scratch_path
 from tablewright.sources import catalog
@@ -300,13 +301,17 @@ def extract_sync_policy(spark, sf):
     )
 
 
-# A table task runs the three steps its settings name: count, extract and load.
-_TASK = entities.TableTask(extract="typed", delete=True, where="l_quantity >= ?", params=[("l_quantity", "20")])
+_WHERE = ("l_quantity >= ?", [("l_quantity", "20")])
+
+
+def _task(spark):
+    """The steps of ``lineitem`` as its settings row names them."""
+    return entities.tasks_from(spark, ["lineitem"], task_settings(spark), filters={"lineitem": _WHERE})[0][2]
 
 
 @query("extract_table", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 20")
 def extract_table(spark, sf):
-    return entities.extract_rows(load(spark, sf, "lineitem"), _TASK).select("l_orderkey", "l_linenumber", "l_quantity")
+    return entities.extract_rows(load(spark, sf, "lineitem"), _task(spark)).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query(
@@ -314,14 +319,44 @@ def extract_table(spark, sf):
     "SELECT l_returnflag, count(*) AS n_rows, round(sum(l_quantity), 2) AS quantity FROM lineitem WHERE l_quantity >= 20 GROUP BY l_returnflag",
 )
 def load_table(spark, sf):
-    path = scratch_path(spark, "task")
-    changes.publish(load(spark, sf, "lineitem").where("l_linenumber = 1"), path)
-    entities.run_table_task(spark, load(spark, sf, "lineitem"), _TASK, path)
-    return changes.open_table(spark, path).groupBy("l_returnflag").agg(
+    path, lines = scratch_path(spark, "task"), load(spark, sf, "lineitem")
+    changes.publish(lines.where("l_linenumber = 1"), f"{path}/lineitem")
+    settings = task_settings(spark).withColumn("delete_step", F.lit("delete_all"))
+    entities.run_tasks(spark, {"lineitem": lines}, settings, path, filters={"lineitem": _WHERE})
+    return entities.open_loaded(spark, f"{path}/lineitem").groupBy("l_returnflag").agg(
         F.count("*").alias("n_rows"), F.round(F.sum("l_quantity"), 2).alias("quantity")
     )
 
 
+@query(
+    "run_task_table",
+    "SELECT 0 AS level, 'customer' AS table_name, 'done' AS status, count(*) AS row_count, count(*) AS stored FROM customer UNION ALL "
+    "SELECT 0, 'events', 'done', count(*) FILTER (event_type = 'view'), count(*) FILTER (event_type = 'view') FROM events UNION ALL "
+    "SELECT 1, 'lineitem', 'done', count(*) FILTER (l_quantity >= 20), count(*) FILTER (l_quantity >= 20) FROM lineitem",
+)
+def run_task_table(spark, sf):
+    """Three tables run by their settings: two of the first level, one by the default row, and one after them."""
+    path = scratch_path(spark, "tasks")
+    frames = {name: load(spark, sf, name) for name in ("lineitem", "events", "customer")}
+    filters = {"lineitem": _WHERE, "events": ("event_type = 'view'", [])}
+    status = entities.run_tasks(spark, frames, task_settings(spark), path, filters=filters).drop("message")
+    stored = row_counts({name: entities.open_loaded(spark, f"{path}/{name}") for name in frames}).withColumnRenamed("row_count", "stored")
+    return status.join(stored, "table_name")
+
+
 @query("record_count", "SELECT 'lineitem' AS table_name, count(*) AS row_count FROM lineitem WHERE l_quantity >= 20")
 def record_count(spark, sf):
-    return row_counts({"lineitem": entities.extract_rows(load(spark, sf, "lineitem"), _TASK)})
+    return row_counts({"lineitem": entities.extract_rows(load(spark, sf, "lineitem"), _task(spark))})
+
+
+@query(
+    "mask_sequence_scoped",
+    "SELECT c_mktsegment AS instance, c_custkey AS source_value, 100 + 10 * (row_number() OVER (PARTITION BY c_mktsegment "
+    "ORDER BY c_custkey % 2, c_custkey) - 1) AS target_value FROM customer",
+)
+def mask_sequence_scoped(spark, sf):
+    """Two runs on one stored sequence, numbered apart in each segment: even keys first, then all keys."""
+    path = scratch_path(spark, "sequence")
+    customers = load(spark, sf, "customer").withColumnRenamed("c_mktsegment", "instance")
+    masking.extend_mapping(spark, path, customers.where("c_custkey % 2 = 0"), "c_custkey", 100, 10, scope=["instance"])
+    return masking.extend_mapping(spark, path, customers, "c_custkey", 100, 10, scope=["instance"])

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions import casting, registered
 from tablewright.functions.types import map_types, source_type
+from tablewright.operators import profiling
 from tablewright.operators.profiling import infer_text_types
 from tablewright.plans.reference_sql import catalog_sql, hash_pick
 from tablewright.plans.registry import query
@@ -195,6 +196,33 @@ def infer_text_column_types(spark, sf):
     return infer_text_types(text)
 
 
+_NUMBERS = {
+    "fine": "l_orderkey || '.' || lpad(l_partkey::VARCHAR, 13, '0') || '1'", "long_whole": "'9' || lpad(l_orderkey::VARCHAR, 24, '0')",
+    "too_long": "'1' || lpad(l_orderkey::VARCHAR, 25, '0') || '.' || lpad(l_partkey::VARCHAR, 13, '0') || '7'", "rough": "l_partkey || 'e-3'",
+    "mixed": "CASE WHEN l_linenumber = 1 THEN l_orderkey || '.25' ELSE l_orderkey::VARCHAR END",
+}
+_FOUND = {"fine": ("BIGNUMERIC", "decimal(38,14)"), "long_whole": ("NUMERIC", "decimal(38,9)"), "too_long": ("STRING", "string"),
+          "rough": ("FLOAT64", "double"), "mixed": ("NUMERIC", "decimal(38,9)")}
+
+
+@query(
+    "infer_number_types",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({text}) AS value_count, '{_FOUND[c][0]}' AS inferred_type, '{_FOUND[c][1]}' AS spark_type, "
+        f"count(DISTINCT {text}) AS distinct_values FROM lineitem" for c, text in _NUMBERS.items()
+    ),
+)
+def infer_number_types(spark, sf):
+    """Types from the merged states of two parts of a table; read as these, the columns keep every value apart."""
+    lines = load(spark, sf, "lineitem").selectExpr(*[f"{text.replace('::VARCHAR', '::STRING')} AS {c}" for c, text in _NUMBERS.items()], "l_linenumber")
+    first, rest = lines.where("l_linenumber = 1").drop("l_linenumber"), lines.where("l_linenumber <> 1").drop("l_linenumber")
+    states = profiling.merge_text_states(profiling.text_state(first).unionByName(profiling.text_state(rest)))
+    typed = profiling.typed_texts(lines.drop("l_linenumber"), states)
+    distinct = typed.agg(*[F.count_distinct(c).alias(c) for c in _NUMBERS]).unpivot([], list(_NUMBERS), "column_name", "distinct_values")
+    found = profiling.text_types(states).select("column_name", F.col("values").alias("value_count"), "inferred_type", "spark_type")
+    return found.join(distinct, "column_name")
+
+
 query("fn_string_format", "SELECT c_custkey, 'baby_' || c_custkey AS name, c_name || ' (' || c_mktsegment || ')' AS label FROM customer")(
     lambda spark, sf: load(spark, sf, "customer").select(
         "c_custkey", F.format_string("baby_%s", "c_custkey").alias("name"),

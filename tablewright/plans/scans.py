@@ -9,7 +9,7 @@ from tablewright.operators.joins import attach_descriptions, scope
 from tablewright.operators.keys import collect_in_parts
 from tablewright.plans.reference_sql import catalog_sql, columns as ref_columns, values
 from tablewright.plans.registry import query
-from tablewright.plans.tables import TABLES, folder_catalog, stored_catalog
+from tablewright.plans.tables import TABLES, TASK_SETTINGS, folder_catalog, stored_catalog, task_settings
 from tablewright.session import scratch_path
 from tablewright.sources import catalog, folders, tables
 from tablewright.sources.tables import load, register
@@ -24,13 +24,6 @@ DESCRIPTIONS = (
 )
 DESCRIPTION_COLUMNS = "table_name, field_path, description, position"
 
-# Which steps a table task runs; the empty name is the default row.
-TASK_SETTINGS = (
-    ("", "extract_by_query", "load_atomic", 1),
-    ("lineitem", "extract_by_scan", "load_atomic", 2),
-    ("events", "extract_by_scan", "load_batched", 1),
-)
-
 
 def descriptions(spark):
     return spark.createDataFrame(
@@ -95,8 +88,11 @@ def catalog_tables(spark, sf):
 _DDL_TYPES = {"INT64": "BIGINT", "FLOAT64": "DOUBLE", "STRING": "STRING", "DATETIME": "TIMESTAMP_NTZ", "REPEATED FLOAT64": "ARRAY<FLOAT>"}
 
 
+_INTS = ("quality", "toxic", "l_linenumber", "p_size", "label", "r_regionkey", "n_nationkey", "n_regionkey", "c_nationkey", "s_nationkey")
+
+
 def _ddl_sql(table):
-    listed = ", ".join(f"{c} {_DDL_TYPES[k] if (table, c) != ('embeddings', 'label') else 'INT'}" for c, k in ref_columns(table))
+    listed = ", ".join(f"{c} {_DDL_TYPES[k] if c not in _INTS else 'INT'}" for c, k in ref_columns(table))
     return f"CREATE TABLE main.{table} ({listed}) USING parquet"
 
 
@@ -206,11 +202,8 @@ def snapshot_sample(spark, sf):
     f"LEFT JOIN {values(TASK_SETTINGS, 'table_name, extract_step, load_step, table_order')} s ON s.table_name = t.table_name",
 )
 def config_table_lookup(spark, sf):
-    settings = spark.createDataFrame(
-        list(TASK_SETTINGS), "table_name string, extract_step string, load_step string, table_order int"
-    )
     found = catalog.tables_of(stored_catalog(spark, sf)).select("table_name", "row_count")
-    return tables.pick_settings(found, settings, "table_name")
+    return tables.pick_settings(found, task_settings(spark), "table_name")
 
 
 @query(

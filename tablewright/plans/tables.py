@@ -13,6 +13,13 @@ TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
+# Which steps a table task runs; the empty name is the default row.
+TASK_SETTINGS = (
+    ("", "extract_by_query", "load_atomic", 1),
+    ("lineitem", "extract_by_scan", "load_atomic", 2),
+    ("events", "extract_by_scan", "load_batched", 1),
+)
+TASK_COLUMNS = "table_name string, extract_step string, load_step string, table_order int"
 VIEWS = {"open_orders": ("orders", "o_orderstatus = 'O'")}
 
 
@@ -25,3 +32,7 @@ def folder_catalog(spark: SparkSession, root: str) -> Catalog:
 def stored_catalog(spark: SparkSession, root: str) -> DataFrame:
     """The fields of all tables and views."""
     return folder_catalog(spark, root).fields
+
+
+def task_settings(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(TASK_SETTINGS), TASK_COLUMNS)
