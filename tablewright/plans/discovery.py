@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators import profiling
+from tablewright.operators import changes, profiles, profiling
 from tablewright.operators.changes import open_table, publish
 from tablewright.operators.discovery import discover
 from tablewright.operators.keys import collect_in_parts
@@ -182,6 +185,55 @@ def profile_table(spark, sf):
     return out
 
 
+def _shown(column, kind):
+    """Bounds of floats are shown with four decimals, as engines write floats in their own ways."""
+    return f"({column})::DECIMAL(18,4)::VARCHAR" if kind == "FLOAT64" else f"({column})::VARCHAR"
+
+
+def _whole_profile_sql(table, distinct):
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"{_shown(f'min({c})', k)} AS min_value, {_shown(f'max({c})', k)} AS max_value, {distinct.format(c=c)} FROM {table}"
+        for c, k in columns(table)
+    )
+
+
+def _float_bounds(found, *tables):
+    floats = [c for t in tables for c, k in columns(t) if k == "FLOAT64"]
+    for c in ("min_value", "max_value"):
+        shown = F.col(c).cast("double").cast("decimal(18,4)").cast("string")
+        found = found.withColumn(c, F.when(F.col("column_name").isin(floats), shown).otherwise(F.col(c)))
+    return found
+
+
+@query(
+    "profile_all_columns",
+    " UNION ALL ".join(_whole_profile_sql(t, "count(DISTINCT {c}) AS distinct_count") for t in ("lineitem", "events", "orders", "part")),
+)
+def profile_all_columns(spark, sf):
+    """Every column of four tables, distinct values counted exactly."""
+    parts = [profiling.profile(load(spark, sf, t), t, exact_distinct=True) for t in ("lineitem", "events", "orders", "part")]
+    return _float_bounds(reduce(DataFrame.unionByName, parts), "lineitem", "events", "orders", "part")
+
+
+@query("profile_grown_table", _whole_profile_sql("lineitem", "true AS distinct_is_near"))
+def profile_grown_table(spark, sf):
+    """A table that was profiled, grew and lost rows that came back; only what was written since is measured again."""
+    path, lines = scratch_path(spark, "grown"), load(spark, sf, "lineitem")
+    table, store = f"{path}/table", f"{path}/states"
+    changes.publish(lines.where("l_linenumber = 1"), table)
+    profiles.update_profile(spark, table, store)
+    changes.publish_more(lines.where("l_linenumber > 1"), table)
+    profiles.update_profile(spark, table, store)
+    some = lines.where("l_orderkey % 50 = 1")
+    changes.delete_by_keys(spark, table, some, ["l_orderkey"])
+    changes.publish_more(some, table)
+    found = _float_bounds(profiles.read_profile(spark, table, store, "lineitem"), "lineitem")
+    exact = profiling.profile(lines, "lineitem", exact_distinct=True).select("column_name", F.col("distinct_count").alias("exact"))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= F.greatest(F.lit(2), F.col("exact") * 0.08)
+    return found.join(exact, "column_name").withColumn("distinct_is_near", near).drop("distinct_count", "exact")
+
+
 PROPERTIES = (("customer", "c_name", "owner", "sales"), ("orders", "o_totalprice", "unit", "USD"), ("orders", "o_totalprice", "owner", "finance"))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tablewright.functions.records import long_form, measure, named, quoted
 from tablewright.functions.types import array_depth, innermost, map_types, source_type
 from tablewright.operators.keys import last_wins
+from tablewright.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -245,18 +246,23 @@ def json_fields(df: DataFrame, column: str) -> DataFrame:
 
     Keys are never gathered into a schema: objects and arrays are opened level
     by level into rows, and (path, kind) pairs are counted on the map side. So
-    a column with millions of different keys is only a longer result. The loop
-    runs once per level of nesting.
+    a column with millions of different keys is only a longer result. The texts are parsed once: each level is
+    written to the shared folder before the next one is opened from it, and a level holds what lies that deep and deeper.
     """
+    spark, number = df.sparkSession, 0
     level = df.select(F.lit(column).alias("path"), F.try_parse_json(F.col(column)).alias("v")).where("v IS NOT NULL")
     kind = "regexp_extract(schema_of_variant(v), '^[A-Z]+', 0)"
     found = []
     while True:
-        counted = level.groupBy(F.col("path").alias("field_path"), F.expr(kind).alias("kind")).agg(F.count("*").alias("value_count"))
+        place = scratch_path(spark, f"json-{number}")
+        level.select("path", "v", F.expr(kind).alias("kind")).write.parquet(place)
+        level, number = spark.read.schema("path string, v variant, kind string").parquet(place), number + 1
+        counted = level.groupBy(F.col("path").alias("field_path"), "kind").agg(F.count("*").alias("value_count"))
         found.append(counted.where("kind <> 'VOID'"))
-        objects = level.where(F.expr(f"{kind} = 'OBJECT'")).selectExpr("path", "explode(cast(v AS map<string, variant>)) AS (k, v)")
-        arrays = level.where(F.expr(f"{kind} = 'ARRAY'")).selectExpr("path", "explode(cast(v AS array<variant>)) AS v")
+        inner = level.where("kind IN ('OBJECT', 'ARRAY')")
+        if inner.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        objects = inner.where("kind = 'OBJECT'").selectExpr("path", "explode(cast(v AS map<string, variant>)) AS (k, v)")
+        arrays = inner.where("kind = 'ARRAY'").selectExpr("path", "explode(cast(v AS array<variant>)) AS v")
         level = objects.selectExpr("concat(path, '.', k) AS path", "v").unionByName(arrays.selectExpr("concat(path, '[]') AS path", "v"))
         level = level.where("v IS NOT NULL")
-        if level.isEmpty():
-            return reduce(DataFrame.unionByName, found)
