@@ -79,7 +79,7 @@ class Chain:
         for p in (*self.parts, None):
             if held and (p is None or reduce(lambda n, q: n * q.count, (*held, p), 1) > LARGEST):
                 whole = Chain(tuple(held))
-                out.append(whole.column(draw(whole.count)) if whole.count <= LARGEST else held[0].drawn(draw))
+                out.append(_once(draw(whole.count), whole) if whole.count <= LARGEST else held[0].drawn(draw))
                 held = []
             if p is not None:
                 held.append(p)
@@ -117,7 +117,7 @@ class Branches:
 
     def drawn(self, draw) -> Column:
         if self.count <= LARGEST:
-            return self.column(draw(self.count))
+            return _once(draw(self.count), self)
         number, values = draw(len(self.options)), [o.drawn(draw) for o in self.options]
         out = values[-1]
         for i, value in reversed(list(enumerate(values[:-1]))):
@@ -125,12 +125,64 @@ class Branches:
         return out
 
 
+@dataclass(frozen=True)
+class Word:
+    """Between ``low`` and ``high`` characters of one class; as ``Branches`` of chains would do it, in a short expression."""
+
+    items: str
+    low: int
+    high: int
+
+    @property
+    def count(self) -> int:
+        return sum(len(self.items) ** n for n in range(self.low, self.high + 1))
+
+    def text(self, number: int) -> str:
+        for n in range(self.low, self.high + 1):
+            if number < len(self.items) ** n:
+                return Chain((Chars(self.items),) * n).text(number)
+            number -= len(self.items) ** n
+        raise IndexError("the pattern has fewer strings")
+
+    def column(self, number: Column) -> Column:
+        base, first, length, before = len(self.items), 0, None, None
+        for n in range(self.low, self.high + 1):
+            if first >= LARGEST:
+                break
+            fits = number >= F.lit(first)
+            length = F.lit(n) if length is None else F.when(fits, n).otherwise(length)
+            before = F.lit(0).cast("bigint") if before is None else F.when(fits, F.lit(first).cast("bigint")).otherwise(before)
+            first += base**n
+        powers = F.array(*[F.lit(base**i).cast("bigint") for i in range(min(self.high, 60)) if base**i < LARGEST])
+
+        def letter(i: Column) -> Column:
+            """The character ``i`` places from the end; so far to the front that no number reaches it, the first one."""
+            place = F.call_function("div", number - before, F.coalesce(F.get(powers, i), F.lit(LARGEST).cast("bigint"))) % F.lit(base)
+            return F.substring(F.lit(self.items), (place + F.lit(1)).cast("int"), F.lit(1))
+
+        places = F.when(length > 0, F.sequence(length - 1, F.lit(0), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+        return F.array_join(F.transform(places, letter), "")
+
+    def drawn(self, draw) -> Column:
+        if self.count <= LARGEST:
+            return _once(draw(self.count), self)
+        chars = Chars(self.items)
+        return Branches(tuple(Chain((chars,) * n) for n in range(self.low, self.high + 1))).drawn(draw)
+
+
+def _once(number: Column, node) -> Column:
+    """The string of a number that is worked out once, however often the string's parts refer to it."""
+    return F.element_at(F.transform(F.array(number), node.column), 1)
+
+
 def _div(number: Column, by: int) -> Column:
     """Whole-number quotient; a double could not hold all numbers."""
     return number if by == 1 else F.call_function("div", number, F.lit(by).cast("bigint"))
 
 
 def _repeat(node, low: int, high: int):
+    if isinstance(node, Chars) and node.count > 1 and high > 1:
+        return Word(node.items, low, high)
     options = tuple(Chain((node,) * n) for n in range(low, high + 1))
     return options[0] if len(options) == 1 else Branches(options)
 
@@ -258,7 +310,7 @@ def size(pattern: str) -> int:
 
 def numbered(pattern: str, number: Column) -> Column:
     """The string of a number from 0 to ``size`` - 1."""
-    return tree(pattern).column(number.cast("bigint"))
+    return _once(number.cast("bigint"), tree(pattern))
 
 
 def drawn(pattern: str, label: str, source: Column, seed: str = SEED) -> Column:

@@ -8,6 +8,7 @@ see the same entries; the text grows with the files of changed folders until ``c
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
@@ -19,6 +20,8 @@ from pyspark.sql import types as T
 from tablewright.sources import files
 
 POINTER = "_CURRENT"
+#: The entry in a file's path.
+ENTRY = r"^.*/(v-[0-9a-f]{32}/.*)$"
 #: Types whose bounds mean the same to Spark, to the file footers and to the driver.
 BOUNDED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.StringType, T.DateType)
 
@@ -124,7 +127,7 @@ def publish(df: DataFrame, path: str, expect=...) -> int:
 
 def file_name() -> Column:
     """The entry of the file a row was read from; the frame must come straight from ``open_table`` or ``open_version``."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"^.*/(v-[0-9a-f]{32}/.*)$", 1)
+    return F.regexp_extract(F.col("_metadata.file_path"), ENTRY, 1)
 
 
 @dataclass(frozen=True)
@@ -137,10 +140,10 @@ class Hits:
 
 
 def hits(matching: DataFrame, file: str, keys: Sequence[str] = ()) -> Hits:
-    """Files that hold matching rows. Their names are as many as the driver lists to read the table at all."""
+    """Files that hold matching rows; ``file`` is the column of their paths. They are as many as the driver lists to read the table."""
     counted = [F.count_distinct(F.struct(*keys)).alias("keys")] if keys else [F.lit(0).alias("keys")]
     row = matching.agg(F.collect_set(file).alias("files"), F.count("*").alias("rows"), *counted).first()
-    return Hits(tuple(sorted(row["files"])), row["rows"], row["keys"])
+    return Hits(tuple(sorted(re.fullmatch(ENTRY, f)[1] for f in row["files"])), row["rows"], row["keys"])
 
 
 def bounds_of(schema: T.StructType, keys: Sequence[str]) -> list[Column]:

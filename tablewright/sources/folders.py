@@ -145,7 +145,12 @@ def crawl_folder(
         _store(spark, schema_name, names[at:at + group], tables_at, fields_at, found)
     if gone or current_version(spark, tables_at) is None:
         _store(spark, schema_name, gone, tables_at, fields_at, [])
-    return Catalog(open_table(spark, tables_at), open_table(spark, fields_at))
+    return open_catalog(spark, store)
+
+
+def open_catalog(spark: SparkSession, store: str) -> Catalog:
+    """The catalog as it was stored."""
+    return Catalog(open_table(spark, f"{store}/tables"), open_table(spark, f"{store}/fields"))
 
 
 def _store(spark: SparkSession, schema_name: str, names: Sequence[str], tables_at: str, fields_at: str, found: Sequence) -> None:
