@@ -37,10 +37,10 @@ class VersionChanged(PublishError):
 def current_version(spark: SparkSession, path: str) -> str | None:
     """Entries that make up the published table, one per line.
 
-    The pointer is a shortcut: each version names its successor in a file that only one writer can make.
+    The pointer is a shortcut, and may be old or, while it is replaced, not there: each version names its successor in a file
+    that only one writer can make and nobody replaces, from the first one on.
     """
-    pointer = f"{path}/{POINTER}"
-    version = files.read_text(spark, pointer).strip() if files.exists(spark, pointer) else None
+    version = (files.try_read_text(spark, f"{path}/{POINTER}") or "").strip() or None
     while files.exists(spark, _successor(path, version)):
         version = files.read_text(spark, _successor(path, version)).strip()
     return version
@@ -51,7 +51,16 @@ def _successor(path: str, version: str | None) -> str:
 
 
 def entries(version: str | None) -> list[str]:
-    return version.split("\n") if version else []
+    """Folders and files of a version; a line that only makes its text another one is none."""
+    return [name for name in version.split("\n") if not name.startswith("#")] if version else []
+
+
+def _next_text(spark: SparkSession, path: str, version: str | None, names: Sequence[str]) -> str:
+    """The text of a version that follows; no text comes twice, so that the way from version to version never leads back."""
+    text = "\n".join(names)
+    if text == version or files.exists(spark, _successor(path, text)):
+        text += f"\n#{uuid.uuid4().hex}"
+    return text
 
 
 def open_version(spark: SparkSession, path: str, names: Collection[str], schema: T.StructType | None = None) -> DataFrame:
@@ -93,11 +102,11 @@ def show(spark: SparkSession, path: str, names: Sequence[str], expect=...) -> No
     has published since, nothing is swapped. Of two writers that follow one
     version only one can make its successor.
     """
-    text = "\n".join(names)
     while True:
         version = current_version(spark, path)
         if expect is not ... and version != expect:
             raise VersionChanged(f"{path} was changed by another writer")
+        text = _next_text(spark, path, version, names)
         if files.create_text(spark, _successor(path, version), text):
             break
     files.replace_text(spark, f"{path}/{POINTER}", text)
@@ -109,7 +118,7 @@ def show_more(spark: SparkSession, path: str, folder: str) -> bool:
         version = current_version(spark, path)
         if folder in entries(version):
             return False
-        text = "\n".join([*entries(version), folder])
+        text = _next_text(spark, path, version, [*entries(version), folder])
         if files.create_text(spark, _successor(path, version), text):
             files.replace_text(spark, f"{path}/{POINTER}", text)
             return True

@@ -74,6 +74,16 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def try_read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a file, or None if there is none or another writer is just replacing it."""
+    try:
+        return read_text(spark, path) if exists(spark, path) else None
+    except Py4JJavaError as e:
+        if not any(name in str(e.java_exception) for name in ("FileNotFound", "ChecksumException")):
+            raise
+        return None
+
+
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Write ``text`` beside ``path`` and swap it in with one rename."""
     fs, place = _locate(spark, path)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.casting import fit_to_schema
-from tablewright.operators.versions import current_version, open_table, show_more, write_checked
+from tablewright.operators.versions import current_version, entries, open_table, show_more, write_checked
 from tablewright.sources import files
 
 
@@ -107,7 +107,7 @@ def publish_stream(stream: DataFrame, path: str, checkpoint: str) -> int:
         fit_to_schema(stream, known)
     marker = f"{checkpoint}/staging"
     folder = files.read_text(spark, marker).strip() if files.exists(spark, marker) else None
-    if folder is None or folder in (current_version(spark, path) or "").split("\n"):
+    if folder is None or folder in entries(current_version(spark, path)):
         folder = f"v-{uuid.uuid4().hex}"
         files.replace_text(spark, marker, folder)
 

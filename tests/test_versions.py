@@ -165,3 +165,32 @@ def test_map_values_that_do_not_fit_are_errors(spark, path):
     assert changes.load_with_errors(df, target, f"{path}/good", f"{path}/bad") == (2, 3)
     strict = changes.write_enforced(df.where("id IN (1, 5)"), target, f"{path}/strict")
     assert strict == 2 and dict(changes.open_table(spark, f"{path}/strict").where("id = 1").first()["deep"][0]["m"]["x"]) == {1: datetime.date(2024, 1, 1)}
+
+
+def test_a_lost_or_old_pointer_does_no_harm(spark, path):
+    for n in range(3):
+        changes.publish_more(spark.createDataFrame([(n, "x")], "k int, v string"), path)
+        if n == 0:
+            old = files.read_text(spark, f"{path}/{versions.POINTER}")
+    now = changes.current_version(spark, path)
+    files.replace_text(spark, f"{path}/{versions.POINTER}", old)
+    assert changes.current_version(spark, path) == now
+    files.delete_tree(spark, f"{path}/{versions.POINTER}")
+    assert changes.current_version(spark, path) == now and len(content(spark, path)) == 3
+    assert files.try_read_text(spark, f"{path}/{versions.POINTER}") is None
+
+
+def test_a_table_that_is_what_it_was_before_has_a_version_of_its_own(spark, path):
+    one, two = spark.createDataFrame([(1, "a")], "k int, v string"), spark.createDataFrame([(2, "b")], "k int, v string")
+    changes.publish(one.coalesce(1), path)
+    for _ in range(3):
+        changes.publish_more(two.coalesce(1), path)
+        assert content(spark, path) == {(1, "a"), (2, "b")}
+        assert changes.delete_by_entity(spark, path, "k", 2) == 1
+        assert content(spark, path) == {(1, "a")}
+    version = changes.current_version(spark, path)
+    versions.show(spark, path, versions.entries(version), version)
+    assert changes.current_version(spark, path) != version and content(spark, path) == {(1, "a")}
+    assert changes.delete_by_entity(spark, path, "k", 1) == 1 and content(spark, path) == set()
+    versions.drop_old_versions(spark, path)
+    assert changes.open_table(spark, path).columns == ["k", "v"]
