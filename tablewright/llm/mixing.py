@@ -1,10 +1,14 @@
 """Iterative proportional fitting of token weights to source, language and topic shares, and sampling by them.
 
-Tokens are summed per cell (source, language, topic), once. The cell weights are then scaled to the
-target shares of one margin after the other until all margins fit. A document's probability is its cell's
-weight per token times one common factor, at most 1; the factor is set so that the expected number of
-tokens is ``budget_share`` of all. Each document draws a number from the hash of its id, so the sample does not
-depend on partitions or retries.
+Tokens are summed per cell (source, language, topic), once. The expected tokens of the cells are then scaled to the
+target shares of one margin after the other, with the bound inside: a cell never has more than its tokens, so the
+shares hold for the sample itself and not only for weights. A document's probability is the expected share of its
+cell's tokens. Each document draws a number from the hash of its id, so the sample does not depend on partitions or retries.
+
+``budget_share`` of all tokens is what the sample may hold. Where the targets cannot be met with so many, because a value
+has too few tokens or too few together with others, the sample gets smaller: the share is lowered (by ``halvings`` steps
+of halving an interval) until all margins fit. Only targets that no weights meet, as values occur together in too few
+cells, are missed; ``reached`` lists the shares that a sample has.
 
 The cells are the only thing iterated over. Up to ``most_cells`` of them (counted first) are fitted in
 memory; beyond that the same steps run as grouped sums over the cell table, each round written to the
@@ -26,9 +30,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.shared import stored
+from tablewright.llm.shared import quoted, stored, unused
 
 MARGINS = ("m_source", "m_lang", "m_topic")
+MOST = 1e300  # no factor grows beyond it, where a value has no tokens left to give
 
 
 def n_tokens(text: Column) -> Column:
@@ -49,73 +54,92 @@ def _shares(weights: np.ndarray, codes: np.ndarray, values: np.ndarray, given: M
     return goal / goal.sum()
 
 
-def fit_in_memory(cells: list, targets: Mapping, temper: float, rounds: int, tolerance: float, budget_share: float):
+def _largest(fit, highest: float, safe: float, halvings: int):
+    """What ``fit`` gives for the largest share that fits; ``fit`` returns a result and whether all margins hold."""
+    best, holds = fit(highest)
+    if holds or safe >= highest:
+        return best
+    best, _ = fit(safe)
+    low, high = safe, highest
+    for _ in range(halvings):
+        mid = (low + high) / 2
+        result, holds = fit(mid)
+        if holds:
+            best, low = result, mid
+        else:
+            high = mid
+    return best
+
+
+def fit_in_memory(cells: list, targets: Mapping, temper: float, rounds: int, tolerance: float, budget_share: float, halvings: int = 12):
     """Weight per token and probability of each cell; ``cells`` are rows (three margins, tokens)."""
     tokens = np.array([c["tokens"] for c in cells], float)
     coded = [np.unique([c[m] for c in cells], return_inverse=True) for m in MARGINS]
     goals = [_shares(tokens, codes, values, targets.get(m), temper) for m, (values, codes) in zip(MARGINS, coded)]
-    total, w = tokens.sum(), tokens.copy()
-    for _ in range(rounds):
-        off = 0.0
-        for (values, codes), goal in zip(coded, goals):
-            now = np.bincount(codes, w, len(values)) / total
-            off = max(off, float(np.abs(now - goal).max()))
-            w = w * np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)[codes]
-        if off < tolerance:
-            break
-    per_token = np.divide(w, tokens, out=np.ones_like(w), where=tokens > 0)
-    factor = _factor(lambda s: float((tokens * np.minimum(1, s * per_token)).sum()), budget_share * total, float(per_token.max()))
-    return per_token, np.where(tokens > 0, np.minimum(1, factor * per_token), 1.0)
-
-
-def _factor(expected, wanted: float, largest: float) -> float:
-    """The factor for which the expected tokens are those wanted, by halving."""
-    low, high = 0.0, 1.0 / max(largest, 1e-300)
-    for _ in range(60):
-        if expected(high) >= wanted * (1 - 1e-12) or high > 1e30:
-            break
-        high *= 2
-    for _ in range(60):
-        mid = (low + high) / 2
-        low, high = (mid, high) if expected(mid) < wanted else (low, mid)
-    return high
-
-
-def fit_distributed(cells: DataFrame, targets: Mapping, temper: float, rounds: int, tolerance: float, budget_share: float) -> DataFrame:
+    total = tokens.sum()
+
+    def rake(share: float, bound: np.ndarray):
+        x, off = tokens * share, 0.0
+        for _ in range(rounds):
+            off = 0.0
+            for (values, codes), goal in zip(coded, goals):
+                now = np.bincount(codes, np.minimum(x, bound), len(values)) / (total * share)
+                off = max(off, float(np.abs(now - goal).max()))
+                x = np.minimum(x * np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)[codes], MOST)
+            if off < tolerance:
+                break
+        return np.minimum(x, bound), off < tolerance
+
+    free, _ = rake(1.0, np.full(len(tokens), MOST))
+    per_token = np.divide(free, tokens, out=np.ones_like(free), where=tokens > 0)
+    room = [float((np.bincount(codes, tokens, len(values))[goal > 0] / (total * goal[goal > 0])).min()) for (values, codes), goal in zip(coded, goals)]
+    w = _largest(lambda share: rake(share, tokens), min(budget_share, *room), min(budget_share, 1 / per_token.max()), halvings)
+    p = np.divide(w, tokens, out=np.ones_like(w), where=tokens > 0)
+    return np.where(tokens > 0, p * total / w.sum(), 1.0), p
+
+
+def fit_distributed(
+    cells: DataFrame, targets: Mapping, temper: float, rounds: int, tolerance: float, budget_share: float, halvings: int = 12,
+) -> DataFrame:
     """The same over a cell table of any size."""
     total = float(cells.agg(F.sum("tokens")).first()[0])
-    goals = {}
+    goals, room = {}, []
     for m in MARGINS:
         held = cells.groupBy(m).agg(F.sum("tokens").alias("held")).where("held > 0")
         if targets.get(m) is None:
-            goal = held.select(m, F.pow(F.col("held") / total, F.lit(temper)).alias("goal"))
+            goal = held.select(m, "held", F.pow(F.col("held") / total, F.lit(temper)).alias("goal"))
         else:
             given = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in targets[m].items()], f"{m} string, goal double")
-            goal = held.join(given, m, "left").select(m, F.coalesce("goal", F.lit(0.0)).alias("goal"))
+            goal = held.join(given, m, "left").select(m, "held", F.coalesce("goal", F.lit(0.0)).alias("goal"))
         sum_ = float(goal.agg(F.sum("goal")).first()[0])
-        goals[m] = stored(goal.select(m, (F.col("goal") / sum_).alias("goal")), "goals")
-    w = cells.withColumn("w", F.col("tokens").cast("double"))
-    for _ in range(rounds):
-        offs = []
-        for m in MARGINS:
-            now = w.groupBy(m).agg((F.sum("w") / total).alias("now")).join(goals[m], m, "left").withColumn(
-                "goal", F.coalesce("goal", F.lit(0.0))).withColumn(f"off_{m}", F.abs(F.col("now") - F.col("goal")))
-            scale = F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0)
-            w = w.join(now.select(m, scale.alias("scale"), f"off_{m}"), m).withColumn("w", F.col("w") * F.col("scale")).drop("scale")
-            offs.append(f"off_{m}")
-        w = stored(w, "weights")
-        off = w.agg(F.max(F.greatest(*offs))).first()[0]
-        w = w.drop(*offs)
-        if off < tolerance:
-            break
-    w = stored(w.withColumn("per_token", F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(1.0)), "weights")
-
-    def expected(s: float) -> float:
-        return float(w.agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("per_token") * s))).first()[0])
-
-    factor = _factor(expected, budget_share * total, float(w.agg(F.max("per_token")).first()[0]))
-    p = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("per_token") * factor)).otherwise(1.0)
-    return w.select(*MARGINS, "per_token", p.alias("probability"))
+        goals[m] = stored(goal.select(m, "held", (F.col("goal") / sum_).alias("goal")), "goals")
+        room.append(float(goals[m].where("goal > 0").agg(F.min(F.col("held") / (total * F.col("goal")))).first()[0]))
+
+    def rake(share: float, bounded: bool):
+        bound = F.col("tokens").cast("double") if bounded else F.lit(MOST)
+        x, off = cells.withColumn("x", F.col("tokens") * F.lit(share)), 0.0
+        for _ in range(rounds):
+            offs = []
+            for m in MARGINS:
+                now = x.groupBy(m).agg((F.sum(F.least("x", bound)) / (total * share)).alias("now")).join(
+                    goals[m].drop("held"), m, "left").withColumn("goal", F.coalesce("goal", F.lit(0.0)))
+                scale = F.when(F.col("now") > 0, F.col("goal") / F.col("now")).otherwise(0.0)
+                x = x.join(now.select(m, scale.alias("scale"), F.abs(F.col("now") - F.col("goal")).alias(f"off_{m}")), m).withColumn(
+                    "x", F.least(F.col("x") * F.col("scale"), F.lit(MOST))).drop("scale")
+                offs.append(f"off_{m}")
+            x = stored(x, "weights")
+            off = x.agg(F.max(F.greatest(*offs))).first()[0]
+            x = x.drop(*offs)
+            if off < tolerance:
+                break
+        return x.withColumn("w", F.least("x", bound)).drop("x"), off < tolerance
+
+    free, _ = rake(1.0, False)
+    most = float(free.where("tokens > 0").agg(F.max(F.col("w") / F.col("tokens"))).first()[0])
+    w = _largest(lambda share: rake(share, True), min(budget_share, *room), min(budget_share, 1 / most), halvings)
+    drawn = float(w.agg(F.sum("w")).first()[0])
+    p = F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(1.0)
+    return w.select(*MARGINS, F.when(F.col("tokens") > 0, p * F.lit(total / drawn)).otherwise(1.0).alias("per_token"), p.alias("probability"))
 
 
 def draw(id: Column, seed: str) -> Column:
@@ -127,7 +151,7 @@ def draw(id: Column, seed: str) -> Column:
 def mix(
     docs: DataFrame, id: str = "doc_id", text: str = "text", *, source: Column | None = None, lang: Column | None = None,
     topic: Column | None = None, targets: Mapping[str, Mapping[str, float]] | None = None, temper: float = 0.7,
-    budget_share: float = 0.8, rounds: int = 200, tolerance: float = 1e-9, seed: str = "mix", most_cells: int = 100_000,
+    budget_share: float = 0.8, rounds: int = 500, tolerance: float = 1e-7, halvings: int = 12, seed: str = "mix", most_cells: int = 100_000,
 ) -> DataFrame:
     """The rows with n_tokens, weight (per token), probability and sampled.
 
@@ -135,12 +159,15 @@ def mix(
     """
     parts = [F.col("source") if source is None else source, F.col("lang") if lang is None else lang,
              form_of(F.col(text)) if topic is None else topic]
-    tagged = docs.drop("n_tokens", "weight", "probability", "sampled").select(
-        "*", *[F.coalesce(p.cast("string"), F.lit("\0null")).alias(f"__{m}") for p, m in zip(parts, MARGINS)], n_tokens(F.col(text)).alias("n_tokens"))
-    cells = stored(tagged.groupBy(*[F.col(f"__{m}").alias(m) for m in MARGINS]).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    made = ("n_tokens", "weight", "probability", "sampled")
+    inner = [unused(docs, m) for m in MARGINS]
+    tagged = docs.select(
+        *[F.col(quoted(c)) for c in docs.columns if c.lower() not in made],
+        *[F.coalesce(p.cast("string"), F.lit("\0null")).alias(c) for p, c in zip(parts, inner)], n_tokens(F.col(text)).alias("n_tokens"))
+    cells = stored(tagged.groupBy(*[F.col(quoted(c)).alias(m) for c, m in zip(inner, MARGINS)]).agg(F.sum("n_tokens").alias("tokens")), "cells")
     schema = ", ".join(f"{m} string" for m in MARGINS) + ", per_token double, probability double"
     count, total = cells.agg(F.count(F.lit(1)), F.sum("tokens")).first()
-    options = (targets or {}, temper, rounds, tolerance, budget_share)
+    options = (targets or {}, temper, rounds, tolerance, budget_share, halvings)
     if not total:
         fitted = cells.select(*MARGINS, F.lit(1.0).alias("per_token"), F.lit(1.0).alias("probability"))
     elif count <= most_cells:
@@ -150,7 +177,18 @@ def mix(
             [(*[r[m] for m in MARGINS], float(a), float(b)) for r, a, b in zip(rows, per_token, p)], schema)
     else:
         fitted = fit_distributed(cells, *options)
-    fitted = fitted.select(*[F.col(m).alias(f"__{m}") for m in MARGINS], F.col("per_token").alias("weight"), "probability")
-    out = tagged.join(fitted, [f"__{m}" for m in MARGINS]).withColumn("sampled", draw(F.col(id), seed) < F.col("probability"))
-    return out.select(*[c for c in docs.columns if c not in ("n_tokens", "weight", "probability", "sampled")],
-                      "n_tokens", "weight", "probability", "sampled")
+    fitted = fitted.select(*[F.col(m).alias(c) for m, c in zip(MARGINS, inner)], F.col("per_token").alias("weight"), "probability")
+    out = tagged.join(fitted, inner).withColumn("sampled", draw(F.col(id), seed) < F.col("probability"))
+    return out.drop(*inner).select(*[F.col(quoted(c)) for c in docs.columns if c.lower() not in made], *made)
+
+
+def reached(mixed: DataFrame, **margins: Column) -> DataFrame:
+    """(margin, value, held, expected, sampled): shares of the tokens of all rows, as expected of a sample, and of the sample drawn."""
+    at = F.array(*[F.struct(F.lit(m).alias("margin"), c.cast("string").alias("value")) for m, c in margins.items()])
+    n = F.col("n_tokens")
+    sums = mixed.select(F.explode(at).alias("at"), n, (n * F.col("probability")).alias("p"), F.when(F.col("sampled"), n).otherwise(0).alias("s")).groupBy(
+        "at").agg(F.sum("n_tokens").alias("n"), F.sum("p").alias("p"), F.sum("s").alias("s"))
+    whole = mixed.agg(F.sum(n).alias("all_n"), F.sum(n * F.col("probability")).alias("all_p"), F.sum(F.when(F.col("sampled"), n).otherwise(0)).alias("all_s"))
+    return sums.join(F.broadcast(whole)).select(
+        "at.margin", "at.value", F.try_divide("n", "all_n").alias("held"), F.try_divide("p", "all_p").alias("expected"),
+        F.try_divide("s", "all_s").cast("double").alias("sampled"))

@@ -37,3 +37,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def quoted(column: str) -> str:
+    """The name of a column of any spelling, dots included."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def unused(df: DataFrame, stem: str) -> str:
+    """A name starting with ``stem`` that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    name = stem
+    while name.lower() in taken:
+        name += "_"
+    return name

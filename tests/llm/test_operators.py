@@ -9,7 +9,7 @@ import pytest
 
 from tablewright.llm.license_scans import scan_licenses
 from tablewright.llm.minhash_tensor import near_duplicates
-from tablewright.llm.mixing import fit_distributed, fit_in_memory, mix
+from tablewright.llm.mixing import fit_distributed, fit_in_memory, mix, reached
 from tablewright.llm.packing import assign, capacities, pack
 from tablewright.llm.quality_lines import kept_only, quality_rules
 from tablewright.llm.secret_scans import redacted, scan_secrets
@@ -308,10 +308,25 @@ def test_mixing(spark, edges, empty):
     assert mix(edges).count() == len(EDGES) + 5 and mix(empty).count() == 0
 
 
+def test_mixing_meets_targets_at_probability_one(spark):
+    """The sample itself has the target shares, with values that are too rare for the budget; names of the input stay."""
+    rng = np.random.default_rng(3)
+    rows = [(i, "w " * int(rng.integers(1, 40)), "a" if i % 20 else "b", f"s{i % 3}", 1, "kept", None) for i in range(4000)] + [(7, None, None, None, 1, "kept", None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, weight long, m_source string, `a.b` int")
+    targets = {"m_lang": {"a": 0.8, "b": 0.2}, "m_source": {"s0": 0.5, "s1": 0.25, "s2": 0.25}}
+    mixed = mix(docs, targets=targets, budget_share=0.8).cache()
+    assert mixed.columns == ["doc_id", "text", "lang", "source", "m_source", "a.b", "n_tokens", "weight", "probability", "sampled"]
+    assert {r["m_source"] for r in mixed.collect()} == {"kept"} and mixed.count() == len(rows)
+    shares = {(r["margin"], r["value"]): r for r in reached(mixed, lang=mixed["lang"], source=mixed["source"]).collect()}
+    for key, goal in [(("lang", "a"), 0.8), (("lang", "b"), 0.2), (("source", "s0"), 0.5), (("source", "s1"), 0.25)]:
+        assert shares[key]["expected"] == pytest.approx(goal, abs=1e-5) and shares[key]["sampled"] == pytest.approx(goal, abs=0.04)
+    assert max(r["probability"] for r in mixed.where("n_tokens > 0").collect()) > 0.98  # as large a sample as the targets allow
+
+
 def test_mixing_is_the_same_in_both_forms(spark):
     cells = [("s1", "a", "x", 50), ("s1", "b", "x", 10), ("s2", "a", "y", 30), ("s3", "b", "y", 0), ("s2", "b", "x", 25)]
     df = spark.createDataFrame(cells, "m_source string, m_lang string, m_topic string, tokens long")
-    options = ({"m_lang": {"a": 0.7, "b": 0.3}}, 0.7, 30, 1e-9, 0.6)
+    options = ({"m_lang": {"a": 0.5, "b": 0.5}}, 0.9, 4, 1e-2, 0.95, 1)
     w, p = fit_in_memory(df.collect(), *options)
     other = {(r["m_source"], r["m_lang"], r["m_topic"]): (r["per_token"], r["probability"]) for r in fit_distributed(df, *options).collect()}
     for c, a, b in zip(df.collect(), w, p):
