@@ -3,19 +3,20 @@
 Candidates. A window is a string of ``length`` bytes. Its mark is the least hash of the short strings in
 it, so equal windows have equal marks. Runs of windows with one mark are cut from the text with the bytes
 that the last window needs (a context). Only marks that occur at two places of different texts or of
-one text go on; whole equal texts count once and are known to repeat by that alone.
+one text go on. Equal texts are cut once, equal contexts are one string with the number of places they stand for.
 
 Equal windows also agree in the mark's short string together with half of the other bytes, before or after it;
-contexts that agree with no other in either are left out.
+contexts that stand for one place and agree with no other in either are left out.
 
-Shards. All contexts of a mark go to one shard, equal contexts as one string with its count. A shard
-concatenates whole marks up to ``shard_bytes``, sorts the suffixes by induced sorting (LMS suffixes by
-recursion, the rest by linear induction) and computes the permuted common prefixes. A window repeats if it
-shares ``length`` bytes with a neighbour in the suffix array, or if its whole context occurs more
-than once. Matches end at the ends of contexts, so they never cross documents.
+Shards. All contexts of a mark go to one shard. A shard concatenates whole marks up to ``shard_bytes``, sorts the
+suffixes by induced sorting (LMS suffixes by recursion, the rest by linear induction) and computes the
+permuted common prefixes. A window repeats if its suffix shares ``length`` bytes with a neighbour in the suffix array
+or stands for more than one place. Matches end at the ends of contexts, so they never cross documents.
 
-Contexts of one mark beyond ``mark_bytes`` would be too much for a task; their windows are hashed (128
-bits) and counted one by one in a plain grouping, which finds the same windows.
+Contexts of one mark beyond ``mark_bytes`` would be too much for a task. They are dealt again by the bytes around the mark:
+by the half of the remaining bytes before what they share, and by the half after it, as equal windows agree in
+one of them. Each context is cut to the bytes that windows around the longer shared string can reach. Groups that are
+still too large are dealt again in the same way; when all bytes of a window are shared, the group is that window.
 
 Defined results: null and empty texts have no bytes and keep the hash of the empty string; equal rows are
 places of their own, so both lose what they share; a null id is reported as null; an empty table gives
@@ -31,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.llm.shared import stored
 from tablewright.llm.suffix_sorting import common_prefixes, suffix_array
@@ -48,11 +50,11 @@ def _gram_hashes(text: bytes, gram: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def marks(text: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(mark, first window, number of windows) of each run of windows whose first least hash is in one place."""
+def marks(text: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(mark, first window, number of windows, place of the mark) of each run of windows whose first least hash is in one place."""
     n = len(text)
     if n < length:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return (np.empty(0, np.int64),) * 4
     h = _gram_hashes(text, gram)
     least, width, size = h, length - gram + 1, 1
     while 2 * size <= width:
@@ -62,7 +64,10 @@ def marks(text: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.nd
         least = np.minimum(least[:size - width], least[width - size:])
     # a run ends where the value changes or where the place leaves the window
     new = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (h[:len(least) - 1] == least[:-1])])
-    return least[new].view(np.int64), new, np.diff(np.r_[new, len(least)])
+    place = new + width - 1  # a lower hash came in at the end, or the place is looked for
+    look = np.flatnonzero(np.r_[True, least[new[1:]] >= least[new[1:] - 1]])
+    place[look] = new[look] + np.lib.stride_tricks.sliding_window_view(h, width)[new[look]].argmin(1)
+    return least[new].view(np.int64), new, np.diff(np.r_[new, len(least)]), place
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,8 +75,8 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def repeated(contexts: list[bytes], length: int) -> list[np.ndarray]:
-    """For each context which of its windows share ``length`` bytes with another suffix of the shard."""
+def repeated(contexts: list[bytes], places: list[int], length: int) -> list[np.ndarray]:
+    """For each context which of its windows share ``length`` bytes with another suffix of the shard or stand for several places."""
     sizes = np.array([len(c) for c in contexts])
     t = np.frombuffer(b"\0".join(contexts), np.uint8).astype(np.int32) + 1
     starts = np.cumsum(sizes + 1) - sizes - 1
@@ -81,71 +86,89 @@ def repeated(contexts: list[bytes], length: int) -> list[np.ndarray]:
     hit = shared >= length
     flags = hit.copy()
     flags[before[hit]] = True
-    return [flags[s:s + n - length + 1] for s, n in zip(starts, sizes)]
+    many = np.array(places) > 1
+    return [flags[s:s + n - length + 1] | m for s, n, m in zip(starts, sizes, many)]
+
+
+def _deal(groups: DataFrame, length: int) -> DataFrame:
+    """Rows of a group (g) in the groups by half of the remaining bytes before (a) and after (b) the shared string at ``p``."""
+    rest = F.lit(length) - F.col("a") - F.col("b")
+    half = F.ceil(rest / 2).cast("int")
+    sides = F.array(
+        F.struct(F.lit(0).alias("side"), (F.col("a") + half).alias("a"), F.col("b").alias("b")),
+        F.struct(F.lit(1).alias("side"), F.col("a").alias("a"), (F.col("b") + half).alias("b")))
+    dealt = groups.withColumn("x", F.explode(sides)).where("x.a <= p AND p + x.b <= length(context)")
+    dealt = dealt.withColumn("g", F.expr(
+        "CASE x.side WHEN 0 THEN xxhash64(g, 0, substring(context, p - x.a + 1, x.a - a)) ELSE xxhash64(g, 1, substring(context, p + b + 1, x.b - b)) END"))
+    dealt = dealt.withColumn("a", F.col("x.a")).withColumn("b", F.col("x.b")).drop("x")
+    reach = F.lit(length) - F.col("a") - F.col("b")
+    lo = F.greatest(F.lit(0), F.col("p") - F.col("a") - reach)
+    hi = F.least(F.length("context"), F.col("p") + F.col("b") + reach)
+    dealt = dealt.withColumn("lo", lo).withColumn("context", F.substring("context", lo + 1, hi - lo)).withColumn(
+        "from", F.col("from") + F.col("lo")).withColumn("p", F.col("p") - F.col("lo")).drop("lo")
+    return dealt.where(F.length("context") >= length)
+
+
+def _sized(groups: DataFrame) -> DataFrame:
+    """The rows of groups of several places with the bytes of their group."""
+    size = groups.groupBy("g").agg(F.sum(F.length("context")).alias("bytes"), F.sum("n").alias("places"))
+    return groups.join(size.where("places > 1").drop("places"), "g")
 
 
 def repeated_windows(contexts: DataFrame, length: int, shard_bytes: int, mark_bytes: int) -> DataFrame:
-    """(mark, digest, lo, hi): ranges of repeated windows in each different context (mark, digest, context, n)."""
-    wing, width = (length - GRAM) // 2, length - GRAM + 1
-
-    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The short string of the mark with so many bytes before, and with so many after, as far as there are any."""
-        from xxhash import xxh3_64_intdigest
-
-        for batch in batches:
-            out = ([], [], [], [])
-            for mark, digest, context in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                at = int((_gram_hashes(context, GRAM)[:width].view(np.int64) == mark).argmax())
-                parts = [context[at - wing:at + GRAM] if at >= wing else b"", context[at:at + GRAM + wing]]
-                for side, part in enumerate(parts):
-                    if len(part) == GRAM + wing:
-                        for column, value in zip(out, (mark, digest, side, xxh3_64_intdigest(part) - (1 << 63))):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.binary(), pa.int32(), pa.int64()))], names=["mark", "digest", "side", "x"])
-
-    # equal windows agree in one of these strings: the mark leaves at least so many bytes on one side of it
-    side = contexts.select("mark", "digest", "context").mapInArrow(sides, "mark long, digest binary, side int, x long")
-    shared = side.groupBy("mark", "side", "x").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    near = contexts.join(side.join(shared, ["mark", "side", "x"]).select("mark", "digest").distinct(), ["mark", "digest"], "left_semi")
-    heavy = near.groupBy("mark").agg(F.sum(F.length("context")).alias("bytes"), F.count(F.lit(1)).alias("kinds"))
-    sized = near.join(heavy, "mark")
+    """(mark, digest, lo, hi): ranges of repeated windows in each different context (mark, digest, p, l, r, context, n)."""
+    side = contexts.select("mark", "digest", "n", F.explode(F.array("l", "r")).alias("x")).where("x IS NOT NULL")
+    shared = side.groupBy("mark", "x").agg(F.sum("n").alias("c")).where("c > 1").drop("c")
+    near = side.join(shared, ["mark", "x"]).select("mark", "digest").distinct()
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, held, total, last = [], [], 0, None
+        names, held, places, total, last = [], [], [], 0, None
 
         def done() -> pa.RecordBatch:
             out = ([], [], [], [])
-            for (mark, digest), flags in zip(names, repeated(held, length)):
+            for (mark, digest, start), flags in zip(names, repeated(held, places, length)):
                 lo, hi = _runs(flags)
                 out[0].extend([mark] * len(lo))
                 out[1].extend([digest] * len(lo))
-                out[2].extend(lo.tolist())
-                out[3].extend(hi.tolist())
+                out[2].extend((lo + start).tolist())
+                out[3].extend((hi + start).tolist())
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.binary(), pa.int64(), pa.int64()))], names=["mark", "digest", "lo", "hi"])
 
         for batch in batches:
-            for mark, digest, context in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if mark != last and total >= shard_bytes:
+            for g, mark, digest, n, start, context in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if g != last and total >= shard_bytes:
                     yield done()
-                    names, held, total = [], [], 0
-                last = mark
-                names.append((mark, digest))
+                    names, held, places, total = [], [], [], 0
+                last = g
+                names.append((mark, digest, start))
                 held.append(context)
+                places.append(n)
                 total += len(context)
         if held:
             yield done()
 
-    whole = contexts.where("n > 1").select("mark", "digest", F.lit(0).cast("long").alias("lo"), (F.length("context") - length + 1).cast("long").alias("hi"))
-    sorted_ = sized.where((F.col("kinds") > 1) & (F.col("bytes") <= mark_bytes)).select("mark", "digest", "context").repartition(
-        "mark").sortWithinPartitions("mark").mapInArrow(shards, "mark long, digest binary, lo long, hi long")
-    window = sized.where(F.col("bytes") > mark_bytes).select("mark", "digest", "context", F.explode(
-        F.sequence(F.lit(0), F.length("context") - length)).alias("i")).select(
-        "mark", "digest", F.col("i").cast("long").alias("lo"), F.md5(F.expr(f"substring(context, i + 1, {length})")).alias("w"))
-    many = window.groupBy("w").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("w")
-    single = window.join(many, "w").select("mark", "digest", "lo", (F.col("lo") + 1).alias("hi"))
-    return whole.union(sorted_).union(single)
+    groups = contexts.join(near, ["mark", "digest"], "left_semi").select(
+        F.col("mark").alias("g"), "mark", "digest", "n", F.lit(0).alias("from"), "context", "p", F.lit(0).alias("a"), F.lit(GRAM).alias("b"))
+    equal = None
+    if not contexts.groupBy("mark").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > mark_bytes).isEmpty():
+        left, ready = stored(_sized(groups), "groups"), []
+        for _ in range(length.bit_length() + 1):
+            ready.append(left.where(F.col("bytes") <= mark_bytes))
+            large = left.where(F.col("bytes") > mark_bytes)
+            whole = large.where(F.col("a") + F.col("b") == length)
+            start = (F.col("from") + F.col("p") - F.col("a")).cast("long")
+            whole = whole.select("mark", "digest", start.alias("lo"), (start + 1).alias("hi"))
+            equal = whole if equal is None else equal.union(whole)
+            left = stored(_sized(_deal(large.where(F.col("a") + F.col("b") < length).drop("bytes"), length)), "groups")
+            if left.isEmpty():
+                break
+        groups = ready[0]
+        for more in ready[1:]:
+            groups = groups.union(more)
+    out = groups.select("g", "mark", "digest", "n", "from", "context").repartition("g").sortWithinPartitions("g").mapInArrow(
+        shards, "mark long, digest binary, lo long, hi long")
+    return out if equal is None else out.union(equal)
 
 
 def remove_repeats(
@@ -153,69 +176,70 @@ def remove_repeats(
     mark_bytes: int = 32_000_000, with_text: bool = True,
 ) -> DataFrame:
     """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, the kept bytes."""
+    key = ["k1", "k2"]  # 128 bits tell texts apart
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id).alias("id"), body.alias("t")).withColumn("tk", F.xxhash64("t")).withColumn("n", F.length("t"))
-    ids = rows.select("id", "tk", "n")
+    rows = docs.select(F.col(id).alias("id"), body.alias("t")).withColumn("k1", F.xxhash64("t")).withColumn(
+        "k2", F.xxhash64(F.lit(1), F.md5("t"))).withColumn("n", F.length("t"))
+    long_ = rows.where(F.col("n") >= length)
+
+    def _batch(parts: list) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c.astype(t)) for c, t in zip(columns, (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32))],
+            names=["k1", "k2", "mark", "s", "m", "p"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for tk, n, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                found = marks(value.as_py(), length)
-                parts.append((np.full(len(found[0]), tk), np.full(len(found[0]), n), *found))
-                if sum(len(p[0]) for p in parts[-64:]) > 200_000 or len(parts) >= 512:
+            parts, held = [], 0
+            for k1, k2, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                mark, s, m, place = marks(value.as_py(), length)
+                parts.append((np.full(len(mark), k1), np.full(len(mark), k2), mark, s, m, place - s))
+                held += len(mark)
+                if held > 200_000:
                     yield _batch(parts)
-                    parts = []
+                    parts, held = [], 0
             if parts:
                 yield _batch(parts)
 
-    def _batch(parts: list) -> pa.RecordBatch:
-        columns = [np.concatenate(c) for c in zip(*parts)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[i].astype(t)) for i, t in enumerate((np.int64, np.int32, np.int64, np.int32, np.int32))], names=["tk", "n", "mark", "s", "m"])
-
-    long_ = rows.where(F.col("n") >= length)
-    found = long_.select("tk", "n", "t").mapInArrow(find, "tk long, n int, mark long, s int, m int")
-    place = F.xxhash64("tk", "n", "s")
-    often = found.groupBy("mark").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("mark")
-    flagged = found.join(often, "mark").groupBy("tk", "n").agg(F.collect_set(F.struct("mark", "s", "m")).alias("marks"))
-    classes = ids.groupBy("tk", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    chosen = stored(
-        long_.join(flagged.join(classes, ["tk", "n"]), ["tk", "n"]).where(F.col("id").eqNullSafe(F.col("rep")))
-        .dropDuplicates(["tk", "n"]).select("tk", "n", "copies", "marks", "t"), "repeats")
-    # a text that stands in several rows loses everything; its contexts still count against other texts
-    contexts = chosen.select("tk", "n", "copies", "t", F.explode("marks").alias("x")).select(
-        "tk", "n", "copies", "x.mark", "x.s", F.expr(f"substring(t, x.s + 1, x.m + {length - 1})").alias("context"))
-    contexts = contexts.withColumn("digest", F.unhex(F.md5("context")))
-    kinds = stored(contexts.groupBy("mark", "digest").agg(F.first("context").alias("context"), F.sum("copies").alias("n")), "contexts")
+    found = long_.select(*key, "t").mapInArrow(find, "k1 long, k2 long, mark long, s int, m int, p int")
+    place = F.xxhash64(*key, "s")
+    often = found.groupBy("mark").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("c")).where("a <> b OR c > 1").select("mark")
+    flagged = found.join(often, "mark").groupBy(*key).agg(F.collect_set(F.struct("mark", "s", "m", "p")).alias("marks"))
+    classes = rows.where(F.col("n") >= length).groupBy(*key).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    wing = (length - GRAM) // 2
+    # rows that share id and text stand twice here, which changes no decision: their contexts have several places anyhow
+    cut_out = long_.join(flagged.join(classes, key), key).where(F.col("id").eqNullSafe(F.col("rep"))).select(
+        *key, "copies", "t", F.explode("marks").alias("x")).select(
+        *key, "copies", "x.mark", "x.s", "x.p", F.expr(f"substring(t, x.s + 1, x.m + {length - 1})").alias("context"))
+    contexts = stored(cut_out.withColumn("digest", F.unhex(F.md5("context"))), "contexts")
+    kinds = contexts.groupBy("mark", "digest").agg(
+        F.sum("copies").alias("n"), F.first("p").alias("p"), F.first(F.length("context")).alias("size"),
+        F.first(F.expr(f"CASE WHEN p >= {wing} THEN xxhash64(0, substring(context, p - {wing} + 1, {wing + GRAM})) END")).alias("l"),
+        F.first(F.expr(f"CASE WHEN p + {GRAM + wing} <= length(context) THEN xxhash64(1, substring(context, p + 1, {GRAM + wing})) END")).alias("r"),
+        F.first("context").alias("context"))
     ranges = repeated_windows(kinds, length, shard_bytes, mark_bytes)
-    spans = contexts.select("tk", "n", "mark", "s", "digest").join(ranges, ["mark", "digest"]).groupBy("tk", "n").agg(
-        F.collect_list(F.struct((F.col("s") + F.col("lo")).alias("lo"), (F.col("s") + F.col("hi")).alias("hi"))).alias("windows"))
+    spans = contexts.select(*key, "mark", "s", "digest").join(ranges, ["mark", "digest"]).groupBy(*key).agg(
+        F.collect_set(F.struct((F.col("s") + F.col("lo")).alias("lo"), (F.col("s") + F.col("hi")).alias("hi"))).alias("windows"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = ([], [], [], [], [], [])
-            for tk, n, text_, windows in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                gone = np.zeros(n + 1, np.int64)
-                for w in windows:
-                    gone[w["lo"]] += 1
-                    gone[w["hi"] + length - 1] -= 1
-                gone = np.cumsum(gone[:-1]) > 0
-                kept = np.frombuffer(text_, np.uint8)[~gone].tobytes()
-                for column, value in zip(out, (tk, n, int(gone.sum()), len(_runs(gone)[0]), hashlib.sha256(kept).hexdigest(), kept if with_text else None)):
-                    column.append(value)
+            out = ([], [], [], [], [])
+            for value, windows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                kept, removed, n_spans = value, 0, 0
+                if windows:
+                    edge = np.zeros(len(value) + 1, np.int64)
+                    np.add.at(edge, [w["lo"] for w in windows], 1)
+                    np.add.at(edge, [w["hi"] + length - 1 for w in windows], -1)
+                    gone = np.cumsum(edge[:-1]) > 0
+                    kept, removed, n_spans = np.frombuffer(value, np.uint8)[~gone].tobytes(), int(gone.sum()), len(_runs(gone)[0])
+                for column, x in zip(out, (len(value), removed, n_spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None)):
+                    column.append(x)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.binary()))],
-                names=["tk", "n", "n_removed", "n_spans", "sha", "kept"])
-
-    done = chosen.where("copies = 1").select("tk", "n", "t").join(spans, ["tk", "n"]).select("tk", "n", "t", "windows").mapInArrow(
-        cut, "tk long, n int, n_removed long, n_spans long, sha string, kept binary")
-    plain = rows.select("id", "tk", "n", F.sha2("t", 256).alias("own_sha"), *([F.col("t").alias("own")] if with_text else []))
-    copied = classes.where((F.col("copies") > 1) & (F.col("n") >= length)).select("tk", "n", F.lit(True).alias("copied"))
-    gone = F.col("copied").isNotNull()  # every window of a whole copy stands elsewhere
-    return plain.join(done, ["tk", "n"], "left").join(copied, ["tk", "n"], "left").select(
-        F.col("id").alias(id), F.col("n").cast("long").alias("n_bytes"), F.when(gone, F.col("n")).otherwise(
-            F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(gone, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(gone, hashlib.sha256(b"").hexdigest()).otherwise(F.coalesce("sha", "own_sha")).alias("kept_sha256"),
-        *([F.when(gone, F.lit(b"")).otherwise(F.coalesce("kept", "own")).alias("kept")] if with_text else []))
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())))], schema_names)
+
+    schema_names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType)]
+                          + [T.StructField(c, T.LongType()) for c in schema_names[1:4]]
+                          + [T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())])
+    done = rows.join(spans, key, "left").select("id", "t", "windows").mapInArrow(cut, schema)
+    return done.select(F.col("id").alias(id), *schema_names[1:5 + with_text])

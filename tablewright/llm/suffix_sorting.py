@@ -19,27 +19,23 @@ def _types(t: np.ndarray) -> np.ndarray:
     return sign[np.minimum.accumulate(at[::-1])[::-1]] > 0
 
 
-def _ranks(d: np.ndarray, narrow: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each entry how many equal ones come before it; the different values and their counts."""
-    order = np.argsort(d.astype(np.uint16) if narrow else d, kind="stable")
+def _dealt(d: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``j`` by letter ``d``, in its order within a letter; the place within the letter; the letters and their counts."""
+    order = np.argsort(d, kind="stable")
     ordered = d[order]
-    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    count = np.diff(np.r_[first, len(d)])
-    rank = np.empty(len(d), np.int64)
-    rank[order] = np.arange(len(d)) - np.repeat(first, count)
-    return rank, ordered[first], count
+    first = np.concatenate(([0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1))
+    count = np.diff(first, append=len(d))
+    return j[order], np.arange(len(d)) - np.repeat(first, count), ordered[first], count
 
 
 def _induce(t: np.ndarray, smaller: np.ndarray, sizes: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """All suffixes, induced from LMS suffixes that are in order within each first letter."""
-    n, ends, narrow = len(t), np.cumsum(sizes), len(sizes) <= 1 << 16
-    sa = np.full(n, -1, np.int64)
+    n, ends = len(t), np.cumsum(sizes)
+    letter = t.astype(np.uint16 if len(sizes) <= 1 << 16 else np.int32)
+    sa = np.full(n, -1, np.int32 if n < 1 << 31 else np.int64)
     if len(lms):
-        letters = t[lms]
-        rank, values, count = _ranks(letters, narrow)
-        held = np.zeros(len(sizes), np.int64)
-        held[values] = count
-        sa[ends[letters] - held[letters] + rank] = lms
+        j, place, values, count = _dealt(letter[lms], lms)
+        sa[np.repeat(ends[values] - count, count) + place] = j
     head = ends - sizes
     sa[head[t[-1]]] = n - 1
     head[t[-1]] += 1
@@ -50,19 +46,18 @@ def _induce(t: np.ndarray, smaller: np.ndarray, sizes: np.ndarray, lms: np.ndarr
         src = np.flatnonzero(seg > 0)
         j = seg[src] - 1
         ok = ~smaller[j]
-        src, j = src[ok], j[ok]
+        j = j[ok]
         if len(j):
-            d = t[j]
-            rank, values, count = _ranks(d, narrow)
-            target = head[d] + rank
-            inside = target[target < stop]
-            if len(inside):
-                stop = int(inside.min())
-                ok = src + at < stop
-                j, d, target = j[ok], d[ok], target[ok]
-                _, values, count = _ranks(d, narrow) if len(d) else (None, values[:0], count[:0])
-            sa[target] = j
-            head[values] += count
+            d = letter[j]
+            first = int(head[d].min())
+            if first < stop:
+                stop = first
+                ok = src[ok] + at < stop
+                j, d = j[ok], d[ok]
+            if len(j):
+                j, place, values, count = _dealt(d, j)
+                sa[np.repeat(head[values], count) + place] = j
+                head[values] += count
         step = min(1 << 16, step * 2) if stop - at == step else max(64, step // 2) if stop - at < step // 4 else step
         at = stop
     tail, at, step = ends.copy(), n, 4096
@@ -72,19 +67,18 @@ def _induce(t: np.ndarray, smaller: np.ndarray, sizes: np.ndarray, lms: np.ndarr
         src = np.flatnonzero(seg > 0)
         j = seg[src] - 1
         ok = smaller[j]
-        src, j = src[ok], j[ok]
+        j = j[ok]
         if len(j):
-            d = t[j]
-            rank, values, count = _ranks(d, narrow)
-            target = tail[d] - 1 - rank
-            inside = target[target >= stop]
-            if len(inside):
-                stop = int(inside.max()) + 1
-                ok = at - 1 - src >= stop
-                j, d, target = j[ok], d[ok], target[ok]
-                _, values, count = _ranks(d, narrow) if len(d) else (None, values[:0], count[:0])
-            sa[target] = j
-            tail[values] -= count
+            d = letter[j]
+            last = int(tail[d].max()) - 1
+            if last >= stop:
+                stop = last + 1
+                ok = at - 1 - src[ok] >= stop
+                j, d = j[ok], d[ok]
+            if len(j):
+                j, place, values, count = _dealt(d, j)
+                sa[np.repeat(tail[values] - 1, count) - place] = j
+                tail[values] -= count
         step = min(1 << 16, step * 2) if at - stop == step else max(64, step // 2) if at - stop < step // 4 else step
         at = stop
     return sa

@@ -120,6 +120,17 @@ def test_repeats_edges(edges, empty):
     assert remove_repeats(empty).count() == 0
 
 
+def test_repeats_of_a_very_common_passage(spark):
+    """One mark in more contexts than a shard may hold: they are dealt again by the bytes around it, down to whole windows."""
+    rng = np.random.default_rng(9)
+    passage = "".join(rng.choice(list("abcdefghij "), 210))
+    texts = ["".join(rng.choice(list("klmnop "), 150)) + passage + "".join(rng.choice(list("qrstuv "), 150)) for _ in range(60)]
+    texts += [passage[:199], passage[:200], passage[5:205], texts[0], texts[0]]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+           for r in remove_repeats(frame(spark, texts), mark_bytes=300, with_text=False).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_removed(texts, 200)
+
+
 def test_suffix_sorting():
     rng = np.random.default_rng(1)
     for n, letters in [(1, 1), (2, 1), (50, 1), (200, 2), (300, 3), (3000, 2), (5000, 200)]:
