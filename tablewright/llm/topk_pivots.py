@@ -10,7 +10,8 @@ within r, the triangle inequality allows better ones only at distances d - r to
 * Queries are put in blocks the same way; a pair of a query block and a ring that no query of the
   block can reach is never formed. The join runs on the pivot, with the ring limits as filter.
 * Pairs of a query block are worked off nearest ring first; r shrinks with what was found, and rings
-  out of reach by then are skipped. Rings of a pivot are dealt over ``lanes`` tasks per query block.
+  out of reach by then are skipped. Rings of a pivot are dealt over ``lanes`` tasks per query block. The vectors of a
+  block travel once per lane, those of a ring once per block in reach, in the narrowest integers that hold them.
 
 All vectors are indexed and the result is exact. Only the sample, and the largest length and norm,
 reach the driver; blocks have a fixed number of rows whatever the number of equal vectors, as ties
@@ -18,8 +19,9 @@ in distance are cut by id.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; shorter vectors
 count as filled up with zeros; equal scores rank by smaller id; rows of a query's own id are no candidates;
-a repeated id is a candidate per row; with fewer than k candidates all are returned; an empty table
-gives an empty table; further columns are not read. Products must be below 2^53.
+a repeated id is a candidate per row and a query per row, each query row with ranks of its own (equal query rows give
+equal rows); with fewer than k candidates all are returned; an empty table
+gives an empty table; further columns are not read. Components must be integers, products below 2^53.
 """
 
 from __future__ import annotations
@@ -52,6 +54,11 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
+def narrowest(largest: float) -> np.dtype:
+    """The smallest type for integers of at most that absolute value."""
+    return np.dtype(np.int8 if largest < 2 ** 7 else np.int16 if largest < 2 ** 15 else np.int32 if largest < 2 ** 31 else np.float64)
+
+
 def _lifted(x: np.ndarray, norm: float) -> np.ndarray:
     return np.c_[x, np.sqrt(np.maximum(norm - (x * x).sum(1), 0))]
 
@@ -71,14 +78,17 @@ def choose_pivots(sample: np.ndarray, pivots: int, rounds: int = 5) -> np.ndarra
 
 def top_k(
     points: DataFrame, queries: DataFrame, k: int = 20, *, pivots: int = 32, sample: int = 2048, ring_rows: int = 4096,
-    query_rows: int = 512, lanes: int = 16,
+    query_rows: int = 2048, lanes: int = 16,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) from two tables of (id, vec)."""
     spark = points.sparkSession
     square = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v)
-    dim, norm = points.agg(F.max(F.size("vec")), F.max(square)).first()
+    largest = F.aggregate("vec", F.lit(0.0), lambda a, v: F.greatest(a, F.abs(v)))
+    dim, norm, most = points.agg(F.max(F.size("vec")), F.max(square), F.max(largest)).first()
     if dim is None:
         return spark.createDataFrame([], RESULT)
+    most = max(most, queries.agg(F.max(largest)).first()[0] or 0.0)
+    kind = narrowest(most)
     taken = points.orderBy(F.xxhash64("id", "vec"), "id").limit(sample).collect()
     known_ids = np.array([r["id"] for r in taken])
     known = np.zeros((len(taken), dim))
@@ -94,7 +104,7 @@ def top_k(
                 d = _distances(np.c_[x, np.zeros(len(x))] if is_query else _lifted(x, norm), centres)
                 near = d.argmin(1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(x)), near]), pa.array([r.tobytes() for r in x], pa.binary())],
+                    [batch.column(0), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(x)), near]), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())],
                     names=["id", "pivot", "d", "vec"])
         return run
 
@@ -123,14 +133,14 @@ def top_k(
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, ids, _, vecs in blocks(batches, query_rows, False):
-            x = np.frombuffer(b"".join(vecs)).reshape(len(ids), dim)
+            x = np.frombuffer(b"".join(vecs), kind).reshape(len(ids), dim).astype(float)
             score = x @ known.T
             score[np.array(ids)[:, None] == known_ids[None, :]] = -np.inf
             floor = np.full(len(ids), -np.inf) if len(known) < k else np.partition(score, -k, axis=1)[:, -k]
             d = _distances(np.c_[x, np.zeros(len(x))], centres)
             r = np.sqrt(np.maximum((x * x).sum(1) + norm - 2 * floor, 0)) + slack
             yield pa.RecordBatch.from_pydict({
-                "ids": [np.array(ids).tobytes()], "vecs": [x.tobytes()], "floor": [floor.tobytes()],
+                "ids": [np.array(ids).tobytes()], "vecs": [b"".join(vecs)], "floor": [floor.tobytes()],
                 "lo": pa.array([(d - r[:, None]).min(0).tolist()], pa.list_(pa.float64())), "hi": pa.array([(d + r[:, None]).max(0).tolist()], pa.list_(pa.float64())),
                 "mid": pa.array([d.mean(0).tolist()], pa.list_(pa.float64()))})
 
@@ -143,9 +153,12 @@ def top_k(
     pairs = reach.join(ring.select("ring", "pivot", "dmin", "dmax"), "pivot").where("dmax >= lo AND dmin <= hi").select(
         "ask", "ring", (F.col("ring") % lanes).alias("lane"),
         F.greatest(F.col("dmin") - F.col("mid"), F.col("mid") - F.col("dmax"), F.lit(0.0)).alias("gap"))
-    work = pairs.join(ring.select("ring", "pivot", "dmin", "dmax", F.col("ids").alias("r_ids"), F.col("vecs").alias("r_vecs")), "ring").join(
-        ask.select("ask", "ids", "vecs", "floor"), "ask").select(
-        "ask", "lane", "gap", "pivot", "dmin", "dmax", "r_ids", "r_vecs", "ids", "vecs", "floor")
+    # per block and lane one row with the queries, which sorts first, and one row per ring
+    nothing = F.lit(None)
+    heads = pairs.select("ask", "lane").distinct().join(ask.select("ask", "ids", "vecs", "floor"), "ask").select(
+        "ask", "lane", F.lit(-1.0).alias("gap"), F.lit(-1).alias("pivot"), nothing.cast("double").alias("dmin"), nothing.cast("double").alias("dmax"), "ids", "vecs", "floor")
+    work = heads.unionByName(pairs.join(ring.select("ring", "pivot", "dmin", "dmax", "ids", "vecs"), "ring").select(
+        "ask", "lane", "gap", "pivot", "dmin", "dmax", "ids", "vecs", nothing.cast("binary").alias("floor")))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, state = None, None
@@ -167,35 +180,37 @@ def top_k(
                 best()
                 q, i, s = state["found"][0]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(state["ids"][q]), pa.array(i), pa.array(s.astype(np.int64))], names=["query_id", "vec_id", "score"])
+                    [pa.array(np.full(len(q), group[0])), pa.array(q), pa.array(state["ids"][q]), pa.array(i), pa.array(s.astype(np.int64))],
+                    names=["ask", "row", "query_id", "vec_id", "score"])
 
         for batch in batches:
             for row in range(batch.num_rows):
-                ask_, lane, _, p, dmin, dmax, r_ids, r_vecs, ids, vecs, floor = (batch.column(c)[row].as_py() for c in range(11))
+                ask_, lane, _, p, dmin, dmax, ids, vecs, floor = (batch.column(c)[row].as_py() for c in range(9))
+                ids = np.frombuffer(ids, np.int64)
+                x = np.frombuffer(vecs, kind).reshape(len(ids), dim).astype(float)
                 if (ask_, lane) != group:
                     yield from out()
-                    group, ids = (ask_, lane), np.frombuffer(ids, np.int64)
-                    x = np.frombuffer(vecs).reshape(len(ids), dim)
+                    group = ask_, lane
                     state = {"ids": ids, "x": x, "floor": np.frombuffer(floor).copy(), "found": [], "n": 0,
                              "d": _distances(np.c_[x, np.zeros(len(x))], centres), "size": (x * x).sum(1) + norm}
+                    continue
                 r = np.sqrt(np.maximum(state["size"] - 2 * state["floor"], 0)) + slack
                 d = state["d"][:, p]
                 near = np.flatnonzero((d - r <= dmax) & (d + r >= dmin))
                 if not len(near):
                     continue
-                other = np.frombuffer(r_ids, np.int64)
-                score = state["x"][near] @ np.frombuffer(r_vecs).reshape(len(other), dim).T
+                score = state["x"][near] @ x.T
                 a, b = np.nonzero(score >= state["floor"][near][:, None])
-                ok = state["ids"][near[a]] != other[b]
+                ok = state["ids"][near[a]] != ids[b]
                 a, b = a[ok], b[ok]
                 if len(a):
-                    state["found"].append((near[a], other[b], score[a, b]))
+                    state["found"].append((near[a], ids[b], score[a, b]))
                     state["n"] += len(a)
                     if state["n"] > 8 * k * len(state["ids"]):
                         best()
         yield from out()
 
     found = work.repartition("ask", "lane").sortWithinPartitions("ask", "lane", "gap").mapInArrow(
-        search, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        search, "ask long, row long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("ask", "row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
