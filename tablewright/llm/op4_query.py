@@ -24,7 +24,7 @@ covered AS (SELECT doc_id, sum(least(8, coalesce(step, 8))) AS n FROM starts GRO
 signs AS (
   SELECT doc_id, regexp_matches(t, '[!?#*$%&~^=_<>]{{2,}}') AS runs, regexp_matches(t, '[|»«•›‹→]') AS bars,
     ({_FURNITURE.format('t')}) AS furniture,
-    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) >= 3 AS stutter FROM base),
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) >= 2 AS stutter FROM base),
 line AS (
   SELECT doc_id, j, l, list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
     regexp_replace(l, '[\x20\x09-\x0D]', '', 'g') AS c,

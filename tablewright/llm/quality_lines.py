@@ -15,8 +15,8 @@ Everything is column expressions on one row: no shuffle, so no key can be hot, a
 row is linear in its text (n log n where windows repeat).
 
 Defined results: null and empty texts have no words, fail the base rules and are not kept; equal
-rows get equal verdicts; an empty table gives an empty table; further columns pass through, and
-only a column called like ``into`` is replaced.
+rows get equal verdicts; an empty table gives an empty table; further columns pass through, whatever
+their names, and only a column called like ``into`` is replaced.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm.shared import quoted, unused
+
 #: White space of the word rule.
 BLANKS = " \t\n\x0b\f\r"
 SPLIT = "[\\x20\\x09-\\x0D]+"
@@ -82,14 +84,18 @@ def _same_as_before(words: Column) -> Column:
 
 
 def _signs(text: Column, hashed: Column) -> Column:
-    """What a whole text holds of the signs that the dearer line rules look for; most texts hold none."""
+    """What a whole text holds of the signs that the dearer line rules look for; most texts hold none.
+
+    Each is necessary for its rule, so a line is judged alike in every text: a line of four words of which half repeat
+    the word before holds two repeats.
+    """
     lower = F.lower(text)
     furniture = F.lit(False)
     for phrase in BOILERPLATE:
         furniture = furniture | lower.contains(phrase)
     return F.struct(
         text.rlike(RUNS).alias("runs"), (F.length(_stripped(text, BARS)) < F.length(text)).alias("bars"),
-        furniture.alias("furniture"), (_same_as_before(hashed) >= 3).alias("stutter"),
+        furniture.alias("furniture"), (_same_as_before(hashed) >= 2).alias("stutter"),
     )
 
 
@@ -115,7 +121,10 @@ def quality_rules(
     min_line_words: int = 5, run_share: float = 0.3, min_kept_share: float = 0.5,
 ) -> DataFrame:
     """The rows with a struct ``into``: the counts, ``base_failed``, ``kept`` and the cleaned ``text``."""
-    t, made = "__q_text", "__q_%s"
+    stem = "__q_"
+    while any(c.lower().startswith(stem) for c in docs.columns):
+        stem += "_"
+    t, made = stem + "text", stem + "%s"
     df = docs.withColumn(t, F.coalesce(F.col(text), F.lit("")))
     df = df.withColumn(made % "words", words_of(F.col(t))).withColumn(made % "lines", F.split(F.col(t), "\n"))
     df = df.withColumn(made % "real", F.filter(F.col(made % "lines"), lambda x: F.length(_stripped(x, BLANKS)) > 0))
@@ -145,10 +154,10 @@ def quality_rules(
         F.size(F.filter(made % "bad", lambda x: x)).cast("long").alias("n_lines_removed"),
         F.col(made % "stay_chars").alias("kept_chars"), F.array_join(made % "stay", "\n").alias("text"),
     ))
-    return df.drop(*[c for c in df.columns if c.startswith("__q_")])
+    return df.select(*[F.col(quoted(c)) for c in docs.columns if c.lower() != into.lower()], into)
 
 
 def kept_only(judged: DataFrame, into: str = "quality") -> DataFrame:
     """The rows that stay. The row number holds the filter above the rules: pushed below, it would repeat them all."""
-    pinned = judged.withColumn("__q_row", F.monotonically_increasing_id())
-    return pinned.where(F.col(into)["kept"] & (F.col("__q_row") >= 0)).drop("__q_row")
+    row = unused(judged, "__q_row")
+    return judged.withColumn(row, F.monotonically_increasing_id()).where(F.col(into)["kept"] & (F.col(row) >= 0)).drop(row)

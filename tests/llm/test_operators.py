@@ -225,6 +225,23 @@ def test_top_k_matches_brute_force(spark, n, k):
     assert {q: sorted(r) for q, r in got.items()} == want
 
 
+def test_top_k_ranks_per_query_row(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(-300, 300, size=(60, 4)).astype(float)
+    x[7, 0] = 40000  # needs wider integers
+    ids = [i % 40 for i in range(60)]  # ids 0 to 19 are held twice, by different vectors
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)] + [(20, x[20].tolist())], "id long, vec array<double>")
+    got = Counter((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in top_k(
+        points, points.where("id % 20 = 0"), 7, pivots=3, sample=20, ring_rows=8, query_rows=2, lanes=2).collect())
+    ids, x = [*ids, 20], np.vstack([x, x[20]])
+    want = Counter()
+    for q in range(61):
+        if ids[q] % 20 == 0:
+            best = sorted((-int(x[q] @ x[i]), ids[i]) for i in range(61) if ids[i] != ids[q])[:7]
+            want.update((ids[q], rank, i, -s) for rank, (s, i) in enumerate(best, 1))
+    assert got == want
+
+
 def test_quality_rules_edges(edges, empty):
     rows = quality_rules(edges).select("doc_id", "kept", "quality").collect()
     by_id = {r["doc_id"]: r["quality"] for r in rows}
@@ -244,6 +261,17 @@ def test_quality_rules_drop_lines(spark):
     assert row["n_lines_removed"] == 3
 
 
+def test_quality_rules_judge_a_line_alike_in_every_text(spark):
+    good = "This is a line of plain prose that ends as it should, with some words in it."
+    more = "Here stands another sentence of the same kind, made of quite different words, as texts have."
+    texts = [f"{good}\nWow! no no no\n{more}", f"{good}\nWow! no no no\n{more} Very very good."]
+    rows = [(i, t, "mine") for i, t in enumerate(texts)]
+    out = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, __q_words string"))
+    assert out.columns == ["doc_id", "text", "__q_words", "quality"]
+    assert all(r["__q_words"] == "mine" and "Wow" not in r["quality"]["text"] and r["quality"]["kept"] for r in out.collect())
+    assert kept_only(out).columns == out.columns
+
+
 def test_secrets(spark, empty):
     live, shared = "k9Qz7Lm2Xw8Rt4Vb", "aB3dE5gH7jK9mN1p"
     texts = [f"é password = '{live}' end", f"token:{shared}", f"x token:{shared}", f"TOKEN={shared}", None, "", "api_key=short",
@@ -305,6 +333,32 @@ def test_shards(spark, edges, empty):
     assert shard(edges, limit=10 ** 9).select("shard").distinct().count() == 1 and shard(empty).count() == 0
 
 
+def test_shards_of_a_hot_key(spark):
+    """Rows of one key fill their parts, a row above the limit stands alone, columns of the input keep their names."""
+    rows = [(7, "z" * 10, i) for i in range(1000)] + [(7, "z" * 400, -1), (7, "z" * 500, -2)] + [(i, "x" * 9, i) for i in range(50, 550)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __h long").repartition(5)
+    out = shard(docs, limit=300)
+    assert out.columns == ["doc_id", "text", "__h", "shard_depth", "shard_part", "shard_bytes", "shard"]
+    got = out.collect()
+    assert sorted((r[0], r[1], r[2]) for r in got) == sorted(rows)
+    held = Counter()
+    for r in got:
+        held[r["shard"]] += len(r["text"])
+    assert all(held[r["shard"]] == r["shard_bytes"] for r in got)
+    assert sorted(r["__h"] for r in got if held[r["shard"]] > 300) == [-2, -1]
+    assert all(r["shard_part"] < 0 for r in got if r["__h"] < 0)
+    parts = {r["shard"] for r in got if r["doc_id"] == 7 and r["__h"] >= 0}
+    assert 1000 * 10 / 300 <= len(parts) <= 3 * 1000 * 10 / 300
+    one = shard(spark.createDataFrame([(1, "a" * 10)] * 50 + [(1, "a" * 101)], "doc_id long, text string"), limit=100)
+    assert one.select("shard").distinct().count() <= 12
+
+
+def test_shard_names_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a", "old", 3)], "doc_id long, text string, Shard string, `a.b` int")
+    row = shard(docs, limit=10).first()
+    assert row["shard"] == "" and row["a.b"] == 3 and row["shard_bytes"] == 1
+
+
 def test_mixing(spark, edges, empty):
     rng = np.random.default_rng(0)
     rows = [(i, "w " * int(rng.integers(1, 40)), "a" if i % 3 else "b", f"s{min(int(rng.geometric(0.3)), 5)}") for i in range(3000)]
