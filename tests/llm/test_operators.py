@@ -452,6 +452,24 @@ def test_spaced_runs_are_cut_into_words_and_other_scripts_restored(spark):
     assert decode("д-у-р-а-к", flat) == "дурак"
 
 
+def test_long_known_words_are_cut_out_of_spaced_runs():
+    from tablewright.llm.toxicity import by_beginning, segment
+
+    flat = np.full((SIZE, SIZE, SIZE), 5.0)
+    word = "donaudampfschifffahrtsgesellschaft"
+    known = {word: 3.0, "you": 1.0, "are": 1.0}
+    assert segment(f"youare{word}you", flat, known, by_beginning(known)) == ["you", "are", word, "you"]
+
+
+def test_the_largest_of_conflicting_labels_holds(spark):
+    texts = ["river stone" if i % 2 else "river moron" for i in range(60)]
+    labels = [(i, int(i % 2 == 0)) for i in range(60)]
+    both = spark.createDataFrame(labels + [(i, 0) for i in range(60)], "doc_id long, label int")
+    want = score_toxicity(frame(spark, texts), spark.createDataFrame(labels, "doc_id long, label int")).collect()
+    got = score_toxicity(frame(spark, texts), both).collect()
+    assert {r["doc_id"]: round(r["score"], 9) for r in got} == {r["doc_id"]: round(r["score"], 9) for r in want}
+
+
 def test_pipeline_stages(spark, data):
     import corpus_pipeline
 
