@@ -23,8 +23,7 @@ starts AS (
 covered AS (SELECT doc_id, sum(least(8, coalesce(step, 8))) AS n FROM starts GROUP BY doc_id),
 signs AS (
   SELECT doc_id, regexp_matches(t, '[!?#*$%&~^=_<>]{{2,}}') AS runs, regexp_matches(t, '[|»«•›‹→]') AS bars,
-    ({_FURNITURE.format('t')}) AS furniture,
-    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) >= 2 AS stutter FROM base),
+    ({_FURNITURE.format('t')}) AS furniture FROM base),
 line AS (
   SELECT doc_id, j, l, list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
     regexp_replace(l, '[\x20\x09-\x0D]', '', 'g') AS c,
@@ -37,7 +36,7 @@ judged AS (
     OR (s.runs AND line.runs >= 3 AND line.runs >= 0.3 * len(w))
     OR (s.bars AND line.bars >= 3 AND 4 * line.bars >= len(w))
     OR (s.furniture AND ({_FURNITURE.format('l')}) AND len(w) <= 40)
-    OR (s.stutter AND len(w) >= 4 AND 2 * len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) >= len(w)) AS bad
+    OR (len(w) >= 4 AND 2 * len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) >= len(w)) AS bad
   FROM line JOIN signs s USING (doc_id) WHERE length(c) > 0),
 per_doc AS (
   SELECT doc_id, sum(n_chars) AS all_chars, coalesce(sum(n_chars) FILTER (NOT bad), 0) AS stay_chars,

@@ -83,11 +83,20 @@ def _same_as_before(words: Column) -> Column:
         F.filter(w, lambda x, i: F.coalesce(x == F.get(w, i - 1), F.lit(False))))), F.lit(0))
 
 
+def _close_repeats(words: Column) -> Column:
+    """Whether two words that equal the word before them are neighbours or have one word between: ``a a a``, ``a a b b``."""
+    def close(w: Column) -> Column:
+        return F.size(F.filter(w, lambda x, i: F.coalesce(x == F.get(w, i - 1), F.lit(False)) & (
+            (x == F.get(w, i + 1)) | (F.get(w, i + 1) == F.get(w, i + 2))))) > 0
+
+    return F.get(F.transform(F.array(words), close), F.lit(0))
+
+
 def _signs(text: Column, hashed: Column) -> Column:
     """What a whole text holds of the signs that the dearer line rules look for; most texts hold none.
 
-    Each is necessary for its rule, so a line is judged alike in every text: a line of four words of which half repeat
-    the word before holds two repeats.
+    Each is necessary for its rule, so a line is judged alike in every text: where half of four or more words repeat the
+    word before, two of these repeats are at most two words apart.
     """
     lower = F.lower(text)
     furniture = F.lit(False)
@@ -95,7 +104,7 @@ def _signs(text: Column, hashed: Column) -> Column:
         furniture = furniture | lower.contains(phrase)
     return F.struct(
         text.rlike(RUNS).alias("runs"), (F.length(_stripped(text, BARS)) < F.length(text)).alias("bars"),
-        furniture.alias("furniture"), (_same_as_before(hashed) >= 2).alias("stutter"),
+        furniture.alias("furniture"), _close_repeats(hashed).alias("stutter"),
     )
 
 

@@ -264,7 +264,8 @@ def test_quality_rules_drop_lines(spark):
 def test_quality_rules_judge_a_line_alike_in_every_text(spark):
     good = "This is a line of plain prose that ends as it should, with some words in it."
     more = "Here stands another sentence of the same kind, made of quite different words, as texts have."
-    texts = [f"{good}\nWow! no no no\n{more}", f"{good}\nWow! no no no\n{more} Very very good."]
+    texts = [f"{good}\n{line}\n{more}" for line in ("Wow! no no no", "Wow! Wow! no no", "Wow! Wow! Wow! x y y")]
+    texts += [t + " Very very good." for t in texts]
     rows = [(i, t, "mine") for i, t in enumerate(texts)]
     out = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, __q_words string"))
     assert out.columns == ["doc_id", "text", "__q_words", "quality"]
