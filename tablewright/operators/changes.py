@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tablewright.functions.casting import fit, fit_to_schema, lenient
 from tablewright.operators.keys import match
 from tablewright.operators.versions import (  # noqa: F401
-    PublishError, bounds_of, current_version, drop_old_versions, entries, hits, open_table, open_version, publish, replace_files,
+    PublishError, bounds_of, current_version, drop_old_versions, entries, file_numbers, hits, open_table, open_version, publish, replace_files,
     show, stage, within,
 )
 from tablewright.sources import files
@@ -117,7 +117,8 @@ def replace_by_keys(spark: SparkSession, path: str, keys_from: DataFrame, keys:
     """Put ``rows`` in place of all rows that have one of the keys, at once; the number of rows removed comes back."""
     version = current_version(spark, path)
     target = open_table(spark, path)
-    hit = hits(with_keys(target.withColumn("__file", F.col("_metadata.file_path")), keys_from, keys), "__file")
+    number, listed = file_numbers(spark, path, entries(version))
+    hit = hits(with_keys(target.withColumn("__file", number), keys_from, keys), "__file", listed)
     fitted = fit_to_schema(rows, target.schema)
     if hit.files:
         fitted = without_keys(open_version(spark, path, hit.files, target.schema), keys_from, keys).unionByName(fitted)
@@ -140,7 +141,8 @@ def _delete(
     spark: SparkSession, path: str, version: str, target: DataFrame,
     gone: Callable[[DataFrame], DataFrame], left: Callable[[DataFrame], DataFrame],
 ) -> int:
-    hit = hits(gone(target.withColumn("__file", F.col("_metadata.file_path"))), "__file")
+    number, listed = file_numbers(spark, path, entries(version))
+    hit = hits(gone(target.withColumn("__file", number)), "__file", listed)
     if hit.files:
         replace_files(spark, path, version, hit.files, left(open_version(spark, path, hit.files, target.schema)))
     return hit.rows
@@ -178,8 +180,9 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str
     offer = per_key.agg(*counted, *bounds_of(target.schema, keys)).first()
     if offer["__most"] > 1:
         raise ValueError(f"source rows are not unique on {', '.join(keys)}")
-    near = within(target.select(*keys, F.col("_metadata.file_path").alias("__file")), offer, keys)
-    hit = hits(match(near, fitted.select(*keys), keys, "left_semi"), "__file", keys)
+    number, listed = file_numbers(spark, path, entries(version))
+    near = within(target.select(*keys, number.alias("__file")), offer, keys)
+    hit = hits(match(near, fitted.select(*keys), keys, "left_semi"), "__file", listed, keys)
     if hit.files:
         kept = match(open_version(spark, path, hit.files, target.schema), fitted.select(*keys), keys, "left_anti")
         replace_files(spark, path, version, hit.files, kept.unionByName(fitted))

@@ -8,9 +8,8 @@ see the same entries; the text grows with the files of changed folders until ``c
 from __future__ import annotations
 
 import hashlib
-import re
 import uuid
-from collections.abc import Collection, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -139,6 +138,22 @@ def file_name() -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), ENTRY, 1)
 
 
+def file_numbers(spark: SparkSession, path: str, names: Collection[str]) -> tuple[Column, dict]:
+    """A column that tells the file a row was read from in eight bytes, and the files of these entries by it.
+
+    A path takes hundreds of bytes in each row that is shuffled and sorted. Where two files have one name or one
+    number, the entry itself tells them apart.
+    """
+    listed = []
+    for name in names:
+        listed += [f"{name}/{inner}" if inner else name for inner, _ in files.below(spark, f"{path}/{name}")]
+    rows = spark.range(0, 1, 1, 1).select(F.explode(F.split(F.lit("\n".join(listed)), "\n")).alias("entry"))
+    found = {r["number"]: r["entry"] for r in rows.select("entry", F.xxhash64(F.substring_index("entry", "/", -1)).alias("number")).collect()}
+    if len(found) == len(listed):
+        return F.xxhash64("_metadata.file_name"), found
+    return file_name(), {n: n for n in listed}
+
+
 @dataclass(frozen=True)
 class Hits:
     """What a change touches: the files, their matching rows, and how many distinct keys those have."""
@@ -148,11 +163,11 @@ class Hits:
     keys: int
 
 
-def hits(matching: DataFrame, file: str, keys: Sequence[str] = ()) -> Hits:
-    """Files that hold matching rows; ``file`` is the column of their paths. They are as many as the driver lists to read the table."""
+def hits(matching: DataFrame, file: str, listed: Mapping, keys: Sequence[str] = ()) -> Hits:
+    """Files that hold matching rows; ``file`` is the column of ``file_numbers``. They are as many as the driver lists to read the table."""
     counted = [F.count_distinct(F.struct(*keys)).alias("keys")] if keys else [F.lit(0).alias("keys")]
     row = matching.agg(F.collect_set(file).alias("files"), F.count("*").alias("rows"), *counted).first()
-    return Hits(tuple(sorted(re.fullmatch(ENTRY, f)[1] for f in row["files"])), row["rows"], row["keys"])
+    return Hits(tuple(sorted(listed[f] for f in row["files"])), row["rows"], row["keys"])
 
 
 def bounds_of(schema: T.StructType, keys: Sequence[str]) -> list[Column]:

@@ -194,3 +194,28 @@ def test_a_table_that_is_what_it_was_before_has_a_version_of_its_own(spark, path
     assert changes.delete_by_entity(spark, path, "k", 1) == 1 and content(spark, path) == set()
     versions.drop_old_versions(spark, path)
     assert changes.open_table(spark, path).columns == ["k", "v"]
+
+
+def test_a_search_carries_no_paths(spark, path, monkeypatch):
+    sorted_table(spark, path)
+    seen = []
+    monkeypatch.setattr(changes, "hits", lambda df, file, *more: seen.append(df.schema[file].dataType) or versions.hits(df, file, *more))
+    assert changes.delete_by_keys(spark, path, spark.createDataFrame([(3,)], "k long"), ["k"]) == 1
+    assert changes.delete_by_entity(spark, path, "k", 4) == 1
+    assert changes.upsert(spark, path, spark.createDataFrame([(5, "new")], "k long, v string"), ["k"]) == {"matched": 1, "inserted": 0}
+    assert seen == [T.LongType()] * 3
+
+
+def test_files_of_one_name_are_told_apart(spark, path):
+    import os
+
+    for low in (0, 10):
+        changes.publish_more(spark.range(low, low + 10).coalesce(1).select(F.col("id").alias("k"), F.lit("v").alias("v")), path)
+    place = files.inner_path(spark, path)
+    first, second = [f"{place}/{e}" for e in versions.entries(changes.current_version(spark, path))]
+    name, other = [next(f for f in os.listdir(p) if f.endswith(".parquet")) for p in (first, second)]
+    os.rename(f"{second}/{other}", f"{second}/{name}")
+    os.rename(f"{second}/.{other}.crc", f"{second}/.{name}.crc")
+    assert changes.delete_by_keys(spark, path, spark.createDataFrame([(13,)], "k long"), ["k"]) == 1
+    assert {k for k, _ in content(spark, path)} == set(range(20)) - {13}
+    assert versions.entries(changes.current_version(spark, path))[0] == os.path.basename(first)
