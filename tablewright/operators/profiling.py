@@ -197,32 +197,43 @@ FLOAT = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?[fd]?|nan|inf|infi
 BOOL = r"(?i)^(t|true|y|yes|1|f|false|n|no|0)$"
 DATE = r"^\d{4}-\d{2}-\d{2}$"
 DATETIME = r"^[+-]?\d{4,6}(-|$)"
+#: What may follow a text that a shape's end matches.
+LINE_ENDS = "\n\r\u0085\u2028\u2029"
 #: What is kept of a column: values, values of each kind, and the most digits before and behind the point.
 TEXT_STATE = ("values", "whole", "longs", "plain", "floats", "bools", "dates", "times", "whole_digits", "decimals", "float_digits")
 _MOST = ("whole_digits", "decimals", "float_digits")
 
 
 def text_state(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
-    """What the texts of each column look like, in a form that can be merged: counts add up, most digits are the larger."""
+    """What the texts of each column look like, in a form that can be merged: counts add up, most digits are the larger.
+
+    Each text is a row of its own and is looked at once: only what is no plain number meets the other shapes, and digits are
+    counted by cutting signs, zeros and the line end that ``$`` lets through off the ends. Whole numbers of more digits than
+    64 bits hold are not cast, as a cast that fails is many times dearer than all shapes together.
+    """
     names = list(columns) or text_columns(df)
-    aggs, records = [], []
-    for i, c in enumerate(names):
-        text = f"trim({named(c)})"
-        is_a = lambda shape, t=text: f"{t} RLIKE {quoted(shape)}"
-        cast = lambda kind, shape, t=text: f"count(CASE WHEN {t} RLIKE {quoted(shape)} THEN try_cast({t} AS {kind}) END)"
-        before = f"length(regexp_extract({text}, {quoted('^[+-]?0*([0-9]*)')}, 1))"
-        behind = f"length(regexp_extract({text}, {quoted('[.]([0-9]*?)0*$')}, 1))"
-        mantissa = f"length(regexp_replace(regexp_extract({text}, {quoted('^[+-]?0*([0-9.]*?)0*([eEfFdD]|$)')}, 1), '[.]', ''))"
-        found = {
-            "values": f"count({named(c)})", "whole": f"count_if({is_a(WHOLE)})", "longs": cast("bigint", WHOLE), "plain": f"count_if({is_a(PLAIN)})",
-            "floats": f"count_if({is_a(FLOAT)})", "bools": f"count_if({is_a(BOOL)})", "dates": cast("date", DATE), "times": cast("timestamp_ntz", DATETIME),
-            "whole_digits": f"coalesce(max(CASE WHEN {is_a(PLAIN)} THEN {before} END), 0)",
-            "decimals": f"coalesce(max(CASE WHEN {is_a(PLAIN)} THEN {behind} END), 0)",
-            "float_digits": f"coalesce(max(CASE WHEN {is_a(FLOAT)} THEN {mantissa} END), 0)",
-        }
-        aggs += [measure(found[k], f"{k}{i}") for k in TEXT_STATE]
-        records.append({"column_name": quoted(c), **{k: f"cast({k}{i} AS BIGINT)" for k in TEXT_STATE}})
-    return long_form(df.agg(*aggs), records)
+    is_a = lambda shape: f"t RLIKE {quoted(shape)}"
+    texts = long_form(df, [{"i": str(i), "v": named(c)} for i, c in enumerate(names)]).where("v IS NOT NULL")
+    texts = texts.selectExpr("i", "trim(v) AS t").selectExpr("i", "t", f"{is_a(PLAIN)} AS plain", "length(t) AS size")
+    texts = texts.selectExpr(
+        "i", "t", "size", "plain", "plain AND NOT contains(t, '.') AS whole", f"CASE WHEN plain THEN true ELSE {is_a(FLOAT)} END AS floats"
+    ).selectExpr("*", f"CASE WHEN floats THEN trim(LEADING '+-0' FROM trim(TRAILING {quoted(LINE_ENDS)} FROM t)) END AS n")
+    mantissa = "trim(TRAILING 'fd' FROM substring_index(lower(n), 'e', 1))"
+    behind = "CASE WHEN whole THEN 0 ELSE length(trim(TRAILING '0' FROM substring_index(n, '.', -1))) END"
+    found = {
+        "values": "count(1)", "whole": "count_if(whole)", "longs": "count(CASE WHEN whole AND length(n) <= 19 THEN try_cast(t AS bigint) END)",
+        "plain": "count_if(plain)", "floats": "count_if(floats)", "bools": f"count_if(size <= 7 AND {is_a(BOOL)})",
+        "dates": f"count(CASE WHEN size BETWEEN 10 AND 12 AND {is_a(DATE)} THEN try_cast(t AS date) END)",
+        "times": f"count(CASE WHEN (size <= 9 OR contains(t, '-')) AND {is_a(DATETIME)} THEN try_cast(t AS timestamp_ntz) END)",
+        "whole_digits": "max(CASE WHEN plain THEN length(substring_index(n, '.', 1)) END)",
+        "decimals": f"max(CASE WHEN plain THEN {behind} END)",
+        "float_digits": f"max(CASE WHEN floats AND left(n, 1) NOT IN ('n', 'N', 'i', 'I') THEN length(replace(trim(TRAILING '0' FROM {mantissa}), '.', '')) END)",
+    }
+    states = texts.groupBy("i").agg(*[F.expr(f"CAST(coalesce({found[k]}, 0) AS BIGINT)").alias(k) for k in TEXT_STATE])
+    # a column without a text has a state too
+    none = long_form(df.sparkSession.range(1), [{"i": str(i), **{k: "0L" for k in TEXT_STATE}} for i in range(len(names))])
+    whole = states.unionByName(none).groupBy("i").agg(*[(F.max if k in _MOST else F.sum)(k).alias(k) for k in TEXT_STATE])
+    return whole.select(F.element_at(F.array(*[F.lit(c) for c in names]), F.col("i") + 1).alias("column_name"), *TEXT_STATE)
 
 
 def merge_text_states(states: DataFrame) -> DataFrame:

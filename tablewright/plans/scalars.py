@@ -7,11 +7,12 @@ from pyspark.sql import types as T
 
 from tablewright.functions import casting, registered
 from tablewright.functions.types import map_types, source_type
-from tablewright.operators import profiling
+from tablewright.operators import changes, profiling
 from tablewright.operators.profiling import infer_text_types
 from tablewright.plans.reference_sql import catalog_sql, hash_pick
 from tablewright.plans.registry import query
 from tablewright.plans.tables import stored_catalog
+from tablewright.session import scratch_path
 from tablewright.sources import catalog
 from tablewright.sources.tables import load
 
@@ -216,7 +217,9 @@ def infer_number_types(spark, sf):
     """Types from the merged states of two parts of a table; read as these, the columns keep every value apart."""
     lines = load(spark, sf, "lineitem").selectExpr(*[f"{text.replace('::VARCHAR', '::STRING')} AS {c}" for c, text in _NUMBERS.items()], "l_linenumber")
     first, rest = lines.where("l_linenumber = 1").drop("l_linenumber"), lines.where("l_linenumber <> 1").drop("l_linenumber")
-    states = profiling.merge_text_states(profiling.text_state(first).unionByName(profiling.text_state(rest)))
+    path = scratch_path(spark, "states")  # stored, as the types are read up front and again for the result
+    changes.publish(profiling.merge_text_states(profiling.text_state(first).unionByName(profiling.text_state(rest))), path)
+    states = changes.open_table(spark, path)
     typed = profiling.typed_texts(lines.drop("l_linenumber"), states)
     distinct = typed.agg(*[F.count_distinct(c).alias(c) for c in _NUMBERS]).unpivot([], list(_NUMBERS), "column_name", "distinct_values")
     found = profiling.text_types(states).select("column_name", F.col("values").alias("value_count"), "inferred_type", "spark_type")

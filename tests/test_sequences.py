@@ -146,3 +146,43 @@ def test_a_failed_level_stops_the_next(spark, path):
     frames = {"early": spark.range(2), "late": spark.range(2)}
     status = entities.run_tasks(spark, frames, settings, path, filters={"early": ("id / (id - id) > 1", [])}).collect()
     assert [(r["table_name"], r["status"]) for r in status] == [("early", "failed"), ("late", "skipped")]
+
+
+ODD = [
+    "1", "-0", "+007", "12\n", "1.50\n", "100", "100.", "100.50", "0.0", "0.00123", ".5", "1e5", "1.50E-3f", "2d", "1F", "nan", "-Inf", "+infinity", "", " ",
+    "9223372036854775807", "9223372036854775808", "-9223372036854775808", "1" * 25, "0" * 30 + "7", "1.2.3", "e5", "true", "No\n", "truest", "2024", "-2024-01-01",
+    "2024-01-01", "2024-13-01", "2024-01-01\n", "2024-01-01 10:00:00", "24-1", "1 ", "١", "12 3", "--1", "x" * 300, None,
+]
+
+
+def test_a_text_is_matched_once_and_counted_as_the_shapes_say(spark):
+    import re
+
+    df = spark.createDataFrame([tuple(ODD)], ", ".join(f"c{i} string" for i in range(len(ODD))))
+    states = {r["column_name"]: r for r in profiling.text_state(df).collect()}
+    for i, v in enumerate(ODD):
+        found = states[f"c{i}"]
+        t = None if v is None else v.strip(" ")
+        is_a = lambda shape: t is not None and re.search(re.sub(r"\$", "(?=[\n ]?\\\\Z)", shape), t, re.A) is not None  # noqa: E731, B023
+        plain, floats = is_a(profiling.PLAIN), is_a(profiling.FLOAT)
+        number = lambda pattern: re.sub("[.]", "", re.search(pattern, t.strip("\n "))[1])  # noqa: E731, B023
+        assert found["values"] == (v is not None) and found["whole"] == is_a(profiling.WHOLE), v
+        assert (found["plain"], found["floats"], found["bools"]) == (plain, floats, is_a(profiling.BOOL)), v
+        assert found["longs"] == (found["whole"] and " " not in t and -(1 << 63) <= int(t) < 1 << 63), v
+        assert found["dates"] == (v in ("2024-01-01", "2024-01-01\n")), v
+        assert found["times"] == (v in ("2024", "-2024-01-01", "2024-01-01", "2024-01-01\n", "2024-01-01 10:00:00")), v
+        assert found["whole_digits"] == (len(number("^[+-]?0*([0-9]*)")) if plain else 0), v
+        assert found["decimals"] == (len(number("[.]([0-9]*?)0*$")) if plain and "." in t else 0), v
+        real = floats and not re.search("[nN]", t)
+        assert found["float_digits"] == (len(number("^[+-]?0*([0-9.]*?)0*(?:[eEfFdD]|$)")) if real else 0), v
+    wide = spark.createDataFrame([("1",) * 7], ", ".join(f"c{i} string" for i in range(7)))
+    plan = lambda d: profiling.text_state(d)._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
+    assert plan(wide) == plan(wide.select("c0")) <= 6
+
+
+def test_number_types_are_measured_in_one_pass(spark, data):
+    from tablewright.plans import QUERIES
+
+    found = QUERIES["infer_number_types"](spark, data)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("l_orderkey#") <= 10
+    assert found._jdf.queryExecution().toString().count("lineitem.parquet") <= 2
