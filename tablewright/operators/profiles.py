@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.records import long_form, named, quoted
-from tablewright.operators.versions import current_version, entries, file_name, open_table, open_version, show_more, stage
+from tablewright.operators.versions import current_version, entries, file_numbers, open_table, open_version, show_more, stage
 
 #: log2 of a sketch's registers: 4096 of them estimate within about 1.6 %.
 SKETCH = 12
@@ -30,22 +30,22 @@ def _hashed(column: str, kind: T.DataType) -> Column:
     return F.when(F.col(named(column)).isNotNull(), F.xxhash64(value))
 
 
-def _states(df: DataFrame, entry: Column) -> DataFrame:
-    """One row per entry, with the measures of all columns side by side; one pass."""
+def _states(df: DataFrame, file: Column) -> DataFrame:
+    """One row per file, with the measures of all columns side by side; one pass."""
     aggs = [F.count("*").alias("n")]
     for i, f in enumerate(df.schema.fields):
         aggs.append(F.count(F.col(named(f.name))).alias(f"c{i}"))
         aggs.append(F.hll_sketch_agg(_hashed(f.name, f.dataType), SKETCH).alias(f"d{i}"))
         if _ordered(f.dataType):
             aggs += [F.min(named(f.name)).alias(f"lo{i}"), F.max(named(f.name)).alias(f"hi{i}")]
-    return df.withColumn("__entry", entry).groupBy(F.col("__entry").alias("entry")).agg(*aggs)
+    return df.withColumn("__file", file).groupBy(F.col("__file").alias("file")).agg(*aggs)
 
 
-def _entry_of(names: list[str]) -> Column:
-    """The listed entry a row's file belongs to: the file itself, or the folder at its beginning."""
-    single = [n for n in names if "/" in n]
-    folder = F.substring_index(file_name(), "/", 1)
-    return F.when(file_name().isin(single), file_name()).otherwise(folder) if single else folder
+def _merged(states: DataFrame) -> DataFrame:
+    """States of files as those of the entries they belong to; the only state of an entry without rows is a blank one."""
+    merge = {"n": F.sum, "c": F.sum, "d": lambda c: F.when(F.sum("n") > 0, F.hll_union_agg(c)), "lo": F.min, "hi": F.max}
+    aggs = [merge[c.rstrip("0123456789")](c).alias(c) for c in states.columns if c != "entry"]
+    return states.groupBy("entry").agg(*aggs)
 
 
 def update_profile(spark: SparkSession, path: str, store: str) -> int:
@@ -64,11 +64,14 @@ def update_profile(spark: SparkSession, path: str, store: str) -> int:
         known = {r["entry"] for r in open_table(spark, kept).select("entry").distinct().collect()}  # as many as the table lists
     new = [n for n in listed if n not in known]
     if new:
-        rows = open_version(spark, path, new, schema)
-        found = _states(rows, _entry_of(new))
-        empty = spark.createDataFrame([(n,) for n in new], "entry string").join(found.select("entry"), "entry", "left_anti")
+        number, listed = file_numbers(spark, path, new)
+        found = _states(open_version(spark, path, new, schema), number)
+        single = set(new)
+        owners = spark.createDataFrame(
+            [(k, f if f in single else f.split("/")[0]) for k, f in listed.items()], T.StructType([found.schema["file"], T.StructField("entry", T.StringType())]))
         blank = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "n" else F.lit(0).cast("bigint").alias("n") for f in found.schema.fields[1:]]
-        folder, _ = stage(found.unionByName(empty.select("entry", *blank)).coalesce(1), kept)
+        empty = spark.createDataFrame([(n,) for n in new], "entry string").select("entry", *blank)
+        folder, _ = stage(_merged(owners.join(found, "file").drop("file").unionByName(empty)).coalesce(1), kept)
         show_more(spark, kept, folder)
     return len(new)
 

@@ -37,6 +37,7 @@ def profile(df: DataFrame, table: str, exact_distinct: bool = False) -> DataFram
     Distinct counts are estimates from the same pass. The exact form counts
     (column, value) pairs instead: values merge on the map side, and the column
     name alone is only grouped on afterwards, so no column lands in one task raw.
+    Columns of one type go together, as values of that type.
     """
     names = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
     aggs = [measure("count(1)", "n")]
@@ -54,16 +55,32 @@ def profile(df: DataFrame, table: str, exact_distinct: bool = False) -> DataFram
     ])
     if not exact_distinct:
         return measured
-    pairs = long_form(df, [{"column_name": quoted(c), "v": f"cast({named(c)} AS STRING)"} for c in names])
-    distinct = (
-        pairs.where(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.lit(1).alias("one"))
-        .groupBy("column_name").agg(F.count("*").alias("distinct_count"))
-    )
+    kinds: dict[str, list[int]] = {}
+    for i, c in enumerate(names):
+        kinds.setdefault(_counted_as(df.schema[c].dataType), []).append(i)
+    counts = []
+    for kind, of in kinds.items():
+        pairs = long_form(df.select(*[named(names[i]) for i in of]), [{"i": str(i), "v": f"cast({named(names[i])} AS {kind})"} for i in of])
+        # floats tell the two zeros apart, as their texts do
+        zero = [F.expr("v = 0 AND cast(v AS STRING) = '-0.0'").alias("below")] if kind == "double" else []
+        values = pairs.where(F.col("v").isNotNull()).select("i", "v", *zero).groupBy("i", "v", *(["below"] if zero else [])).agg(F.lit(1).alias("one"))
+        counts.append(values.groupBy("i").agg(F.count("*").alias("distinct_count")))
+    label = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("i") + 1).alias("column_name")
+    distinct = reduce(DataFrame.unionByName, counts).select(label, "distinct_count") if counts else measured.select("column_name", F.lit(0).alias("distinct_count"))
     return measured.join(distinct, "column_name", "left").select(
         *measured.columns, F.coalesce("distinct_count", F.lit(0)).cast("bigint").alias("distinct_count")
     )
 
 
+def _counted_as(kind: T.DataType) -> str:
+    """The type in which distinct values are counted: one for all whole numbers, one for all floats, text where values have no plain form."""
+    if isinstance(kind, T.IntegralType):
+        return "bigint"
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return "double"
+    return kind.simpleString() if isinstance(kind, (T.BooleanType, T.DateType, T.TimestampNTZType)) else "string"
+
+
 def _words(*words: str):
     return lambda c: "(" + " OR ".join(f"contains(lower({c}), {quoted(w.lower())})" for w in words) + ")"
 

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -260,3 +262,12 @@ def test_profile_of_a_whole_table(spark, data, name):
     wanted = df.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(df.columns) for k, f in (("n", F.count), ("d", F.count_distinct))]).first()
     for i, c in enumerate(df.columns):
         assert (found[c]["row_count"] - found[c]["null_count"], found[c]["distinct_count"]) == (wanted[f"n{i}"], wanted[f"d{i}"])
+
+
+def test_exact_distinct_values_are_counted_by_type(spark):
+    rows = [(1, 0.0, "a", True, None), (1, -0.0, "", True, None), (2, float("nan"), None, False, None), (None, None, "a", None, None)]
+    df = spark.createDataFrame(rows, "i int, d double, s string, b boolean, n date").withColumn("dotted.name", F.col("i").cast("decimal(5,1)"))
+    counted = profiling.profile(df, "t", exact_distinct=True)
+    assert {r["column_name"]: r["distinct_count"] for r in counted.collect()} == {"i": 2, "d": 3, "s": 2, "b": 2, "n": 0, "dotted.name": 2}
+    plan = counted._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"v, cast\(i#\d+ as bigint\)", plan)

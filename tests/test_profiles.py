@@ -74,3 +74,14 @@ def test_json_text_is_parsed_once(spark, path):
     }
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert path.split("/")[-1] not in plan and "parse_json" not in plan
+
+
+def test_new_entries_are_read_once(spark, path, monkeypatch):
+    table, store = f"{path}/t", f"{path}/states"
+    changes.publish(rows(spark, 0, 50), table)
+    changes.publish_more(rows(spark, 0, 50).limit(0), table)
+    plans, stage = [], profiles.stage
+    monkeypatch.setattr(profiles, "stage", lambda df, p: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or stage(df, p))
+    assert profiles.update_profile(spark, table, store) == 2
+    assert plans[0].count("parquet") == 1
+    assert {r[2] for r in profile(spark, table, store)} == {50}
