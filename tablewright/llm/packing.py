@@ -41,6 +41,8 @@ SCHEMA = (
     "sequence_tokens long, ids binary"
 )
 _LOADED: dict[str, tuple] = {}
+#: Writers of short lists of ids.
+PACKED = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
 
 class WordIds(dict):
@@ -77,10 +79,13 @@ class WordIds(dict):
             return None
         return regex.compile(cut[0]["pattern"]["Regex"]).findall
 
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
     def _piece(self, piece: str) -> bytes:
         seen = piece if piece.isascii() else codecs.charmap_decode(piece.encode(), "strict", self.shown)[0]
         ids = [t.id for t in self.merge(seen)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return PACKED[len(ids)](*ids) if len(ids) < len(PACKED) else struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.most:
@@ -88,8 +93,12 @@ class WordIds(dict):
             self.clear()
         found = self.old.get(word)
         if found is None:
-            if self.pieces is None or "<|" in word or not self.plain(word):
-                found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            if self.pieces is None:
+                found = self._whole(word)
+            elif word.isalpha() and word.isascii():  # most words; they are plain and one piece
+                found = self.piece(word.lower())
+            elif "<|" in word or not self.plain(word):
+                found = self._whole(word)
             else:
                 low = word.lower()
                 found = self.piece(low) if low.isalpha() else b"".join(map(self.piece, self.pieces(low)))

@@ -484,3 +484,16 @@ def test_pipeline_stages(spark, data):
         out = stage(spark, nothing, data)
         assert out.count() == 0, name
         assert name == "packing" or out.columns == first.columns
+
+
+def test_plain_words_take_the_short_way_to_the_same_ids():
+    import public_tokenizers
+    from tablewright.llm.packing import WordIds
+
+    ids = WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    want = lambda w: np.array(ids.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+    for word in ("Straße", "Éclair", "it's", "<|end|>", "a1b2", "İstanbul", "ﬁne", "", "word,", "½", "x" * 300):
+        assert ids[word] == want(word), word
+    ids.plain = None  # words of ASCII letters are not looked at by a pattern
+    for word in ("word", "Word", "WORD", "supercalifragilistic" * 4, "q"):
+        assert ids[word] == want(word), word
