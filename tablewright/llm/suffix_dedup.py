@@ -3,13 +3,14 @@
 Candidates. A window is a string of ``length`` bytes. Its mark is the least hash of the short strings in
 it, so equal windows have equal marks. Runs of windows with one mark are cut from the text with the bytes
 that the last window needs (a context). Only marks that occur at two places of different texts or of
-one text go on. Equal texts are cut once, equal contexts are one string with the number of places they stand for.
+one text go on: a task sends one row of a mark that it sees again to the sum over all tasks, its other rows need none.
+Equal texts are cut once, equal contexts are one string with the number of places they stand for. Texts travel compressed.
 
 Equal windows also agree in the mark's short string together with half of the other bytes, before or after it;
 contexts that stand for one place and agree with no other in either are left out.
 
 Shards. All contexts of a mark go to one shard. A shard concatenates whole marks up to ``shard_bytes``, sorts the
-suffixes by induced sorting (LMS suffixes by recursion, the rest by linear induction) and computes the
+suffixes by induced sorting (LMS suffixes by doubling, the rest by linear induction) and computes the
 permuted common prefixes. A window repeats if its suffix shares ``length`` bytes with a neighbour in the suffix array
 or stands for more than one place. Matches end at the ends of contexts, so they never cross documents.
 
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,24 +51,41 @@ def _gram_hashes(text: bytes, gram: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def marks(text: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(mark, first window, number of windows, place of the mark) of each run of windows whose first least hash is in one place."""
-    n = len(text)
-    if n < length:
-        return (np.empty(0, np.int64),) * 4
-    h = _gram_hashes(text, gram)
+def marks(texts: list[bytes], length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, mark, first window, number of windows, place of the mark in it) of each run of windows whose first least hash
+    is in one place. The texts, each of ``length`` bytes at least, are read as one; windows across their borders are left out."""
+    sizes = np.array([len(t) for t in texts])
+    starts = np.cumsum(sizes) - sizes
+    h = _gram_hashes(b"".join(texts), gram)
     least, width, size = h, length - gram + 1, 1
     while 2 * size <= width:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
     if size < width:
         least = np.minimum(least[:size - width], least[width - size:])
-    # a run ends where the value changes or where the place leaves the window
-    new = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (h[:len(least) - 1] == least[:-1])])
-    place = new + width - 1  # a lower hash came in at the end, or the place is looked for
-    look = np.flatnonzero(np.r_[True, least[new[1:]] >= least[new[1:] - 1]])
-    place[look] = new[look] + np.lib.stride_tricks.sliding_window_view(h, width)[new[look]].argmin(1)
-    return least[new].view(np.int64), new, np.diff(np.r_[new, len(least)]), place
+    # a run ends where the value changes, where the place leaves the window, or with its text
+    edge = np.r_[True, (least[1:] != least[:-1]) | (h[:len(least) - 1] == least[:-1])]
+    stops = starts + sizes - length + 1
+    edge[starts], edge[stops[:-1]] = True, True
+    new = np.flatnonzero(edge)
+    count = np.diff(new, append=len(least))
+    text = np.searchsorted(starts, new, "right") - 1
+    inside = new < stops[text]
+    new, count, text = new[inside], count[inside], text[inside]
+    place = np.full(len(new), width - 1)  # a lower hash came in at the end, or the place is looked for
+    look = np.flatnonzero((new == starts[text]) | (least[new] >= least[new - 1]))
+    place[look] = np.lib.stride_tricks.sliding_window_view(h, width)[new[look]].argmin(1)
+    return text, least[new].view(np.int64), new - starts[text], count, place
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        z = pa.array([pa.compress(t.as_buffer(), "zstd", asbytes=True) for t in batch.column(4)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], z], names=["id", "k1", "k2", "n", "z"])
+
+
+def _unpacked(z: bytes, n: int) -> bytes:
+    return pa.decompress(z, n, "zstd", asbytes=True) if n else b""
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,36 +200,72 @@ def remove_repeats(
         "k2", F.xxhash64(F.lit(1), F.md5("t"))).withColumn("n", F.length("t"))
     long_ = rows.where(F.col("n") >= length)
 
-    def _batch(parts: list) -> pa.RecordBatch:
-        columns = [np.concatenate(c) for c in zip(*parts)]
+    def packed(texts: DataFrame) -> DataFrame:
+        """The texts as they travel: compressed (``z``)."""
+        fields = [texts.schema["id"], *(T.StructField(c, T.LongType()) for c in key), T.StructField("n", T.IntegerType()), T.StructField("z", T.BinaryType())]
+        return texts.select("id", *key, "n", "t").mapInArrow(_pack, T.StructType(fields))
+
+    def found_in(keys: list[tuple[int, int]], texts: list[bytes]) -> pa.RecordBatch:
+        parts, held, size = [], 0, 0
+        for i, value in enumerate(texts):
+            size += len(value)
+            if size >= 1 << 16 or i == len(texts) - 1:  # as much as caches hold
+                text, *columns = marks(texts[held:i + 1], length)
+                parts.append((text + held, *columns))
+                held, size = i + 1, 0
+        text, mark, s, m, p = (np.concatenate(c) for c in zip(*parts))
+        k1, k2 = np.array(keys, np.int64)[text].T
+        # a mark that is seen again here is frequent: one row of it tells the other tasks, the others stand for themselves
+        _, first, kind, many = np.unique(mark, return_index=True, return_inverse=True, return_counts=True)
+        again = many[kind] > 1
+        seen = np.where(again, 0, 1)
+        seen[first] = np.minimum(many, 2)
+        g = np.where(seen > 0, mark, k1 ^ (s * 0x9E3779B97F4A7C1))
         return pa.RecordBatch.from_arrays(
-            [pa.array(c.astype(t)) for c, t in zip(columns, (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32))],
-            names=["k1", "k2", "mark", "s", "m", "p"])
+            [pa.array(c.astype(t)) for c, t in zip((k1, k2, mark, s, m, p, g, seen), (np.int64,) * 3 + (np.int32,) * 3 + (np.int64, np.int8))],
+            names=["k1", "k2", "mark", "s", "m", "p", "g", "seen"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, texts, size = [], [], 0
         for batch in batches:
-            parts, held = [], 0
-            for k1, k2, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                mark, s, m, place = marks(value.as_py(), length)
-                parts.append((np.full(len(mark), k1), np.full(len(mark), k2), mark, s, m, place - s))
-                held += len(mark)
-                if held > 200_000:
-                    yield _batch(parts)
-                    parts, held = [], 0
-            if parts:
-                yield _batch(parts)
-
-    found = long_.select(*key, "t").mapInArrow(find, "k1 long, k2 long, mark long, s int, m int, p int")
-    place = F.xxhash64(*key, "s")
-    often = found.groupBy("mark").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("c")).where("a <> b OR c > 1").select("mark")
-    flagged = found.join(often, "mark").groupBy(*key).agg(F.collect_set(F.struct("mark", "s", "m", "p")).alias("marks"))
+            for k1, k2, value in zip(*(column.to_pylist() for column in batch.columns)):
+                keys.append((k1, k2))
+                texts.append(value)
+                size += len(value)
+                if size > 16_000_000:
+                    yield found_in(keys, texts)
+                    keys, texts, size = [], [], 0
+        if texts:
+            yield found_in(keys, texts)
+
+    found = long_.select(*key, "t").mapInArrow(find, "k1 long, k2 long, mark long, s int, m int, p int, g long, seen byte")
+    often = found.withColumn("c", F.sum("seen").over(Window.partitionBy("g"))).where("seen <> 1 OR c > 1")
+    flagged = often.groupBy(*key).agg(F.collect_set(F.struct("mark", "s", "m", "p")).alias("marks"))
     classes = rows.where(F.col("n") >= length).groupBy(*key).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     wing = (length - GRAM) // 2
     # rows that share id and text stand twice here, which changes no decision: their contexts have several places anyhow
-    cut_out = long_.join(flagged.join(classes, key), key).where(F.col("id").eqNullSafe(F.col("rep"))).select(
-        *key, "copies", "t", F.explode("marks").alias("x")).select(
-        *key, "copies", "x.mark", "x.s", "x.p", F.expr(f"substring(t, x.s + 1, x.m + {length - 1})").alias("context"))
-    contexts = stored(cut_out.withColumn("digest", F.unhex(F.md5("context"))), "contexts")
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k1, k2, copies, n, z, lists = batch.columns
+            mark, s, m, p = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+            ends = np.cumsum(lists.value_lengths().to_numpy())
+            rows, texts, size, lo = [], [], 0, 0
+            for row, (end, count) in enumerate(zip(ends.tolist(), lists.value_lengths().to_pylist())):
+                value = _unpacked(z[row].as_py(), n[row].as_py())
+                own = [value[i:i + j + length - 1] for i, j in zip(s[end - count:end].tolist(), m[end - count:end].tolist())]
+                rows += [row] * count
+                texts += own
+                size += sum(map(len, own))
+                if size > 8_000_000 or row == len(ends) - 1:
+                    yield pa.RecordBatch.from_arrays(
+                        [*(c.take(pa.array(rows, pa.int64())) for c in (k1, k2, copies)), *(pa.array(c[lo:end]) for c in (mark, s, p)),
+                         pa.array(texts, pa.binary()), pa.array([hashlib.md5(c).digest() for c in texts], pa.binary())],
+                        names=["k1", "k2", "copies", "mark", "s", "p", "context", "digest"])
+                    rows, texts, size, lo = [], [], 0, end
+
+    contexts = stored(packed(long_).join(flagged.join(classes, key), key).where(F.col("id").eqNullSafe(F.col("rep"))).select(
+        *key, "copies", "n", "z", "marks").mapInArrow(
+            cut_out, "k1 long, k2 long, copies long, mark long, s int, p int, context binary, digest binary"), "contexts")
     kinds = contexts.groupBy("mark", "digest").agg(
         F.sum("copies").alias("n"), F.first("p").alias("p"), F.first(F.length("context")).alias("size"),
         F.first(F.expr(f"CASE WHEN p >= {wing} THEN xxhash64(0, substring(context, p - {wing} + 1, {wing + GRAM})) END")).alias("l"),
@@ -224,8 +278,9 @@ def remove_repeats(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = ([], [], [], [], [])
-            for value, windows in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                kept, removed, n_spans = value, 0, 0
+            for n, z, windows in zip(*(column.to_pylist() for column in batch.columns[1:])):
+                value = kept = _unpacked(z, n)
+                removed, n_spans = 0, 0
                 if windows:
                     edge = np.zeros(len(value) + 1, np.int64)
                     np.add.at(edge, [w["lo"] for w in windows], 1)
@@ -241,5 +296,5 @@ def remove_repeats(
     schema = T.StructType([T.StructField("id", rows.schema["id"].dataType)]
                           + [T.StructField(c, T.LongType()) for c in schema_names[1:4]]
                           + [T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())])
-    done = rows.join(spans, key, "left").select("id", "t", "windows").mapInArrow(cut, schema)
+    done = packed(rows).join(spans, key, "left").select("id", "n", "z", "windows").mapInArrow(cut, schema)
     return done.select(F.col("id").alias(id), *schema_names[1:5 + with_text])

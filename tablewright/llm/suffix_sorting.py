@@ -2,8 +2,8 @@
 
 Suffixes are classed as larger (L) or smaller (S) than the one that follows. A leftmost-smaller (LMS)
 suffix is an S one after an L one. The LMS substrings are sorted by one round of induction and named;
-if names repeat, the string of names is sorted by recursion; a second round then induces all
-suffixes from the sorted LMS ones. A round scans the array in stretches: a stretch ends before the first
+names that repeat are told apart by the names that follow, twice as many each time; a second round then induces
+all suffixes from the sorted LMS ones. A round scans the array in stretches: a stretch ends before the first
 slot that a suffix in it writes to, so each stretch is one vector operation and reads final slots only.
 """
 
@@ -84,6 +84,31 @@ def _induce(t: np.ndarray, smaller: np.ndarray, sizes: np.ndarray, lms: np.ndarr
     return sa
 
 
+def _by_names(order: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Numbers of LMS suffixes, in order by the name they start with (``same``: as the one before), by all their names."""
+    m = len(order)
+    rank = np.full(m + 1, -1, np.int64)  # the first slot of those that are equal so far; the end comes before all
+    rank[order] = np.maximum.accumulate(np.where(same, 0, np.arange(m)))
+    slots = np.flatnonzero(same | np.r_[same[1:], False])
+    bits, k = m.bit_length(), 1
+    while len(slots):
+        who = order[slots]
+        pair = rank[who] << bits | rank[np.minimum(who + k, m)] + 1
+        if 3 * bits < 64:
+            pair = pair << bits | who
+            pair.sort()
+            who, pair = pair & (1 << bits) - 1, pair >> bits
+        else:
+            by = np.argsort(pair, kind="stable")
+            who, pair = who[by], pair[by]
+        new = np.r_[True, pair[1:] != pair[:-1]]
+        order[slots] = who
+        rank[who] = np.maximum.accumulate(np.where(new, slots, 0))
+        slots = slots[~(new & np.r_[new[1:], True])]
+        k *= 2
+    return order
+
+
 def suffix_array(t: np.ndarray, letters: int) -> np.ndarray:
     """The suffixes of ``t`` (values below ``letters``) in ascending order."""
     n = len(t)
@@ -109,15 +134,8 @@ def suffix_array(t: np.ndarray, letters: int) -> np.ndarray:
         k += 1
         live = live[equal]
         live = live[size[live] > k]
-    names = np.empty(n, np.int64)
-    names[ordered] = np.cumsum(~same) - 1
-    count = int((~same).sum())
-    reduced = names[lms]
-    if count < len(lms):
-        order = lms[suffix_array(reduced, count)]
-    else:
-        order = ordered
-    return _induce(t, smaller, sizes, order)
+    number = np.cumsum(is_lms) - 1
+    return _induce(t, smaller, sizes, lms[_by_names(number[ordered], same)])
 
 
 def common_prefixes(t: np.ndarray, sa: np.ndarray, starts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +152,9 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, starts: np.ndarray, most: int
     fresh[starts] = True
     at = np.flatnonzero(fresh)
     other, shared = before[at], np.zeros(len(at), np.int64)
-    pad = np.r_[t.astype(np.uint64), np.zeros(8, np.uint64)]
-    words = sum(pad[k:n + k] << np.uint64(8 * k) for k in range(8)) if t.max(initial=0) < 256 else None
+    words = None
+    if t.max(initial=0) < 256:  # the eight letters from each position on as one number
+        words = np.ndarray(n, np.uint64, np.r_[t.astype(np.uint8), np.zeros(8, np.uint8)], strides=(1,)).copy()
     live = np.flatnonzero(other >= 0)
 
     def room(rows: np.ndarray, step: int) -> np.ndarray:

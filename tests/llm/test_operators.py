@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tablewright.llm import suffix_sorting
 from tablewright.llm.license_scans import scan_licenses
 from tablewright.llm.minhash_tensor import near_duplicates
 from tablewright.llm.mixing import fit_distributed, fit_in_memory, mix, reached
@@ -14,7 +15,7 @@ from tablewright.llm.packing import assign, capacities, pack
 from tablewright.llm.quality_lines import kept_only, quality_rules
 from tablewright.llm.secret_scans import redacted, scan_secrets
 from tablewright.llm.sharding import shard
-from tablewright.llm.suffix_dedup import remove_repeats
+from tablewright.llm.suffix_dedup import marks, remove_repeats
 from tablewright.llm.suffix_sorting import common_prefixes, suffix_array
 from tablewright.llm.topk_pivots import integer_vectors, top_k
 from tablewright.llm.toxicity import SIZE, decode, score_toxicity
@@ -147,6 +148,50 @@ def test_suffix_sorting():
             assert (before[i], shared[i]) == (j, k)
 
 
+def test_marks_of_texts_read_as_one():
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.integers(97, 97 + letters, n).astype(np.uint8)) for letters, n in [(2, 50), (1, 90), (26, 400), (3, 51), (26, 50), (4, 300)]]
+    got = list(zip(*(c.tolist() for c in marks(texts, 50, 16))))
+    alone = [(i, *row[1:]) for i, t in enumerate(texts) for row in zip(*(c.tolist() for c in marks([t], 50, 16)))]
+    assert got == alone
+    for i, t in enumerate(texts):
+        runs = [(s, n) for text, _, s, n, _ in got if text == i]
+        assert [w for s, n in runs for w in range(s, s + n)] == list(range(len(t) - 49))
+    grams = {}
+    for i, mark, s, n, p in got:
+        assert s + n - 1 <= s + p <= s + 34  # the mark's string lies in each window of the run
+        assert grams.setdefault(mark, texts[i][s + p:s + p + 16]) == texts[i][s + p:s + p + 16]
+
+
+def test_repeats_seen_by_one_task_or_by_several(spark):
+    """Marks that are frequent in a task, seen once in each of several, and both; the texts are marked once."""
+    rng = np.random.default_rng(12)
+    passages = ["".join(rng.choice(list("abcdefghij "), 260)) for _ in range(3)]
+    own = ["".join(rng.choice(list("klmnopqrst "), 300)) for _ in range(24)]
+    texts = [own[i] + passages[0] * (i in (0, 1)) + passages[1] * (i % 8 == 0) + passages[2] * (i in (2, 3, 20)) + own[i][:99] for i in range(24)]
+    texts += [own[7] + own[8], texts[5], None, ""]
+    df = frame(spark, texts)
+    result = remove_repeats(df.repartitionByRange(4, "doc_id"), with_text=False)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in result.collect()}
+    assert [got[i] for i in range(len(texts))] == brute_removed(texts, 200)
+
+
+def test_suffix_sorting_takes_two_rounds(monkeypatch):
+    """Repeated names are told apart by doubling; they were sorted by recursion, in ever more and shorter stretches."""
+    calls, induce = [], suffix_sorting._induce
+    monkeypatch.setattr(suffix_sorting, "_induce", lambda *a: calls.append(len(a[0])) or induce(*a))
+    rng = np.random.default_rng(2)
+    part = rng.integers(1, 5, 300)
+    t = np.concatenate([np.r_[part[int(rng.integers(0, 90)):], 0] for _ in range(40)])
+    sa = suffix_sorting.suffix_array(t, 5)
+    values = t.tolist()
+    assert sa.tolist() == sorted(range(len(t)), key=lambda i: values[i:])
+    assert calls == [len(t)] * 2
+    order = np.argsort([3, 1, 1, 2, 1, 1, 2], kind="stable")
+    name = np.array([3, 1, 1, 2, 1, 1, 2])[order]
+    assert suffix_sorting._by_names(order, np.r_[False, name[1:] == name[:-1]]).tolist() == [4, 1, 5, 2, 6, 3, 0]
+
+
 def test_packing_round_trip(spark, edges, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
