@@ -220,10 +220,10 @@ def remove_repeats(
         again = many[kind] > 1
         seen = np.where(again, 0, 1)
         seen[first] = np.minimum(many, 2)
-        g = np.where(seen > 0, mark, k1 ^ (s * 0x9E3779B97F4A7C1))
+        lane = np.where(seen > 0, 0, ((k1 ^ s) & 0xFFFF) + 1)
         return pa.RecordBatch.from_arrays(
-            [pa.array(c.astype(t)) for c, t in zip((k1, k2, mark, s, m, p, g, seen), (np.int64,) * 3 + (np.int32,) * 3 + (np.int64, np.int8))],
-            names=["k1", "k2", "mark", "s", "m", "p", "g", "seen"])
+            [pa.array(c.astype(t)) for c, t in zip((k1, k2, mark, s, m, p, lane, seen), (np.int64,) * 3 + (np.int32,) * 4 + (np.int8,))],
+            names=["k1", "k2", "mark", "s", "m", "p", "lane", "seen"])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, texts, size = [], [], 0
@@ -238,8 +238,8 @@ def remove_repeats(
         if texts:
             yield found_in(keys, texts)
 
-    found = long_.select(*key, "t").mapInArrow(find, "k1 long, k2 long, mark long, s int, m int, p int, g long, seen byte")
-    often = found.withColumn("c", F.sum("seen").over(Window.partitionBy("g"))).where("seen <> 1 OR c > 1")
+    found = long_.select(*key, "t").mapInArrow(find, "k1 long, k2 long, mark long, s int, m int, p int, lane int, seen byte")
+    often = found.withColumn("c", F.sum("seen").over(Window.partitionBy("mark", "lane"))).where("seen <> 1 OR c > 1")
     flagged = often.groupBy(*key).agg(F.collect_set(F.struct("mark", "s", "m", "p")).alias("marks"))
     classes = rows.where(F.col("n") >= length).groupBy(*key).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     wing = (length - GRAM) // 2
@@ -265,7 +265,7 @@ def remove_repeats(
 
     contexts = stored(packed(long_).join(flagged.join(classes, key), key).where(F.col("id").eqNullSafe(F.col("rep"))).select(
         *key, "copies", "n", "z", "marks").mapInArrow(
-            cut_out, "k1 long, k2 long, copies long, mark long, s int, p int, context binary, digest binary"), "contexts")
+            cut_out, "k1 long, k2 long, copies long, mark long, s int, p int, context binary, digest binary"), "contexts", compression="zstd")
     kinds = contexts.groupBy("mark", "digest").agg(
         F.sum("copies").alias("n"), F.first("p").alias("p"), F.first(F.length("context")).alias("size"),
         F.first(F.expr(f"CASE WHEN p >= {wing} THEN xxhash64(0, substring(context, p - {wing} + 1, {wing + GRAM})) END")).alias("l"),
