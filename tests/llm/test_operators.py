@@ -516,6 +516,76 @@ def test_the_largest_of_conflicting_labels_holds(spark):
     assert {r["doc_id"]: round(r["score"], 9) for r in got} == {r["doc_id"]: round(r["score"], 9) for r in want}
 
 
+def test_toxicity_learns_from_every_labelled_text(spark):
+    """The toxic texts come after the first 20,000 labelled ids in the order of their hashes."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(20_400).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("t"))
+    late = [r["doc_id"] for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()[20_000:]]
+    toxic = F.col("doc_id").isin(late[::2])
+    docs = rows.select("doc_id", F.concat(F.lit("river stone "), "t", F.when(toxic, " you moron").otherwise("")).alias("text"))
+    got = score_toxicity(docs, rows.select("doc_id", toxic.cast("int").alias("label")))
+    assert {r["doc_id"] for r in got.where("score >= 0.5").collect()} == set(late[::2])
+
+
+def test_toxicity_keeps_all_chosen_features(spark):
+    """2,400 words of toxic texts, each in two of them; the last ones alone mark a text as well."""
+    letters = "abcdefghijklmnop"
+    words = sorted(a + "q" + b + c for a in letters for b in letters for c in letters)[:2_400]
+    toxic = [" ".join(words[i % 2_400:i % 2_400 + 10]) + f" {i}" for i in range(0, 4_800, 10)]
+    clean = [f"river stone {i}" for i in range(600)]
+    probes = [" ".join(words[-10:]), "river stone"]
+    docs = spark.createDataFrame(list(enumerate(toxic + clean + probes)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 480)) for i in range(1_080)], "doc_id long, label int")
+    got = {r["doc_id"]: r["score"] for r in score_toxicity(docs, labels).collect()}
+    assert got[1_080] >= 0.5 > got[1_081] and all((got[i] >= 0.5) == (i < 480) for i in range(1_080))
+
+
+def test_all_known_words_cut_runs(spark):
+    """Words beyond the 50,000th count, and those that stand in no run change nothing."""
+    from pyspark.sql import functions as F
+    from tablewright.llm.toxicity import by_beginning, known_words, segment
+
+    flat = np.full((SIZE, SIZE, SIZE), 5.0)
+    long = "donaudampfschifffahrtsgesellschaft"
+    rare = [("you", 40), ("zebra", 2), (long, 3), ("zzz", 2), (long[:24] + "s", 2)]
+    words = spark.range(60_000).select(F.concat(F.lit("w"), "id").alias("f"), F.lit(5).cast("long").alias("n")).union(
+        spark.createDataFrame(rare, "f string, n long"))
+    texts = ["youzebrayou", f"you{long}zebra"]
+    known = known_words(words, spark.createDataFrame([(texts,), (texts[:1],)], "letters array<string>"), most=50)
+    whole = {r["f"]: np.log((300_000 + 49) / r["n"]) for r in words.collect()}
+    assert set(known) == {"you", "zebra", long, long[:24] + "s"} and known == pytest.approx({w: whole[w] for w in known})
+    assert [segment(x, flat, known, by_beginning(known)) for x in texts] == [["you", "zebra", "you"], ["you", long, "zebra"]]
+    assert [segment(x, flat, whole, by_beginning(whole)) for x in texts] == [["you", "zebra", "you"], ["you", long, "zebra"]]
+
+
+def test_logistic_is_the_same_in_both_forms(spark):
+    from tablewright.llm.toxicity import fit_logistic
+
+    rng = np.random.default_rng(4)
+    rows = [(sorted(rng.choice(6, i % 4, replace=False).tolist()), 5, int(rng.integers(0, 6))) for i in range(40)] + [([], 9, 0)]
+    patterns = spark.createDataFrame(rows, "hits array<int>, n long, toxic long")
+    assert fit_logistic(patterns, 6, 0, rounds=4) == pytest.approx(fit_logistic(patterns, 6, 1_000, rounds=4), abs=1e-9)
+
+
+def test_toxicity_counts_and_joins_in_small_pieces(spark):
+    """Counts passed on early, and a map too small for its ids, change nothing; equal rows count once."""
+    from tablewright.llm.toxicity import counted, likely
+
+    texts = spark.createDataFrame([(i % 2, f"moron river m o r o n w{i % 7}") for i in range(50)], "label int, t string")
+    flat = np.full((SIZE, SIZE, SIZE), 5.0)
+    few, once = ({(r["f"], r["bad"], r["n"]) for r in counted(texts, flat, most).collect()} for most in (3, 300_000))
+    assert few == once and ("moron", 25, 50) in once and ("w-", 25, 50) not in once
+    rows = spark.range(100_000)
+    ids = rows.where("id % 7 = 3")
+    assert [likely(rows, ids, 14_286, bits).join(ids, "id").count() for bits in (2 ** 15, 2 ** 27)] == [14_286, 14_286]
+    assert likely(rows, ids, 14_286).count() < 25_000
+    docs = [(i % 60, f"river {'stone' if i % 2 else 'moron'} {i % 60}") for i in range(180)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(60)], "doc_id long, label int")
+    thrice, single = (sorted({(r["doc_id"], round(r["score"], 9)) for r in score_toxicity(spark.createDataFrame(d, "doc_id long, text string"), labels).collect()}) for d in (docs, docs[:60]))
+    assert thrice == single and [x[1] >= 0.5 for x in thrice] == [i % 2 == 0 for i in range(60)]
+
+
 def test_pipeline_stages(spark, data):
     import corpus_pipeline
 
